@@ -3,6 +3,10 @@
 Every callable takes ``(spark, sf_dir)``, reads the driver's tables through a
 feed adapter and returns a lazy ``DataFrame``; the matching DuckDB statement
 lives in :mod:`covisit_spark.plans.oracle` under the same key.
+
+Feeds: ``ev_user`` (one session per user) drives co-visitation, candidates,
+features and evaluation; ``ev_5d`` (user x 5-day bucket) drives the time
+split, because whole-user sessions would all straddle the split point.
 """
 
 from __future__ import annotations
@@ -12,58 +16,333 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covisit_spark.functions import POSITION_WEIGHT_START, type_id_to_name, type_name_to_id
+from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv
-from covisit_spark.sources.feeds import ev_user
+from covisit_spark.operators import evaluate as ev
+from covisit_spark.operators import profile as pf
+from covisit_spark.operators import split
+from covisit_spark.plans.pipeline import Offline
+from covisit_spark.sources import jsonl, sinks
+from covisit_spark.sources.feeds import ev_5d, ev_user, ol_cust
 
 Query = Callable[[SparkSession, str], DataFrame]
+Q: dict[str, Query] = {}
+
+
+def query(name: str):
+    def deco(fn: Query) -> Query:
+        Q[name] = fn
+        return fn
 
+    return deco
 
-def _events_canonical(spark: SparkSession, sf: str) -> DataFrame:
+
+# --- A: sources and sinks --------------------------------------------------
+@query("events_canonical")
+def _events_canonical(spark, sf):
     return ev_user(spark, sf)
 
 
-def _recent_events(spark: SparkSession, sf: str) -> DataFrame:
+@query("flatten_sessions")
+def _flatten_sessions(spark, sf):
+    lines = jsonl.sessions_to_json_lines(ev_user(spark, sf), chunk=64)
+    return jsonl.flatten_sessions(jsonl.parse_session_lines(lines), pos_offset="offset")
+
+
+@query("event_type_encode")
+def _event_type_encode(spark, sf):
+    e = ev_user(spark, sf).select("pos", type_id_to_name("type").alias("type_name"))
+    return e.select("pos", "type_name", type_name_to_id("type_name").alias("type"))
+
+
+@query("events_union")
+def _events_union(spark, sf):
+    return _split5(spark, sf)["train"].unionByName(_split5(spark, sf)["history"])
+
+
+@query("submission_format")
+def _submission_format(spark, sf):
+    return sinks.submission_frame(Offline(spark, sf).predictions())
+
+
+# --- B: profiling ----------------------------------------------------------
+@query("event_time_range")
+def _event_time_range(spark, sf):
+    return pf.event_time_range(ev_user(spark, sf))
+
+
+def _split5(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    e = ev_5d(spark, sf)
+    train, val = split.time_split(e)
+    clean = split.remove_overlap(val, train)
+    hist, labels = split.cutoff_split(clean)
+    return {
+        "train": train,
+        "val": val,
+        "val_clean": clean,
+        "history": hist,
+        "labels": labels,
+        "train_recent": split.recent_window(e),
+    }
+
+
+@query("split_profile")
+def _split_profile(spark, sf):
+    return pf.split_profile(_split5(spark, sf))
+
+
+@query("aid_coverage")
+def _aid_coverage(spark, sf):
+    s = _split5(spark, sf)
+    return pf.aid_coverage(
+        {
+            "val_not_in_train": (s["val_clean"], s["train"]),
+            "labels_not_in_train": (s["labels"], s["train"]),
+            "history_not_in_train": (s["history"], s["train"]),
+            "val_not_in_recent": (s["val"], s["train_recent"]),
+        }
+    )
+
+
+@query("session_overlap")
+def _session_overlap(spark, sf):
+    s = _split5(spark, sf)
+    return pf.session_overlap(s["train"], s["val"])
+
+
+# --- C: split and sampling -------------------------------------------------
+@query("time_split")
+def _time_split(spark, sf):
+    return split.tag_time_split(ev_5d(spark, sf))
+
+
+@query("train_recent_weeks")
+def _train_recent_weeks(spark, sf):
+    return split.recent_window(ev_5d(spark, sf))
+
+
+@query("val_clean")
+def _val_clean(spark, sf):
+    return _split5(spark, sf)["val_clean"]
+
+
+@query("val_history")
+def _val_history(spark, sf):
+    return _split5(spark, sf)["history"]
+
+
+@query("val_labels")
+def _val_labels(spark, sf):
+    return _split5(spark, sf)["labels"]
+
+
+@query("session_cutoffs")
+def _session_cutoffs(spark, sf):
+    return split.session_cutoffs(_split5(spark, sf)["val_clean"])
+
+
+@query("ground_truth")
+def _ground_truth(spark, sf):
+    return split.ground_truth(_split5(spark, sf)["labels"])
+
+
+@query("session_sample")
+def _session_sample(spark, sf):
+    return split.session_sample(ev_5d(spark, sf))
+
+
+@query("session_lists")
+def _session_lists(spark, sf):
+    sl = split.session_lists(_split5(spark, sf)["history"], chunk_size=4)
+    return sl.select(
+        "session",
+        "chunk",
+        F.array_join(F.col("aids").cast("array<string>"), " ").alias("aids"),
+        F.array_join(F.col("types").cast("array<string>"), " ").alias("types"),
+    )
+
+
+@query("val_subset")
+def _val_subset(spark, sf):
+    e = ev_5d(spark, sf)
+    sample = split.session_sample(e, fractions=(0.25,))
+    return split.restrict_sessions(e, sample)
+
+
+# --- D: co-visitation ------------------------------------------------------
+@query("recent_events")
+def _recent_events(spark, sf):
     return cv.recent_events(ev_user(spark, sf)).select("session", "pos", "ts", "type", "aid")
 
 
-def _session_pairs(spark: SparkSession, sf: str) -> DataFrame:
+@query("session_pairs")
+def _session_pairs(spark, sf):
     p = cv.session_pairs(cv.recent_events(ev_user(spark, sf)), 1)
     return p.select("session", "aid_x", "aid_y", "pos_x", "pos_y", "ts_x", "ts_y", "type_x", "type_y")
 
 
-def _session_pairs_distinct(spark: SparkSession, sf: str) -> DataFrame:
+@query("session_pairs_distinct")
+def _session_pairs_distinct(spark, sf):
     return cv.distinct_session_pairs(cv.session_pairs(cv.recent_events(ev_user(spark, sf)), 1))
 
 
-def _covisit_clicks(spark: SparkSession, sf: str) -> DataFrame:
+@query("covisit_clicks")
+def _covisit_clicks(spark, sf):
     return cv.covisit_clicks(ev_user(spark, sf))
 
 
-def _covisit_carts(spark: SparkSession, sf: str) -> DataFrame:
+@query("covisit_carts")
+def _covisit_carts(spark, sf):
     return cv.covisit_carts(ev_user(spark, sf))
 
 
-def _covisit_b2b(spark: SparkSession, sf: str) -> DataFrame:
+@query("covisit_b2b")
+def _covisit_b2b(spark, sf):
     return cv.covisit_b2b(ev_user(spark, sf))
 
 
-def _covisit_lists(spark: SparkSession, sf: str) -> DataFrame:
+@query("covisit_lists")
+def _covisit_lists(spark, sf):
     lists = cv.covisit_lists(cv.covisit_clicks(ev_user(spark, sf)))
     return lists.select("aid_x", F.array_join(F.col("neighbours").cast("array<string>"), " ").alias("neighbours"))
 
 
+@query("covisit_b2b_orders")
+def _covisit_b2b_orders(spark, sf):
+    return cv.covisit_b2b(ol_cust(spark, sf))
+
+
+# --- E: candidates ---------------------------------------------------------
+@query("popular_items")
+def _popular_items(spark, sf):
+    return Offline(spark, sf).popular
+
+
+@query("history_unique")
+def _history_unique(spark, sf):
+    return cand.history_unique(Offline(spark, sf).history).select("session", "aid", "rec_rank", "n_unique")
+
+
+@query("history_weights")
+def _history_weights(spark, sf):
+    hw = cand.history_weights(Offline(spark, sf).history, POSITION_WEIGHT_START["clicks"])
+    return hw.select("session", "pos", "aid", "type", "i", "n", "w_units", "term")
+
+
+@query("rerank_history_clicks")
+def _rerank_history_clicks(spark, sf):
+    return cand.rerank_history(Offline(spark, sf).history, POSITION_WEIGHT_START["clicks"]).select("session", "aid", "score")
+
+
+@query("rerank_history_carts")
+def _rerank_history_carts(spark, sf):
+    o = Offline(spark, sf)
+    return cand.carts_rerank_scores(o.history, o.carts_matrix).select("session", "aid", "score")
+
+
+@query("candidate_votes_clicks")
+def _candidate_votes_clicks(spark, sf):
+    o = Offline(spark, sf)
+    return cand.neighbour_votes(cand.history_unique(o.history), o.clicks_matrix, 0)
+
+
+def _carts_votes(o: Offline) -> DataFrame:
+    uniq = cand.history_unique(o.history)
+    buys = cand.history_unique(o.history, types=(0, 1))
+    return (
+        cand.neighbour_votes(uniq, o.carts_matrix, 0)
+        .unionByName(cand.neighbour_votes(buys, o.clicks_matrix, 1))
+        .unionByName(cand.neighbour_votes(buys, o.b2b_matrix, 2))
+    )
+
+
+@query("candidate_votes_carts")
+def _candidate_votes_carts(spark, sf):
+    return _carts_votes(Offline(spark, sf))
+
+
+def _topn(o: Offline, votes: DataFrame, n: int) -> DataFrame:
+    """Vote ranking with history items removed, cut to the free slots."""
+    uniq = cand.history_unique(o.history)
+    free = uniq.groupBy("session").agg(F.count(F.lit(1)).alias("n_hist"))
+    vk = cand.vote_keys(votes).join(uniq.select("session", "aid"), ["session", "aid"], "left_anti")
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("session").orderBy("key")
+    r = vk.withColumn("rank", F.row_number().over(w).cast("int")).join(free, "session")
+    return r.where(F.col("rank") <= F.lit(n) - F.col("n_hist")).select("session", "aid", "votes", "rank")
+
+
+@query("candidate_topn_clicks")
+def _candidate_topn_clicks(spark, sf):
+    o = Offline(spark, sf)
+    return _topn(o, cand.neighbour_votes(cand.history_unique(o.history), o.clicks_matrix, 0), 20)
+
+
+@query("candidate_topn_carts")
+def _candidate_topn_carts(spark, sf):
+    o = Offline(spark, sf)
+    return _topn(o, _carts_votes(o), 20)
+
+
+@query("suggest_clicks")
+def _suggest_clicks(spark, sf):
+    return Offline(spark, sf).clicks()
+
+
+@query("suggest_carts")
+def _suggest_carts(spark, sf):
+    return Offline(spark, sf).carts()
+
+
+@query("candidates_top20")
+def _candidates_top20(spark, sf):
+    return cand.truncate_lists(Offline(spark, sf, num_cands=50).predictions(), 20)
+
+
+@query("predictions_all")
+def _predictions_all(spark, sf):
+    return Offline(spark, sf).predictions()
+
+
+# --- H: evaluation ---------------------------------------------------------
+def _hits(spark, sf, n=20, depth=None):
+    o = Offline(spark, sf, num_cands=n)
+    return ev.recall_hits(o.predictions(), o.truth, depth=depth)
+
+
+@query("recall_hits")
+def _recall_hits(spark, sf):
+    return _hits(spark, sf)
+
+
+@query("recall_by_type")
+def _recall_by_type(spark, sf):
+    return ev.recall_by_type(_hits(spark, sf))
+
+
+@query("weighted_recall")
+def _weighted_recall(spark, sf):
+    return ev.weighted_recall(ev.recall_by_type(_hits(spark, sf)))
+
+
+@query("recall_at_depths")
+def _recall_at_depths(spark, sf):
+    o = Offline(spark, sf, num_cands=50)
+    preds = o.predictions()
+    out = None
+    for depth in (50, 20):
+        r = ev.weighted_recall(ev.recall_by_type(ev.recall_hits(preds, o.truth, depth=depth)))
+        r = r.select(F.lit(depth).alias("depth"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "events_canonical": _events_canonical,
-        "recent_events": _recent_events,
-        "session_pairs": _session_pairs,
-        "session_pairs_distinct": _session_pairs_distinct,
-        "covisit_clicks": _covisit_clicks,
-        "covisit_carts": _covisit_carts,
-        "covisit_b2b": _covisit_b2b,
-        "covisit_lists": _covisit_lists,
-    }
+    return dict(Q)
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return _covisit_clicks(spark, sf)
+    """Full co-visitation recommendation: predictions for the three targets."""
+    return Offline(spark, sf).predictions()

@@ -112,11 +112,340 @@ def matrices(prefix: str, src: str) -> dict[str, str]:
 
 M_USER = matrices("mu", "ev_user")
 
+TYPE_NAME_SQL = "CASE {c} WHEN 0 THEN 'clicks' WHEN 1 THEN 'carts' WHEN 2 THEN 'orders' END"
+
+
+def cutoff_ctes(prefix: str, src: str) -> None:
+    cte(
+        f"{prefix}_cut",
+        f"""
+SELECT *, count(*) OVER (PARTITION BY session) AS n,
+       row_number() OVER (PARTITION BY session ORDER BY ts, pos) AS rn
+FROM {src}
+""",
+    )
+    cte(
+        f"{prefix}_hist",
+        f"SELECT session, pos, ts, type, aid FROM {prefix}_cut WHERE n >= 2 AND rn <= 1 + (session * 7919 + 42) % (n - 1)",
+    )
+    cte(
+        f"{prefix}_lab",
+        f"SELECT session, pos, ts, type, aid FROM {prefix}_cut WHERE n >= 2 AND rn > 1 + (session * 7919 + 42) % (n - 1)",
+    )
+    cte(
+        f"{prefix}_gt",
+        f"""
+SELECT session, {TYPE_NAME_SQL.format(c='type')} AS type, label_rank, aid FROM (
+  SELECT session, type, aid,
+         CAST(row_number() OVER (PARTITION BY session, type ORDER BY ts, pos) AS INTEGER) AS label_rank
+  FROM {prefix}_lab) g
+WHERE g.type <> 0 OR g.label_rank = 1
+""",
+    )
+
+
+# --- time split on ev_5d -----------------------------------------------------
+cte("s5_max", "SELECT max(ts) AS tmax FROM ev_5d")
+cte("s5_train", "SELECT e.* FROM ev_5d e, s5_max m WHERE e.ts <= m.tmax - 604800")
+cte("s5_val", "SELECT e.* FROM ev_5d e, s5_max m WHERE e.ts > m.tmax - 604800")
+cte("s5_recent", "SELECT e.* FROM ev_5d e, s5_max m WHERE e.ts > m.tmax - 1814400")
+cte("s5_clean", "SELECT * FROM s5_val WHERE session NOT IN (SELECT session FROM s5_train)")
+cutoff_ctes("s5", "s5_clean")
+cte("ss_h", "SELECT session, ((session % 1000003) * 2654435761 + 42) % 1000003 AS h FROM (SELECT DISTINCT session FROM ev_5d)")
+cte("ss_r", "SELECT session, row_number() OVER (ORDER BY h, session) AS r, count(*) OVER () AS big_n FROM ss_h")
+
+# --- offline scenario on ev_user: cutoff split, matrices over history ---------
+cutoff_ctes("sc", "ev_user")
+M_HIST = matrices("mh", "sc_hist")
+cte(
+    "sc_pop",
+    """
+SELECT type, aid, count(*) AS cnt,
+       CAST(row_number() OVER (PARTITION BY type ORDER BY count(*) DESC, aid) AS INTEGER) AS rank
+FROM sc_hist GROUP BY type, aid QUALIFY rank <= 20
+""",
+)
+cte(
+    "sc_ord",
+    """
+SELECT *, row_number() OVER (PARTITION BY session ORDER BY ts, pos) - 1 AS i,
+       row_number() OVER (PARTITION BY session ORDER BY ts DESC, pos DESC) AS rd,
+       count(*) OVER (PARTITION BY session) AS n
+FROM sc_hist
+""",
+)
+for _name, _where in (("sc_uniq", "TRUE"), ("sc_buys", "type < 2")):
+    cte(
+        _name,
+        f"""
+SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY min(rd)) AS INTEGER) AS rec_rank,
+       count(*) OVER (PARTITION BY session) AS n_unique, min(i) AS first_i
+FROM sc_ord WHERE {_where} GROUP BY session, aid
+""",
+    )
+for _name, _a in (("sc_wc", 0.1), ("sc_wk", 0.5)):
+    cte(
+        _name,
+        f"""
+SELECT session, pos, aid, type, i, n, w_units,
+       w_units * CASE type WHEN 0 THEN 500 WHEN 1 THEN 9000 WHEN 2 THEN 500 END AS term
+FROM (SELECT *, CAST(round((pow(2.0, {_a} + {1 - _a} * (CASE WHEN n <= 1 THEN 0.0 ELSE i / (n - 1) END)) - 1.0)
+                           * 1000000.0) AS BIGINT) AS w_units FROM sc_ord)
+""",
+    )
+
+
+def _votes(items: str, matrix: str, src: int) -> str:
+    return (
+        f"SELECT u.session, m.aid_y AS aid, {src} AS src, u.rec_rank AS hist_rank, m.rank AS nbr_rank "
+        f"FROM {items} u JOIN {matrix} m ON u.aid = m.aid_x"
+    )
+
+
+cte("vc_clicks", _votes("sc_uniq", M_HIST["clicks"], 0))
+cte(
+    "vc_carts",
+    " UNION ALL ".join(
+        [_votes("sc_uniq", M_HIST["carts"], 0), _votes("sc_buys", M_HIST["clicks"], 1), _votes("sc_buys", M_HIST["b2b"], 2)]
+    ),
+)
+for _t in ("clicks", "carts"):
+    # all non-history vote candidates, ranked by votes then first-seen order
+    cte(
+        f"tn_{_t}",
+        f"""
+SELECT session, aid, votes,
+       CAST(row_number() OVER (PARTITION BY session ORDER BY votes DESC, first_seen) AS INTEGER) AS rank
+FROM (SELECT v.session, v.aid, count(*) AS votes, min(src * 1000000 + hist_rank * 1000 + nbr_rank) AS first_seen
+      FROM vc_{_t} v
+      WHERE NOT EXISTS (SELECT 1 FROM sc_uniq u WHERE u.session = v.session AND u.aid = v.aid)
+      GROUP BY v.session, v.aid)
+""",
+    )
+cte("sc_nhist", "SELECT session, count(*) AS n_hist FROM sc_uniq GROUP BY session")
+cte(
+    "rk_carts",
+    f"""
+SELECT session, aid, CAST(sum(score) AS BIGINT) AS score, min(s) AS tie_s, arg_min(t1, s) AS tie_t
+FROM (
+  SELECT session, aid, sum(term) AS score, 0 AS s, min(i) AS t1 FROM sc_wk GROUP BY session, aid
+  UNION ALL
+  SELECT b.session, m.aid_y AS aid, count(*) * 30000000 AS score, 1 AS s, min(b.rec_rank * 1000 + m.rank) AS t1
+  FROM sc_buys b JOIN {M_HIST['carts']} m ON b.aid = m.aid_x GROUP BY b.session, m.aid_y
+) GROUP BY session, aid
+""",
+)
+
+
+def suggest_ctes(n: int) -> dict[str, str]:
+    """Sequential restatement of the list rules for ``n`` candidates."""
+    out = {}
+    for t, thr, pop_type, long_src in (("clicks", n, 0, "ck"), ("carts", 20, 1, "ct")):
+        p = f"sg{n}_{long_src}"
+        if t == "clicks":
+            cte(
+                f"{p}_long",
+                f"""
+SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY sum(term) DESC, min(i)) AS INTEGER) AS rank
+FROM sc_wc WHERE session IN (SELECT session FROM sc_nhist WHERE n_hist >= {thr})
+GROUP BY session, aid QUALIFY rank <= {n}
+""",
+            )
+        else:
+            cte(
+                f"{p}_long",
+                f"""
+SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY score DESC, tie_s, tie_t) AS INTEGER) AS rank
+FROM rk_carts WHERE session IN (SELECT session FROM sc_nhist WHERE n_hist >= {thr})
+QUALIFY rank <= {n}
+""",
+            )
+        cte(f"{p}_s", f"SELECT session, n_hist FROM sc_nhist WHERE n_hist < {thr}")
+        cte(f"{p}_sec0", f"SELECT u.session, u.aid, 0 AS sec, u.rec_rank AS r FROM sc_uniq u JOIN {p}_s USING (session)")
+        cte(
+            f"{p}_sec1",
+            f"SELECT t.session, t.aid, 1 AS sec, t.rank AS r FROM tn_{t} t JOIN {p}_s s USING (session) WHERE t.rank <= {n} - s.n_hist",
+        )
+        cte(
+            f"{p}_sec2",
+            f"""
+SELECT session, aid, 2 AS sec, r FROM (
+  SELECT s.session, p.aid, s.n_hist,
+         row_number() OVER (PARTITION BY s.session ORDER BY p.rank) AS r,
+         (SELECT count(*) FROM {p}_sec1 x WHERE x.session = s.session) AS n_votes
+  FROM {p}_s s, sc_pop p
+  WHERE p.type = {pop_type}
+    AND NOT EXISTS (SELECT 1 FROM {p}_sec0 a WHERE a.session = s.session AND a.aid = p.aid)
+    AND NOT EXISTS (SELECT 1 FROM {p}_sec1 b WHERE b.session = s.session AND b.aid = p.aid)
+) WHERE r <= {n} - n_hist - n_votes
+""",
+        )
+        cte(
+            f"{p}_all",
+            f"""
+SELECT session, aid, rank FROM {p}_long
+UNION ALL
+SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY sec, r) AS INTEGER) AS rank
+FROM (SELECT * FROM {p}_sec0 UNION ALL SELECT * FROM {p}_sec1 UNION ALL SELECT * FROM {p}_sec2)
+""",
+        )
+        out[t] = f"{p}_all"
+    cte(
+        f"pr{n}",
+        f"""
+SELECT session, 'clicks' AS type, aid, rank FROM {out['clicks']}
+UNION ALL SELECT session, 'carts' AS type, aid, rank FROM {out['carts']}
+UNION ALL SELECT session, 'orders' AS type, aid, rank FROM {out['carts']}
+""",
+    )
+    out["preds"] = f"pr{n}"
+    return out
+
+
+SG20 = suggest_ctes(20)
+SG50 = suggest_ctes(50)
+
+
+def recall_ctes(preds: str, depth: int | None, tag: str) -> str:
+    cut = "TRUE" if depth is None else f"p.rank <= {depth}"
+    cte(
+        f"rh_{tag}",
+        f"""
+SELECT c.session, c.type, CAST(coalesce(h.hits, 0) AS BIGINT) AS hits, c.gt_count
+FROM (SELECT session, type, least(count(*), 20) AS gt_count FROM sc_gt GROUP BY session, type) c
+JOIN (SELECT DISTINCT session, type FROM {preds}) k USING (session, type)
+LEFT JOIN (
+  SELECT p.session, p.type, count(DISTINCT p.aid) AS hits
+  FROM {preds} p JOIN (
+    SELECT session, type, aid FROM (SELECT session, type, aid, min(label_rank) AS r FROM sc_gt GROUP BY session, type, aid)
+    QUALIFY row_number() OVER (PARTITION BY session, type ORDER BY r) <= 20
+  ) t USING (session, type, aid)
+  WHERE {cut} GROUP BY p.session, p.type
+) h USING (session, type)
+""",
+    )
+    cte(
+        f"rt_{tag}",
+        f"""
+SELECT type, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(gt_count) AS BIGINT) AS gt_count,
+       CAST(sum(hits) AS DOUBLE) / nullif(CAST(sum(gt_count) AS DOUBLE), 0) AS recall
+FROM rh_{tag} GROUP BY type
+""",
+    )
+    cte(
+        f"rw_{tag}",
+        f"""
+SELECT r_clicks, r_carts, r_orders,
+       CAST(0.1 AS DOUBLE) * r_clicks + CAST(0.3 AS DOUBLE) * r_carts + CAST(0.6 AS DOUBLE) * r_orders AS recall
+FROM (SELECT coalesce(max(recall) FILTER (WHERE type = 'clicks'), 0.0) AS r_clicks,
+             coalesce(max(recall) FILTER (WHERE type = 'carts'), 0.0) AS r_carts,
+             coalesce(max(recall) FILTER (WHERE type = 'orders'), 0.0) AS r_orders
+      FROM rt_{tag})
+""",
+    )
+    return tag
+
+
+recall_ctes(SG20["preds"], None, "p20")
+recall_ctes(SG50["preds"], 50, "d50")
+recall_ctes(SG50["preds"], 20, "d20")
+
+SPLIT5 = {
+    "train": "s5_train",
+    "val": "s5_val",
+    "val_clean": "s5_clean",
+    "history": "s5_hist",
+    "labels": "s5_lab",
+    "train_recent": "s5_recent",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["events_canonical"] = build("SELECT session, pos, ts, type, aid FROM ev_user")
-    q["recent_events"] = build("SELECT session, pos, ts, type, aid FROM mu_ck_recent")
+    ev = "session, pos, ts, type, aid"
+    # A
+    q["events_canonical"] = build(f"SELECT {ev} FROM ev_user")
+    q["flatten_sessions"] = build(
+        """
+SELECT session, (pos // 64) * 64 + row_number() OVER (PARTITION BY session, pos // 64 ORDER BY pos) - 1 AS pos,
+       ts, type, aid
+FROM ev_user
+"""
+    )
+    q["event_type_encode"] = build(
+        f"SELECT pos, {TYPE_NAME_SQL.format(c='type')} AS type_name, type FROM ev_user"
+    )
+    q["events_union"] = build(f"SELECT {ev} FROM s5_train UNION ALL SELECT {ev} FROM s5_hist")
+    q["submission_format"] = build(
+        f"""
+SELECT CAST(session AS VARCHAR) || '_' || type AS session_type,
+       string_agg(CAST(aid AS VARCHAR), ' ' ORDER BY rank) AS labels
+FROM {SG20['preds']} GROUP BY session, type
+"""
+    )
+    # B
+    q["event_time_range"] = build(
+        """
+SELECT t_min, t_max, t_max - t_min AS span_s, CAST(t_max - t_min AS DOUBLE) / 86400.0 AS span_days, aid_min, aid_max
+FROM (SELECT min(ts) AS t_min, max(ts) AS t_max, min(aid) AS aid_min, max(aid) AS aid_max FROM ev_user)
+"""
+    )
+    q["split_profile"] = build(
+        " UNION ALL ".join(
+            f"SELECT '{k}' AS part, count(*) AS n_rows, count(DISTINCT session) AS n_sessions FROM {v}"
+            for k, v in SPLIT5.items()
+        )
+    )
+    pairs = {
+        "val_not_in_train": ("s5_clean", "s5_train"),
+        "labels_not_in_train": ("s5_lab", "s5_train"),
+        "history_not_in_train": ("s5_hist", "s5_train"),
+        "val_not_in_recent": ("s5_val", "s5_recent"),
+    }
+    q["aid_coverage"] = build(
+        " UNION ALL ".join(
+            f"""SELECT '{k}' AS pair, n_missing, n_a, CAST(100.0 AS DOUBLE) * n_missing / n_a AS pct_missing
+FROM (SELECT count(*) FILTER (WHERE aid NOT IN (SELECT aid FROM {b})) AS n_missing, count(*) AS n_a
+      FROM (SELECT DISTINCT aid FROM {a}))"""
+            for k, (a, b) in pairs.items()
+        )
+    )
+    q["session_overlap"] = build(
+        "SELECT count(*) AS n_overlap FROM (SELECT DISTINCT session FROM s5_train INTERSECT SELECT DISTINCT session FROM s5_val)"
+    )
+    # C
+    q["time_split"] = build(
+        f"SELECT e.session, e.pos, e.ts, e.type, e.aid, CASE WHEN e.ts > m.tmax - 604800 THEN 'val' ELSE 'train' END AS part "
+        f"FROM ev_5d e, s5_max m"
+    )
+    q["train_recent_weeks"] = build(f"SELECT {ev} FROM s5_recent")
+    q["val_clean"] = build(f"SELECT {ev} FROM s5_clean")
+    q["val_history"] = build(f"SELECT {ev} FROM s5_hist")
+    q["val_labels"] = build(f"SELECT {ev} FROM s5_lab")
+    q["session_cutoffs"] = build(
+        "SELECT session, n, 1 + (session * 7919 + 42) % (n - 1) AS cutoff FROM s5_cut WHERE n >= 2 AND rn = 1"
+    )
+    q["ground_truth"] = build("SELECT session, type, label_rank, aid FROM s5_gt")
+    q["session_sample"] = build(
+        """
+SELECT session, frac FROM ss_r, (SELECT CAST(unnest([0.05, 0.1, 0.25, 0.5, 1.0]) AS DOUBLE) AS frac) f
+WHERE r <= round_even(frac * big_n, 0)
+"""
+    )
+    q["session_lists"] = build(
+        """
+SELECT session, CAST((rn - 1) // 4 AS INTEGER) AS chunk,
+       string_agg(CAST(aid AS VARCHAR), ' ' ORDER BY rn) AS aids,
+       string_agg(CAST(type AS VARCHAR), ' ' ORDER BY rn) AS types
+FROM (SELECT *, row_number() OVER (PARTITION BY session ORDER BY ts, pos) AS rn FROM s5_hist)
+GROUP BY session, (rn - 1) // 4
+"""
+    )
+    q["val_subset"] = build(
+        f"SELECT {ev} FROM ev_5d WHERE session IN (SELECT session FROM ss_r WHERE r <= round_even(CAST(0.25 AS DOUBLE) * big_n, 0))"
+    )
+    # D
+    q["recent_events"] = build(f"SELECT {ev} FROM mu_ck_recent")
     q["session_pairs"] = build(
         "SELECT session, aid_x, aid_y, pos_x, pos_y, ts_x, ts_y, type_x, type_y FROM mu_ck_pairs"
     )
@@ -130,4 +459,32 @@ SELECT aid_x, string_agg(CAST(aid_y AS VARCHAR), ' ' ORDER BY rank) AS neighbour
 FROM {M_USER['clicks']} GROUP BY aid_x
 """
     )
+    m_ol = covisit_ctes("mo_bb", "ol_cust", 14, 15, W_UNIT, where="type IN (1, 2)")
+    q["covisit_b2b_orders"] = build(f"SELECT aid_x, aid_y, wgt, rank FROM {m_ol}")
+    # E
+    q["popular_items"] = build("SELECT type, aid, cnt, rank FROM sc_pop")
+    q["history_unique"] = build("SELECT session, aid, rec_rank, n_unique FROM sc_uniq")
+    q["history_weights"] = build("SELECT session, pos, aid, type, i, n, w_units, term FROM sc_wc")
+    q["rerank_history_clicks"] = build(
+        "SELECT session, aid, CAST(sum(term) AS BIGINT) AS score FROM sc_wc GROUP BY session, aid"
+    )
+    q["rerank_history_carts"] = build("SELECT session, aid, score FROM rk_carts")
+    q["candidate_votes_clicks"] = build("SELECT session, aid, src, hist_rank, nbr_rank FROM vc_clicks")
+    q["candidate_votes_carts"] = build("SELECT session, aid, src, hist_rank, nbr_rank FROM vc_carts")
+    for t in ("clicks", "carts"):
+        q[f"candidate_topn_{t}"] = build(
+            f"SELECT t.session, t.aid, t.votes, t.rank FROM tn_{t} t JOIN sc_nhist h USING (session) "
+            f"WHERE t.rank <= 20 - h.n_hist"
+        )
+    q["suggest_clicks"] = build(f"SELECT session, aid, rank FROM {SG20['clicks']}")
+    q["suggest_carts"] = build(f"SELECT session, aid, rank FROM {SG20['carts']}")
+    q["candidates_top20"] = build(f"SELECT session, type, aid, rank FROM {SG50['preds']} WHERE rank <= 20")
+    q["predictions_all"] = build(f"SELECT session, type, aid, rank FROM {SG20['preds']}")
+    # H
+    q["recall_hits"] = build("SELECT session, type, hits, gt_count FROM rh_p20")
+    q["recall_by_type"] = build("SELECT type, hits, gt_count, recall FROM rt_p20")
+    q["weighted_recall"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM rw_p20")
+    q["recall_at_depths"] = build(
+        "SELECT 50 AS depth, * FROM rw_d50 UNION ALL SELECT 20 AS depth, * FROM rw_d20"
+    )
     return q

@@ -1,0 +1,77 @@
+"""End-to-end offline flow over one feed, built lazily.
+
+``Offline`` wires the operators the way the recommendation pipeline uses
+them: cutoff split of every session into history and labels, three
+co-visitation matrices over the history (no label rows), popular items,
+candidate lists, predictions for the three targets and ground truth.
+Attributes are cached per instance, so a query that uses a matrix twice
+shares one subplan (Spark reuses the exchange).
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from covisit_spark.operators import candidates as cand
+from covisit_spark.operators import covisit as cv
+from covisit_spark.operators import split
+from covisit_spark.sources.feeds import load_feed
+
+
+class Offline:
+    def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "ev_user", num_cands: int = 20,
+                 events: DataFrame | None = None):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.num_cands = num_cands
+        self.events = events if events is not None else load_feed(spark, sf_dir, feed)
+
+    @cached_property
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return split.cutoff_split(self.events)
+
+    @property
+    def history(self) -> DataFrame:
+        return self._split[0]
+
+    @property
+    def labels(self) -> DataFrame:
+        return self._split[1]
+
+    @cached_property
+    def matrix_source(self) -> DataFrame:
+        """Events the matrices are built from: the history (labels excluded)."""
+        return self.history
+
+    @cached_property
+    def clicks_matrix(self) -> DataFrame:
+        return cv.covisit_clicks(self.matrix_source)
+
+    @cached_property
+    def carts_matrix(self) -> DataFrame:
+        return cv.covisit_carts(self.matrix_source)
+
+    @cached_property
+    def b2b_matrix(self) -> DataFrame:
+        return cv.covisit_b2b(self.matrix_source)
+
+    @cached_property
+    def popular(self) -> DataFrame:
+        return cand.popular_items(self.history)
+
+    def clicks(self, n: int | None = None) -> DataFrame:
+        return cand.suggest_clicks(self.history, self.clicks_matrix, self.popular, n or self.num_cands)
+
+    def carts(self, n: int | None = None) -> DataFrame:
+        return cand.suggest_carts(
+            self.history, self.clicks_matrix, self.carts_matrix, self.b2b_matrix, self.popular, n or self.num_cands
+        )
+
+    def predictions(self, n: int | None = None) -> DataFrame:
+        return cand.assemble_predictions(self.clicks(n), self.carts(n))
+
+    @cached_property
+    def truth(self) -> DataFrame:
+        return split.ground_truth(self.labels)

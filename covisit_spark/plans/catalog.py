@@ -20,6 +20,8 @@ from covisit_spark.functions import POSITION_WEIGHT_START, type_id_to_name, type
 from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv
 from covisit_spark.operators import evaluate as ev
+from covisit_spark.operators import features as ft
+from covisit_spark.operators import ranker as rk
 from covisit_spark.operators import profile as pf
 from covisit_spark.operators import split
 from covisit_spark.plans.pipeline import Offline
@@ -339,6 +341,139 @@ def _recall_at_depths(spark, sf):
     return out
 
 
+# --- F: features and labels -----------------------------------------------
+def _cands50(spark, sf):
+    return Offline(spark, sf, num_cands=50)
+
+
+@query("candidate_rows")
+def _candidate_rows(spark, sf):
+    return ft.candidate_rows(_cands50(spark, sf).carts())
+
+
+@query("candidate_rank_feats")
+def _candidate_rank_feats(spark, sf):
+    return ft.rank_features(ft.candidate_rows(_cands50(spark, sf).carts()))
+
+
+@query("item_features")
+def _item_features(spark, sf):
+    return ft.item_features(Offline(spark, sf).matrix_source)
+
+
+@query("user_features")
+def _user_features(spark, sf):
+    return ft.user_features(Offline(spark, sf).history)
+
+
+@query("candidate_features")
+def _candidate_features(spark, sf):
+    o = _cands50(spark, sf)
+    cands = ft.rank_features(ft.candidate_rows(o.carts()))
+    return ft.candidate_features(cands, ft.item_features(o.matrix_source), ft.user_features(o.history))
+
+
+@query("candidate_labels")
+def _candidate_labels(spark, sf):
+    o = _cands50(spark, sf)
+    return ft.candidate_labels(ft.candidate_rows(o.carts()), o.truth, "carts")
+
+
+@query("recency_features")
+def _recency_features(spark, sf):
+    r = ft.recency_features(Offline(spark, sf).history)
+    return r.select("session", "pos", "aid", "type", *ft.RECENCY_FEATURES)
+
+
+@query("last_typed_event")
+def _last_typed_event(spark, sf):
+    return ft.last_typed_event(ft.recency_features(Offline(spark, sf).history), "carts")
+
+
+@query("ranker_frame")
+def _ranker_frame(spark, sf):
+    return _cands50(spark, sf).candidate_frame("carts")
+
+
+@query("ranker_frame_orders")
+def _ranker_frame_orders(spark, sf):
+    return _cands50(spark, sf).candidate_frame("orders")
+
+
+@query("downsample_negatives")
+def _downsample_negatives(spark, sf):
+    f = _cands50(spark, sf).candidate_frame("carts")
+    return ft.downsample_negatives(f, "carts", 0.3).select("user", "item", "carts")
+
+
+@query("label_density")
+def _label_density(spark, sf):
+    f = _cands50(spark, sf).candidate_frame("carts")
+    before = ft.label_density(f, "carts").select(F.lit("before").alias("stage"), "*")
+    after = ft.label_density(ft.downsample_negatives(f, "carts", 0.3), "carts").select(F.lit("after").alias("stage"), "*")
+    return before.unionByName(after)
+
+
+# --- G: ranker ---------------------------------------------------------------
+# Fixed integer score used where the oracle must reproduce the ranking:
+# recently acted-on items first, then the co-visitation order.
+FIXED_SCORE = (
+    "(CASE WHEN action_num_reverse_chrono >= 0 THEN 1000 - action_num_reverse_chrono ELSE 0 END)"
+    " + (CASE WHEN origOrder > 0 THEN 21 - origOrder ELSE 0 END)"
+)
+
+
+def _folded(spark, sf, target="carts"):
+    return rk.group_folds(_cands50(spark, sf).candidate_frame(target))
+
+
+@query("group_folds")
+def _group_folds(spark, sf):
+    return _folded(spark, sf).select("user", "fold").distinct()
+
+
+@query("group_sizes")
+def _group_sizes(spark, sf):
+    return rk.group_sizes(_folded(spark, sf))
+
+
+def _fixed_ranked(spark, sf, target="carts"):
+    f = _cands50(spark, sf).candidate_frame(target)
+    return f, rk.rank_top(f.withColumn("score", F.expr(FIXED_SCORE)), 20)
+
+
+@query("rank_top20")
+def _rank_top20(spark, sf):
+    return _fixed_ranked(spark, sf)[1]
+
+
+@query("map_at_20")
+def _map_at_20(spark, sf):
+    f, ranked = _fixed_ranked(spark, sf)
+    return rk.map_at_k(ranked, f, "carts", 20)
+
+
+def _ranked_predictions(spark, sf, ranked_carts, ranked_orders):
+    o = Offline(spark, sf)
+    clicks = o.clicks(20).select("session", F.lit("clicks").alias("type"), "aid", "rank")
+    rc = ranked_carts.select(F.col("user").alias("session"), F.lit("carts").alias("type"), F.col("item").alias("aid"), "rank")
+    ro = ranked_orders.select(F.col("user").alias("session"), F.lit("orders").alias("type"), F.col("item").alias("aid"), "rank")
+    return clicks.unionByName(rc).unionByName(ro)
+
+
+@query("predictions_ranked")
+def _predictions_ranked(spark, sf):
+    return _ranked_predictions(spark, sf, _fixed_ranked(spark, sf, "carts")[1], _fixed_ranked(spark, sf, "orders")[1])
+
+
+@query("ranker_scores")
+def _ranker_scores(spark, sf):
+    """Train on down-sampled negatives (fold 0 validates), score every candidate."""
+    f = rk.group_folds(_cands50(spark, sf).candidate_frame("carts"))
+    model = rk.train_ranker(ft.downsample_negatives(f, "carts", 0.3), "carts", params={"maxIter": 20})
+    return rk.score([model], f).select("user", "item", "score")
+
+
 def queries() -> dict[str, Query]:
     return dict(Q)
 

@@ -350,6 +350,100 @@ recall_ctes(SG20["preds"], None, "p20")
 recall_ctes(SG50["preds"], 50, "d50")
 recall_ctes(SG50["preds"], 20, "d20")
 
+# --- features and ranker inputs (candidates = 50-item cart lists) ------------
+cte("fc_rows", f'SELECT session AS "user", aid AS item, rank FROM {SG50["carts"]}')
+cte(
+    "fc_rank",
+    """
+SELECT "user", item, rank, CASE WHEN rank <= 20 THEN 1 ELSE -1 END AS orig20,
+       CASE WHEN rank <= 20 THEN rank ELSE -1 END AS origOrder
+FROM fc_rows
+""",
+)
+cte(
+    "fi",
+    """
+SELECT aid AS item, count(*) AS item_item_count, count(DISTINCT session) AS item_user_count,
+       CAST(sum(type) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS item_buy_ratio,
+       CAST(count(*) FILTER (WHERE type = 0) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS item_clicks,
+       CAST(count(*) FILTER (WHERE type = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS item_carts,
+       CAST(count(*) FILTER (WHERE type = 2) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS item_orders,
+       count(*) AS item_events
+FROM sc_hist GROUP BY aid
+""",
+)
+cte(
+    "fu",
+    """
+SELECT session AS "user", count(*) AS user_user_count, count(DISTINCT aid) AS user_item_count,
+       CAST(sum(type) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS user_buy_ratio, count(*) AS num_events
+FROM sc_hist GROUP BY session
+""",
+)
+_FI = ["item_item_count", "item_user_count", "item_buy_ratio", "item_clicks", "item_carts", "item_orders", "item_events"]
+_FU = ["user_user_count", "user_item_count", "user_buy_ratio", "num_events"]
+cte(
+    "fc_feat",
+    "SELECT c.*, "
+    + ", ".join(f"coalesce(i.{c}, 0) AS {c}" for c in _FI)
+    + ", "
+    + ", ".join(f"coalesce(u.{c}, 0) AS {c}" for c in _FU)
+    + ' FROM fc_rank c LEFT JOIN fi i USING (item) LEFT JOIN fu u USING ("user")',
+)
+for _t in ("carts", "orders"):
+    cte(f"fc_lab_{_t}", f"SELECT DISTINCT session AS \"user\", aid AS item, 1 AS {_t} FROM sc_gt WHERE type = '{_t}'")
+cte(
+    "fr",
+    """
+SELECT session, pos, ts, aid, type, session_length, action_num_reverse_chrono,
+       CAST(CAST(round(CASE WHEN session_length = 1 THEN 1.0
+                            ELSE pow(2.0, 0.1 + 0.9 * ((session_length - action_num_reverse_chrono - 1) / (session_length - 1))) - 1.0
+                       END * 1000000.0) AS BIGINT) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS log_recency_score
+FROM (SELECT *, count(*) OVER (PARTITION BY session) AS session_length,
+             count(*) OVER (PARTITION BY session) - row_number() OVER (PARTITION BY session ORDER BY ts, pos)
+               AS action_num_reverse_chrono
+      FROM sc_hist)
+""",
+)
+for _t, _id in (("carts", 1), ("orders", 2)):
+    _k = "(ts, pos)"
+    cte(
+        f"fl_{_t}",
+        f"""
+SELECT session AS "user", aid AS item, arg_max(ts, {_k}) AS ts, arg_max(type, {_k}) AS type,
+       arg_max(session_length, {_k}) AS session_length,
+       arg_max(action_num_reverse_chrono, {_k}) AS action_num_reverse_chrono,
+       arg_max(log_recency_score, {_k}) AS log_recency_score
+FROM fr WHERE type = {_id} GROUP BY session, aid
+""",
+    )
+    cte(
+        f"rf_{_t}",
+        f"""
+SELECT f.*, coalesce(l.{_t}, 0) AS {_t}, r.ts, r.type,
+       coalesce(r.session_length, -1) AS session_length,
+       coalesce(r.action_num_reverse_chrono, -1) AS action_num_reverse_chrono,
+       coalesce(r.log_recency_score, -1.0) AS log_recency_score
+FROM fc_feat f LEFT JOIN fc_lab_{_t} l USING ("user", item) LEFT JOIN fl_{_t} r USING ("user", item)
+""",
+    )
+    cte(
+        f"rt20_{_t}",
+        f"""
+SELECT "user", item, new_rank AS rank FROM (
+  SELECT "user", item, CAST(row_number() OVER (PARTITION BY "user" ORDER BY
+           (CASE WHEN action_num_reverse_chrono >= 0 THEN 1000 - action_num_reverse_chrono ELSE 0 END)
+           + (CASE WHEN origOrder > 0 THEN 21 - origOrder ELSE 0 END) DESC,
+           CASE WHEN origOrder > 0 THEN origOrder ELSE 1073741824 END, item) AS INTEGER) AS new_rank
+  FROM rf_{_t}) WHERE new_rank <= 20
+""",
+    )
+HASH_KEEP = (
+    '((((("user" % 1000003) * 7919 + (item % 1000003)) % 1000003) * 2654435761 + 42) % 1000003) '
+    "/ CAST(1000003 AS DOUBLE) < 0.3"
+)
+cte("ds_carts", f"SELECT * FROM rf_carts WHERE carts = 1 OR {HASH_KEEP}")
+
 SPLIT5 = {
     "train": "s5_train",
     "val": "s5_val",
@@ -487,4 +581,56 @@ FROM {M_USER['clicks']} GROUP BY aid_x
     q["recall_at_depths"] = build(
         "SELECT 50 AS depth, * FROM rw_d50 UNION ALL SELECT 20 AS depth, * FROM rw_d20"
     )
+    # F
+    q["candidate_rows"] = build('SELECT "user", item, rank FROM fc_rows')
+    q["candidate_rank_feats"] = build('SELECT "user", item, rank, orig20, origOrder FROM fc_rank')
+    q["item_features"] = build("SELECT * FROM fi")
+    q["user_features"] = build("SELECT * FROM fu")
+    q["candidate_features"] = build("SELECT * FROM fc_feat")
+    q["candidate_labels"] = build(
+        'SELECT r."user", r.item, r.rank, coalesce(l.carts, 0) AS carts FROM fc_rows r LEFT JOIN fc_lab_carts l USING ("user", item)'
+    )
+    q["recency_features"] = build(
+        "SELECT session, pos, aid, type, session_length, action_num_reverse_chrono, log_recency_score FROM fr"
+    )
+    q["last_typed_event"] = build("SELECT * FROM fl_carts")
+    q["ranker_frame"] = build("SELECT * FROM rf_carts")
+    q["ranker_frame_orders"] = build("SELECT * FROM rf_orders")
+    q["downsample_negatives"] = build('SELECT "user", item, carts FROM ds_carts')
+    q["label_density"] = build(
+        " UNION ALL ".join(
+            f"SELECT '{st}' AS stage, count(*) AS n_rows, CAST(sum(carts) AS BIGINT) AS n_pos, "
+            f"CAST(sum(carts) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS density FROM {src}"
+            for st, src in (("before", "rf_carts"), ("after", "ds_carts"))
+        )
+    )
+    # G
+    q["group_folds"] = build('SELECT DISTINCT "user", CAST(("user" * 7919 + 42) % 5 AS INTEGER) AS fold FROM rf_carts')
+    q["group_sizes"] = build(
+        'SELECT "user", CAST(("user" * 7919 + 42) % 5 AS INTEGER) AS fold, count(*) AS n_rows FROM rf_carts GROUP BY "user"'
+    )
+    q["rank_top20"] = build('SELECT "user", item, rank FROM rt20_carts')
+    q["map_at_20"] = build(
+        """
+SELECT count(*) AS n_users, CAST(sum(ap_units) AS DOUBLE) / CAST(count(*) AS DOUBLE) / CAST(1000000000 AS DOUBLE) AS map
+FROM (
+  SELECT n."user", coalesce(p.sp, 0) // least(n.np, 20) AS ap_units
+  FROM (SELECT "user", sum(carts) AS np FROM rf_carts GROUP BY "user" HAVING sum(carts) > 0) n
+  LEFT JOIN (
+    SELECT "user", sum((cum * 1000000000) // rank) AS sp FROM (
+      SELECT r."user", r.rank, coalesce(f.carts, 0) AS hit,
+             sum(coalesce(f.carts, 0)) OVER (PARTITION BY r."user" ORDER BY r.rank) AS cum
+      FROM rt20_carts r LEFT JOIN rf_carts f USING ("user", item)
+    ) WHERE hit = 1 GROUP BY "user"
+  ) p USING ("user")
+)
+"""
+    )
+    q["predictions_ranked"] = build(
+        f"""
+SELECT session, 'clicks' AS type, aid, rank FROM {SG20['clicks']}
+UNION ALL SELECT "user" AS session, 'carts' AS type, item AS aid, rank FROM rt20_carts
+UNION ALL SELECT "user" AS session, 'orders' AS type, item AS aid, rank FROM rt20_orders
+"""
+    )
     return q

@@ -75,3 +75,16 @@ class Offline:
     @cached_property
     def truth(self) -> DataFrame:
         return split.ground_truth(self.labels)
+
+    # --- ranker inputs -------------------------------------------------------
+    def candidate_frame(self, target: str = "carts", n: int = 50, with_labels: bool = True) -> DataFrame:
+        """Cart candidates (the list used for carts and orders) with rank,
+        item, user and recency features and the 0/1 label of ``target``."""
+        from covisit_spark.operators import features as ft
+
+        cands = ft.rank_features(ft.candidate_rows(self.carts(n)))
+        f = ft.candidate_features(cands, ft.item_features(self.matrix_source), ft.user_features(self.history))
+        if with_labels:
+            f = ft.candidate_labels(f, self.truth, target)
+        last = ft.last_typed_event(ft.recency_features(self.history), target)
+        return ft.ranker_frame(f, last)

@@ -101,6 +101,53 @@ def rerank_history(history: DataFrame, start: float, type_weights: Mapping[int,
     ).select("session", "aid", "score", F.col("_first.ts").alias("first_ts"), F.col("_first.pos").alias("first_pos"))
 
 
+def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
+    """Everything the list rules need per ``(session, item)``, in one shuffle.
+
+    One exchange by ``session`` feeds the position windows, the per-item
+    aggregate and the rank windows (all three keep the partitioning):
+    ``(session, aid, rec_rank, n_unique, buy_rank, n_buys, first_ts,
+    first_pos, score_clicks, score_carts)``. ``buy_rank`` ranks the items with
+    a click or cart event, most recent first (null for the others).
+    """
+    ordered = Window.partitionBy("session").orderBy("ts", "pos")
+    e = history.withColumn("_i", (F.row_number().over(ordered) - 1).cast("long")).withColumn(
+        "_n", F.count(F.lit(1)).over(Window.partitionBy("session"))
+    )
+    tw = milli_weight_map("type", type_weights)
+    e = e.select(
+        "session",
+        "aid",
+        "ts",
+        "pos",
+        "type",
+        (to_micro(position_weight(F.col("_i"), F.col("_n"), POSITION_WEIGHT_START["clicks"])) * tw).alias("_tc"),
+        (to_micro(position_weight(F.col("_i"), F.col("_n"), POSITION_WEIGHT_START["carts"])) * tw).alias("_tk"),
+    )
+    is_buy = F.col("type").isin(0, 1)
+    g = e.groupBy("session", "aid").agg(
+        F.max(F.struct("ts", "pos")).alias("_last"),
+        F.min(F.struct("ts", "pos")).alias("_first"),
+        F.max(F.when(is_buy, F.struct("ts", "pos"))).alias("_last_buy"),
+        F.sum("_tc").alias("score_clicks"),
+        F.sum("_tk").alias("score_carts"),
+    )
+    by_s = Window.partitionBy("session")
+    buy_w = by_s.orderBy(F.col("_last_buy").desc_nulls_last())
+    return g.select(
+        "session",
+        "aid",
+        F.row_number().over(by_s.orderBy(F.col("_last").desc())).cast("int").alias("rec_rank"),
+        F.count(F.lit(1)).over(by_s).alias("n_unique"),
+        F.when(F.col("_last_buy").isNotNull(), F.row_number().over(buy_w)).cast("int").alias("buy_rank"),
+        F.count(F.col("_last_buy")).over(by_s).alias("n_buys"),
+        F.col("_first.ts").alias("first_ts"),
+        F.col("_first.pos").alias("first_pos"),
+        "score_clicks",
+        "score_carts",
+    )
+
+
 def neighbour_votes(items: DataFrame, matrix: DataFrame, src: int, rank_col: str = "rec_rank") -> DataFrame:
     """Expand items by their neighbour lists: ``(session, aid, src, hist_rank, nbr_rank)``."""
     m = matrix.select(F.col("aid_x").alias("aid"), F.col("aid_y"), F.col("rank").alias("nbr_rank"))
@@ -129,7 +176,7 @@ def _cut(keyed: DataFrame, n: int) -> DataFrame:
 def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int) -> DataFrame:
     hist = uniq_short.select("session", "aid", _key(0, F.col("rec_rank")).alias("key"))
     vk = vote_keys(votes).select("session", "aid", "key")
-    sessions = uniq_short.select("session").distinct()
+    sessions = uniq_short.where(F.col("rec_rank") == 1).select("session")
     # popular list: at most ``top`` rows per type (20), broadcast is bounded
     fill = sessions.crossJoin(F.broadcast(pop.select("aid", "rank"))).select(
         "session", "aid", _key(2, F.col("rank")).alias("key")
@@ -143,30 +190,47 @@ def suggest_clicks(
     popular: DataFrame,
     num_cands: int = 20,
     type_weights: Mapping[int, float] = TYPE_WEIGHTS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Click candidates per session: ``(session, aid, rank)``.
 
     Sessions with at least ``num_cands`` distinct items re-rank their own
     history; the others list their history (most recent first), then items
-    voted by the clicks matrix, then popular clicked items.
+    voted by the clicks matrix, then popular clicked items. ``items`` is a
+    precomputed :func:`session_items` frame (built from ``history`` if absent).
     """
-    uniq = history_unique(history)
-    long_s = uniq.where(F.col("n_unique") >= num_cands).select("session").distinct()
-    uniq_short = uniq.where(F.col("n_unique") < num_cands)
-
-    scored = rerank_history(history.join(long_s, "session", "left_semi"), POSITION_WEIGHT_START["clicks"], type_weights)
+    si = items if items is not None else session_items(history, type_weights)
+    long_items = si.where(F.col("n_unique") >= num_cands)
     long_list = _cut(
-        scored.select("session", "aid", _key(0, -F.col("score"), F.col("first_ts"), F.col("first_pos")).alias("key")),
+        long_items.select(
+            "session", "aid", _key(0, -F.col("score_clicks"), F.col("first_ts"), F.col("first_pos")).alias("key")
+        ),
         num_cands,
     )
-
+    uniq_short = si.where(F.col("n_unique") < num_cands)
     votes = neighbour_votes(uniq_short, clicks_matrix, 0)
     pop = popular.where(F.col("type") == 0)
     return long_list.unionByName(_short_list(uniq_short, votes, pop, num_cands))
 
 
+def _carts_scores(si: DataFrame, carts_matrix: DataFrame) -> DataFrame:
+    buys = si.where(F.col("buy_rank").isNotNull())
+    bonus = neighbour_votes(buys, carts_matrix, 0, "buy_rank").groupBy("session", "aid").agg(
+        (F.count(F.lit(1)) * F.lit(BONUS_UNITS)).alias("score"),
+        F.min(F.struct("hist_rank", "nbr_rank")).alias("_f"),
+    )
+    hist_part = si.select(
+        "session", "aid", F.col("score_carts").alias("score"), _key(0, 0, F.col("first_ts"), F.col("first_pos")).alias("tie")
+    )
+    new_part = bonus.select("session", "aid", "score", _key(1, 0, F.col("_f.hist_rank"), F.col("_f.nbr_rank")).alias("tie"))
+    return hist_part.unionByName(new_part).groupBy("session", "aid").agg(F.sum("score").alias("score"), F.min("tie").alias("tie"))
+
+
 def carts_rerank_scores(
-    history: DataFrame, carts_matrix: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS
+    history: DataFrame,
+    carts_matrix: DataFrame,
+    type_weights: Mapping[int, float] = TYPE_WEIGHTS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """History score (exponent start 0.5) plus 0.03 per occurrence of an item
     in the carts-matrix lists of the session's clicked or carted items.
@@ -174,15 +238,8 @@ def carts_rerank_scores(
     ``(session, aid, score, tie)``: ``tie`` orders equal scores - history
     items by first occurrence, then new items in first-seen list order.
     """
-    buys = history_unique(history, types=(0, 1))
-    scored = rerank_history(history, POSITION_WEIGHT_START["carts"], type_weights)
-    bonus = neighbour_votes(buys, carts_matrix, 0).groupBy("session", "aid").agg(
-        (F.count(F.lit(1)) * F.lit(BONUS_UNITS)).alias("score"),
-        F.min(F.struct("hist_rank", "nbr_rank")).alias("_f"),
-    )
-    hist_part = scored.select("session", "aid", "score", _key(0, 0, F.col("first_ts"), F.col("first_pos")).alias("tie"))
-    new_part = bonus.select("session", "aid", "score", _key(1, 0, F.col("_f.hist_rank"), F.col("_f.nbr_rank")).alias("tie"))
-    return hist_part.unionByName(new_part).groupBy("session", "aid").agg(F.sum("score").alias("score"), F.min("tie").alias("tie"))
+    si = items if items is not None else session_items(history, type_weights)
+    return _carts_scores(si, carts_matrix)
 
 
 def suggest_carts(
@@ -194,6 +251,7 @@ def suggest_carts(
     num_cands: int = 20,
     long_threshold: int = 20,
     type_weights: Mapping[int, float] = TYPE_WEIGHTS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Cart / order candidates per session: ``(session, aid, rank)``.
 
@@ -204,25 +262,20 @@ def suggest_carts(
     matrix x clicked/carted items, b2b matrix x clicked/carted items, then
     popular carted items.
     """
-    uniq = history_unique(history)
-    buys = history_unique(history, types=(0, 1))
-    long_s = uniq.where(F.col("n_unique") >= long_threshold).select("session").distinct()
-    short_s = uniq.where(F.col("n_unique") < long_threshold).select("session").distinct()
-
-    # long branch
-    total = carts_rerank_scores(history.join(long_s, "session", "left_semi"), carts_matrix, type_weights)
+    si = items if items is not None else session_items(history, type_weights)
+    long_items = si.where(F.col("n_unique") >= long_threshold)
+    total = _carts_scores(long_items, carts_matrix)
     long_list = _cut(
         total.select("session", "aid", _key(0, -F.col("score"), F.col("tie.s"), F.col("tie.b"), F.col("tie.c")).alias("key")),
         num_cands,
     )
 
-    # short branch
-    uniq_short = uniq.join(short_s, "session", "left_semi")
-    buys_short = buys.join(short_s, "session", "left_semi")
+    uniq_short = si.where(F.col("n_unique") < long_threshold)
+    buys_short = uniq_short.where(F.col("buy_rank").isNotNull())
     votes = (
         neighbour_votes(uniq_short, carts_matrix, 0)
-        .unionByName(neighbour_votes(buys_short, clicks_matrix, 1))
-        .unionByName(neighbour_votes(buys_short, b2b_matrix, 2))
+        .unionByName(neighbour_votes(buys_short, clicks_matrix, 1, "buy_rank"))
+        .unionByName(neighbour_votes(buys_short, b2b_matrix, 2, "buy_rank"))
     )
     pop = popular.where(F.col("type") == 1)
     return long_list.unionByName(_short_list(uniq_short, votes, pop, num_cands))

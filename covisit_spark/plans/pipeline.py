@@ -10,6 +10,8 @@ shares one subplan (Spark reuses the exchange).
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,28 +19,50 @@ from pyspark.sql import DataFrame, SparkSession
 from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv
 from covisit_spark.operators import split
+from covisit_spark.sources import sinks
 from covisit_spark.sources.feeds import load_feed
 
 
 class Offline:
+    """Lazy pipeline over one feed.
+
+    With ``materialize=True`` (the default) the stage outputs that several
+    consumers read - history, labels, the three matrices, popular items - are
+    written once as Parquet tables under ``spark.checkpoint.dir`` and read
+    back: this cuts the lineage (a lost executor recomputes from the table,
+    not from the raw log) and lets every downstream query reuse them. Tables
+    are written build-if-absent, keyed by application, feed and input path,
+    so a re-run after a failure only rebuilds what did not finish.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "ev_user", num_cands: int = 20,
-                 events: DataFrame | None = None):
+                 events: DataFrame | None = None, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.num_cands = num_cands
+        self.materialize = materialize and events is None
         self.events = events if events is not None else load_feed(spark, sf_dir, feed)
+        digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{digest}"
+
+    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.materialize:
+            return build()
+        return sinks.build_if_absent(self.spark, sinks.table_path(self.spark, f"{self._prefix}/{name}"), build)
 
     @cached_property
-    def _split(self) -> tuple[DataFrame, DataFrame]:
-        return split.cutoff_split(self.events)
+    def _cut(self) -> DataFrame:
+        return self._table("cutoff", lambda: split.with_cutoff(self.events))
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
-        return self._split[0]
+        c = self._cut
+        return c.where(c.rn <= c.cutoff).select(*self.events.columns)
 
-    @property
+    @cached_property
     def labels(self) -> DataFrame:
-        return self._split[1]
+        c = self._cut
+        return c.where(c.rn > c.cutoff).select(*self.events.columns)
 
     @cached_property
     def matrix_source(self) -> DataFrame:
@@ -47,26 +71,32 @@ class Offline:
 
     @cached_property
     def clicks_matrix(self) -> DataFrame:
-        return cv.covisit_clicks(self.matrix_source)
+        return self._table("covisit_clicks", lambda: cv.covisit_clicks(self.matrix_source))
 
     @cached_property
     def carts_matrix(self) -> DataFrame:
-        return cv.covisit_carts(self.matrix_source)
+        return self._table("covisit_carts", lambda: cv.covisit_carts(self.matrix_source))
 
     @cached_property
     def b2b_matrix(self) -> DataFrame:
-        return cv.covisit_b2b(self.matrix_source)
+        return self._table("covisit_b2b", lambda: cv.covisit_b2b(self.matrix_source))
 
     @cached_property
     def popular(self) -> DataFrame:
-        return cand.popular_items(self.history)
+        return self._table("popular", lambda: cand.popular_items(self.history))
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """Per ``(session, item)`` ranks and scores of the history."""
+        return self._table("session_items", lambda: cand.session_items(self.history))
 
     def clicks(self, n: int | None = None) -> DataFrame:
-        return cand.suggest_clicks(self.history, self.clicks_matrix, self.popular, n or self.num_cands)
+        return cand.suggest_clicks(self.history, self.clicks_matrix, self.popular, n or self.num_cands, items=self.items)
 
     def carts(self, n: int | None = None) -> DataFrame:
         return cand.suggest_carts(
-            self.history, self.clicks_matrix, self.carts_matrix, self.b2b_matrix, self.popular, n or self.num_cands
+            self.history, self.clicks_matrix, self.carts_matrix, self.b2b_matrix, self.popular, n or self.num_cands,
+            items=self.items,
         )
 
     def predictions(self, n: int | None = None) -> DataFrame:

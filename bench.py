@@ -44,6 +44,8 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    # JVM / reader warm-up, not timed
+    spark.read.parquet(f"{sf}/events.parquet").write.format("noop").mode("overwrite").save()
     times = {}
     for name, make in headline(spark, sf).items():
         t = time.perf_counter()

@@ -25,10 +25,14 @@ from pyspark.sql import functions as F
 from covisit_spark.functions import DAY_SECONDS, MICRO, RECENT_EVENTS, TYPE_WEIGHTS, weight_map
 
 
-def recent_events(events: DataFrame, n: int = RECENT_EVENTS) -> DataFrame:
-    """The ``n`` most recent events of every session (order ``ts, pos`` desc)."""
+def recent_events(events: DataFrame, n: int = RECENT_EVENTS, keep_rank: bool = False) -> DataFrame:
+    """The ``n`` most recent events of every session (order ``ts, pos`` desc).
+
+    With ``keep_rank`` the recency rank (1 = most recent) is kept as ``rk``.
+    """
     w = Window.partitionBy("session").orderBy(F.col("ts").desc(), F.col("pos").desc())
-    return events.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    r = events.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= n)
+    return r if keep_rank else r.drop("rk")
 
 
 def session_pairs(recent: DataFrame, day_range: float) -> DataFrame:
@@ -36,18 +40,29 @@ def session_pairs(recent: DataFrame, day_range: float) -> DataFrame:
 
     Self pairs (same item) are excluded. One row per pair of events.
     """
-    cols = ["session", "pos", "ts", "type", "aid"]
-    x = recent.select(*cols).toDF("session", "pos_x", "ts_x", "type_x", "aid_x")
-    y = recent.select(*cols).toDF("session", "pos_y", "ts_y", "type_y", "aid_y")
-    band = float(day_range) * DAY_SECONDS
+    cols = ["session", "pos", "ts", "type", "aid"] + (["rk"] if "rk" in recent.columns else [])
+    x = recent.select(*cols).toDF(*["session"] + [f"{c}_x" for c in cols[1:]])
+    y = recent.select(*cols).toDF(*["session"] + [f"{c}_y" for c in cols[1:]])
+    band = int(day_range * DAY_SECONDS) if float(day_range * DAY_SECONDS).is_integer() else float(day_range) * DAY_SECONDS
     return x.join(y, "session").where(
         (F.abs(F.col("ts_x") - F.col("ts_y")) < F.lit(band)) & (F.col("aid_x") != F.col("aid_y"))
     )
 
 
-def distinct_session_pairs(pairs: DataFrame) -> DataFrame:
+def distinct_session_pairs(pairs: DataFrame, recent_n: int = RECENT_EVENTS) -> DataFrame:
     """One row per ``(session, aid_x, aid_y)``: the most recent x event, then
-    the most recent y event, decide ``ts_x`` and ``type_y``."""
+    the most recent y event, decide ``ts_x`` and ``type_y``.
+
+    When the pairs carry recency ranks (``rk_x``, ``rk_y`` from
+    :func:`recent_events`), "most recent" is the smallest integer
+    ``rk_x * (n + 1) + rk_y`` - a primitive ordering key, so Spark uses a hash
+    aggregate instead of sorting the pairs.
+    """
+    if "rk_x" in pairs.columns:
+        order = F.col("rk_x") * F.lit(recent_n + 1) + F.col("rk_y")
+        return pairs.groupBy("session", "aid_x", "aid_y").agg(
+            F.min_by("ts_x", order).alias("ts_x"), F.min_by("type_y", order).alias("type_y")
+        )
     order = F.struct("ts_x", "pos_x", "ts_y", "pos_y")
     return pairs.groupBy("session", "aid_x", "aid_y").agg(
         F.max_by(F.struct("ts_x", "type_y"), order).alias("_k")
@@ -79,7 +94,8 @@ def time_bounds(events: DataFrame) -> DataFrame:
 
 
 def _pairs(events: DataFrame, day_range: float, recent_n: int) -> DataFrame:
-    return distinct_session_pairs(session_pairs(recent_events(events, recent_n), day_range))
+    recent = recent_events(events, recent_n, keep_rank=True)
+    return distinct_session_pairs(session_pairs(recent, day_range), recent_n)
 
 
 def covisit_clicks(

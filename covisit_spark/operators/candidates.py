@@ -33,6 +33,7 @@ from covisit_spark.functions import (
     position_weight,
     to_micro,
 )
+from covisit_spark.operators.positions import ranked_within
 
 BONUS_UNITS = int(round(COVISIT_BONUS * MICRO * MILLI))
 
@@ -67,28 +68,31 @@ def history_unique(history: DataFrame, types: tuple[int, ...] | None = None) ->
     h = history if types is None else history.where(F.col("type").isin(list(types)))
     g = h.groupBy("session", "aid").agg(
         F.max(F.struct("ts", "pos")).alias("_last"), F.min(F.struct("ts", "pos")).alias("_first")
-    )
-    w = Window.partitionBy("session").orderBy(F.col("_last").desc())
-    return g.select(
+    ).select("session", "aid", "_last.ts", "_last.pos", "_first")
+    r = ranked_within(g, ["session"], "ts", ["pos"], descending=True, rank_col="rec_rank", count_col="n_unique")
+    return r.select(
         "session",
         "aid",
-        F.row_number().over(w).cast("int").alias("rec_rank"),
-        F.count(F.lit(1)).over(Window.partitionBy("session")).alias("n_unique"),
+        F.col("rec_rank").cast("int").alias("rec_rank"),
+        "n_unique",
         F.col("_first.ts").alias("first_ts"),
         F.col("_first.pos").alias("first_pos"),
     )
 
 
+def _positions(history: DataFrame) -> DataFrame:
+    """Events with ``i`` (0-based time position) and ``n`` (session length)."""
+    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="n")
+    return e.withColumn("i", (F.col("_rn") - 1).cast("long")).drop("_rn")
+
+
 def history_weights(history: DataFrame, start: float, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
     """Per event: log-spaced position weight and its fixed-point score term.
 
     ``i`` is the 0-based time position, ``n`` the session's event count;
     ``w_units = round(w * 1e6)``, ``term = w_units * type_weight_milli``.
     """
-    ordered = Window.partitionBy("session").orderBy("ts", "pos")
-    e = history.withColumn("i", (F.row_number().over(ordered) - 1).cast("long")).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy("session"))
-    )
+    e = _positions(history)
     w_units = to_micro(position_weight(F.col("i"), F.col("n"), start))
     return e.withColumn("w_units", w_units).withColumn("term", F.col("w_units") * milli_weight_map("type", type_weights))
 
@@ -102,18 +106,15 @@ def rerank_history(history: DataFrame, start: float, type_weights: Mapping[int,
 
 
 def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
-    """Everything the list rules need per ``(session, item)``, in one shuffle.
+    """Everything the list rules need per ``(session, item)``.
 
-    One exchange by ``session`` feeds the position windows, the per-item
-    aggregate and the rank windows (all three keep the partitioning):
-    ``(session, aid, rec_rank, n_unique, buy_rank, n_buys, first_ts,
-    first_pos, score_clicks, score_carts)``. ``buy_rank`` ranks the items with
-    a click or cart event, most recent first (null for the others).
+    ``(session, aid, rec_rank, n_unique, buy_rank, first_ts, first_pos,
+    score_clicks, score_carts)``. ``buy_rank`` ranks the items with a click
+    or cart event, most recent first (null for the others). Positions and
+    ranks come from :func:`ranked_within`, so a hot session is split across
+    tasks; for ordinary data they are plain windows over one exchange.
     """
-    ordered = Window.partitionBy("session").orderBy("ts", "pos")
-    e = history.withColumn("_i", (F.row_number().over(ordered) - 1).cast("long")).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy("session"))
-    )
+    e = _positions(history)
     tw = milli_weight_map("type", type_weights)
     e = e.select(
         "session",
@@ -121,28 +122,32 @@ def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_W
         "ts",
         "pos",
         "type",
-        (to_micro(position_weight(F.col("_i"), F.col("_n"), POSITION_WEIGHT_START["clicks"])) * tw).alias("_tc"),
-        (to_micro(position_weight(F.col("_i"), F.col("_n"), POSITION_WEIGHT_START["carts"])) * tw).alias("_tk"),
+        (to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["clicks"])) * tw).alias("_tc"),
+        (to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["carts"])) * tw).alias("_tk"),
     )
     is_buy = F.col("type").isin(0, 1)
     g = e.groupBy("session", "aid").agg(
         F.max(F.struct("ts", "pos")).alias("_last"),
         F.min(F.struct("ts", "pos")).alias("_first"),
-        F.max(F.when(is_buy, F.struct("ts", "pos"))).alias("_last_buy"),
+        F.max(F.when(is_buy, F.struct("ts", "pos"))).alias("_lb"),
         F.sum("_tc").alias("score_clicks"),
         F.sum("_tk").alias("score_carts"),
+    ).select(
+        "session", "aid", "score_clicks", "score_carts",
+        F.col("_last.ts").alias("_lt"), F.col("_last.pos").alias("_lp"),
+        F.col("_first.ts").alias("first_ts"), F.col("_first.pos").alias("first_pos"),
+        F.col("_lb.ts").alias("_bt"), F.col("_lb.pos").alias("_bp"),
     )
-    by_s = Window.partitionBy("session")
-    buy_w = by_s.orderBy(F.col("_last_buy").desc_nulls_last())
+    g = ranked_within(g, ["session"], "_lt", ["_lp"], descending=True, rank_col="rec_rank", count_col="n_unique")
+    g = ranked_within(g, ["session"], "_bt", ["_bp"], descending=True, rank_col="_br", count_col=None)
     return g.select(
         "session",
         "aid",
-        F.row_number().over(by_s.orderBy(F.col("_last").desc())).cast("int").alias("rec_rank"),
-        F.count(F.lit(1)).over(by_s).alias("n_unique"),
-        F.when(F.col("_last_buy").isNotNull(), F.row_number().over(buy_w)).cast("int").alias("buy_rank"),
-        F.count(F.col("_last_buy")).over(by_s).alias("n_buys"),
-        F.col("_first.ts").alias("first_ts"),
-        F.col("_first.pos").alias("first_pos"),
+        F.col("rec_rank").cast("int").alias("rec_rank"),
+        "n_unique",
+        F.when(F.col("_bt").isNotNull(), F.col("_br")).cast("int").alias("buy_rank"),
+        "first_ts",
+        "first_pos",
         "score_clicks",
         "score_carts",
     )

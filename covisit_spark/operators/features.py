@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covisit_spark.functions import MICRO, TYPE_IDS, hash_unit, position_weight, to_micro
+from covisit_spark.operators.positions import ranked_within
 
 ITEM_FEATURES = [
     "item_item_count",
@@ -107,11 +108,8 @@ def recency_features(history: DataFrame) -> DataFrame:
 
     The score is rounded to micro-units so it is identical across engines.
     """
-    by_s = Window.partitionBy("session")
-    ordered = by_s.orderBy("ts", "pos")
-    e = history.withColumn("session_length", F.count(F.lit(1)).over(by_s)).withColumn(
-        "action_num_reverse_chrono", F.col("session_length") - F.row_number().over(ordered)
-    )
+    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="session_length")
+    e = e.withColumn("action_num_reverse_chrono", F.col("session_length") - F.col("_rn")).drop("_rn")
     L, a = F.col("session_length"), F.col("action_num_reverse_chrono")
     score = F.when(L == 1, F.lit(1.0)).otherwise(position_weight(L - a - 1, L, 0.1))
     return e.withColumn("log_recency_score", to_micro(score).cast("double") / F.lit(float(MICRO)))

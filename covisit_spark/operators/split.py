@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covisit_spark.functions import hash_cutoff, type_id_to_name
+from covisit_spark.operators.positions import ranked_within
 
 WEEK_SECONDS = 7 * 86400
 
@@ -50,9 +51,7 @@ def with_cutoff(events: DataFrame, seed: int = 42, mult: int = 7919) -> DataFram
     Sessions with fewer than two events have no valid cutoff and are dropped
     from both history and labels.
     """
-    by_session = Window.partitionBy("session")
-    ordered = by_session.orderBy("ts", "pos")
-    e = events.withColumn("n", F.count(F.lit(1)).over(by_session)).withColumn("rn", F.row_number().over(ordered))
+    e = ranked_within(events, ["session"], "ts", ["pos"], rank_col="rn", count_col="n")
     e = e.where(F.col("n") >= 2)
     return e.withColumn("cutoff", hash_cutoff(F.col("session"), F.col("n"), seed, mult))
 
@@ -75,8 +74,8 @@ def ground_truth(labels: DataFrame, clicks_first_only: bool = True) -> DataFrame
     Duplicates are kept (a label list may repeat an item). For clicks only
     the first label is kept.
     """
-    w = Window.partitionBy("session", "type").orderBy("ts", "pos")
-    gt = labels.withColumn("label_rank", F.row_number().over(w).cast("int"))
+    gt = ranked_within(labels, ["session", "type"], "ts", ["pos"], rank_col="label_rank", count_col=None)
+    gt = gt.withColumn("label_rank", F.col("label_rank").cast("int"))
     if clicks_first_only:
         gt = gt.where((F.col("type") != 0) | (F.col("label_rank") == 1))
     return gt.select("session", type_id_to_name("type").alias("type"), "label_rank", "aid")
@@ -122,8 +121,8 @@ def session_lists(events: DataFrame, chunk_size: int = 1024) -> DataFrame:
     Lists are cut into chunks of ``chunk_size`` events so that no row holds an
     unbounded array: ``(session, chunk, aids, types)``.
     """
-    w = Window.partitionBy("session").orderBy("ts", "pos")
-    e = events.withColumn("_i", F.row_number().over(w) - 1).withColumn("chunk", F.expr(f"CAST(_i div {int(chunk_size)} AS INT)"))
+    e = ranked_within(events, ["session"], "ts", ["pos"], rank_col="_r", count_col=None)
+    e = e.withColumn("_i", F.col("_r") - 1).withColumn("chunk", F.expr(f"CAST(_i div {int(chunk_size)} AS INT)"))
     g = e.groupBy("session", "chunk").agg(F.array_sort(F.collect_list(F.struct("_i", "aid", "type"))).alias("_l"))
     return g.select(
         "session",

@@ -69,7 +69,8 @@ def history_unique(history: DataFrame, types: tuple[int, ...] | None = None) ->
     g = h.groupBy("session", "aid").agg(
         F.max(F.struct("ts", "pos")).alias("_last"), F.min(F.struct("ts", "pos")).alias("_first")
     ).select("session", "aid", "_last.ts", "_last.pos", "_first")
-    r = ranked_within(g, ["session"], "ts", ["pos"], descending=True, rank_col="rec_rank", count_col="n_unique")
+    r = ranked_within(g, ["session"], "ts", ["pos"], descending=True, rank_col="rec_rank", count_col="n_unique",
+                      bound_by=history)
     return r.select(
         "session",
         "aid",
@@ -138,8 +139,10 @@ def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_W
         F.col("_first.ts").alias("first_ts"), F.col("_first.pos").alias("first_pos"),
         F.col("_lb.ts").alias("_bt"), F.col("_lb.pos").alias("_bp"),
     )
-    g = ranked_within(g, ["session"], "_lt", ["_lp"], descending=True, rank_col="rec_rank", count_col="n_unique")
-    g = ranked_within(g, ["session"], "_bt", ["_bp"], descending=True, rank_col="_br", count_col=None)
+    g = ranked_within(g, ["session"], "_lt", ["_lp"], descending=True, rank_col="rec_rank", count_col="n_unique",
+                      bound_by=history)
+    g = ranked_within(g, ["session"], "_bt", ["_bp"], descending=True, rank_col="_br", count_col=None,
+                      bound_by=history)
     return g.select(
         "session",
         "aid",

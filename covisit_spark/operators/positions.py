@@ -21,6 +21,7 @@ group exceeds ``bucket_rows`` the plain window is used directly.
 from __future__ import annotations
 
 import os
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -31,6 +32,22 @@ from pyspark.sql import functions as F
 BUCKET_ROWS = int(os.environ.get("COVISIT_BUCKET_ROWS", 2_000_000))
 MAX_BROADCAST_GROUPS = 1_000_000
 _LAST_BUCKET = 1 << 62
+_CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
+def hot_group_count(df: DataFrame, keys: Sequence[str], bucket_rows: int | None = None) -> int:
+    """Number of groups of ``df`` with more than ``bucket_rows`` rows.
+
+    One partial aggregate and a count of a small result; memoised per frame,
+    so several rankings over the same (or a derived, never larger) input pay
+    for one check.
+    """
+    bucket_rows = bucket_rows or BUCKET_ROWS
+    memo = _CHECKS.setdefault(df, {})
+    k = (tuple(keys), bucket_rows)
+    if k not in memo:
+        memo[k] = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket_rows).count()
+    return memo[k]
 
 
 def ranked_within(
@@ -43,11 +60,15 @@ def ranked_within(
     count_col: str | None = "n",
     bucket_rows: int | None = None,
     max_broadcast_groups: int = MAX_BROADCAST_GROUPS,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (1-based, by ``order_col`` then ``tiebreak``; nulls
     last) and optionally ``count_col`` (rows of the group).
 
     ``order_col`` must be an integer column (epoch seconds, positions).
+    ``bound_by`` is a frame whose group sizes bound those of ``df`` (e.g. the
+    events a per-item table was aggregated from); the hot-group check runs on
+    it once and is reused.
     """
     keys = list(keys)
     bucket_rows = bucket_rows or BUCKET_ROWS
@@ -55,6 +76,12 @@ def ranked_within(
     order = [direction(order_col)] + [direction(c) for c in tiebreak]
     by_key = Window.partitionBy(*keys)
 
+    if hot_group_count(bound_by if bound_by is not None else df, keys, bucket_rows) == 0:
+        out = df.withColumn(rank_col, F.row_number().over(by_key.orderBy(*order)))
+        if count_col:
+            out = out.withColumn(count_col, F.count(F.lit(1)).over(by_key))
+        return out
+
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_t0"), F.max(order_col).alias("_t1")
     )
@@ -64,13 +91,7 @@ def ranked_within(
         "_t1",
         F.greatest(F.lit(1), F.expr(f"((_t1 - _t0 + 1) * {int(bucket_rows)}) div _n")).alias("_w"),
     )
-    n_big = big.count()  # size check on a small aggregate
-    if n_big == 0:
-        out = df.withColumn(rank_col, F.row_number().over(by_key.orderBy(*order)))
-        if count_col:
-            out = out.withColumn(count_col, F.count(F.lit(1)).over(by_key))
-        return out
-
+    n_big = big.count()  # at most rows / bucket_rows groups; broadcast only below the limit
     side = F.broadcast(big) if n_big <= max_broadcast_groups else big
     cols = df.columns
     e = df.join(side, keys, "left")

@@ -469,11 +469,29 @@ def _predictions_ranked(spark, sf):
 @query("ranker_scores")
 def _ranker_scores(spark, sf):
     """Train on down-sampled negatives (fold 0 validates), score every candidate."""
-    f = rk.group_folds(_cands50(spark, sf).candidate_frame("carts"))
+    f = _cands50(spark, sf).ranker_inputs("carts")
     model = rk.train_ranker(ft.downsample_negatives(f, "carts", 0.3), "carts", params={"maxIter": 20})
     return rk.score([model], f).select("user", "item", "score")
 
 
+@query("ranker_sweep")
+def _ranker_sweep(spark, sf):
+    """Results table of a (one-point) configuration sweep: recall and MAP@20."""
+    from covisit_spark.plans.pipeline import ranker_sweep
+
+    grid = rk.param_grid({"maxIter": [10], "maxDepth": [5], "stepSize": [0.1]})
+    return ranker_sweep(Offline(spark, sf, num_cands=50), grid)
+
+
+@query("feature_importance")
+def _feature_importance(spark, sf):
+    o = Offline(spark, sf, num_cands=50)
+    frame = o.ranker_inputs("carts")
+    feats = [c for c in ft.FEATURES if c in frame.columns]
+    model = rk.train_ranker(ft.downsample_negatives(frame, "carts", 0.3), "carts", feats, params={"maxIter": 10})
+    return spark.createDataFrame(rk.feature_importance(model, feats), "feature string, importance double")
+
+
 def queries() -> dict[str, Query]:
     return dict(Q)
 

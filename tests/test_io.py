@@ -47,3 +47,13 @@ def test_submission_csv(spark, tmp_path):
     part = [f for f in os.listdir(out) if f.endswith(".csv.gz")][0]
     text = gzip.open(out / part, "rt").read().splitlines()
     assert text == ["session_type,labels", "3_carts,8 9"]
+
+
+def test_build_matrices_writes_three_tables(spark, tmp_path):
+    from covisit_spark.plans.pipeline import build_matrices
+
+    e = events_df(spark, [(1, 0, 0, 0, 1), (1, 1, 100, 1, 2), (1, 2, 200, 2, 3)])
+    m = build_matrices(spark, e, str(tmp_path / "cv"))
+    assert sorted(m) == ["b2b", "carts", "clicks"]
+    assert {n: t.count() for n, t in m.items()} == {"clicks": 6, "carts": 6, "b2b": 2}
+    assert all((tmp_path / "cv" / n / "_SUCCESS").exists() for n in m)

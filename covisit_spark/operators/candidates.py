@@ -173,6 +173,22 @@ def vote_keys(votes: DataFrame) -> DataFrame:
     )
 
 
+def vote_top_n(votes: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Vote winners not already in the history, cut to the free slots
+    ``n - n_unique``: ``(session, aid, votes, rank)``.
+
+    The constant bound ``rank <= n`` comes first so Catalyst plans a partial
+    group limit before the shuffle; the per-session bound follows.
+    """
+    vk = vote_keys(votes).join(items.select("session", "aid"), ["session", "aid"], "left_anti")
+    w = Window.partitionBy("session").orderBy("key")
+    r = vk.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n)
+    free = items.where(F.col("rec_rank") == 1).select("session", "n_unique")
+    return r.join(free, "session").where(F.col("rank") <= F.lit(n) - F.col("n_unique")).select(
+        "session", "aid", "votes", "rank"
+    )
+
+
 def _cut(keyed: DataFrame, n: int) -> DataFrame:
     best = keyed.groupBy("session", "aid").agg(F.min("key").alias("key"))
     w = Window.partitionBy("session").orderBy("key")

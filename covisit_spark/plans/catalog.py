@@ -265,15 +265,7 @@ def _candidate_votes_carts(spark, sf):
 
 
 def _topn(o: Offline, votes: DataFrame, n: int) -> DataFrame:
-    """Vote ranking with history items removed, cut to the free slots."""
-    uniq = cand.history_unique(o.history)
-    free = uniq.groupBy("session").agg(F.count(F.lit(1)).alias("n_hist"))
-    vk = cand.vote_keys(votes).join(uniq.select("session", "aid"), ["session", "aid"], "left_anti")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("session").orderBy("key")
-    r = vk.withColumn("rank", F.row_number().over(w).cast("int")).join(free, "session")
-    return r.where(F.col("rank") <= F.lit(n) - F.col("n_hist")).select("session", "aid", "votes", "rank")
+    return cand.vote_top_n(votes, cand.history_unique(o.history), n)
 
 
 @query("candidate_topn_clicks")

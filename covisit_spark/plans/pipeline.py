@@ -115,7 +115,7 @@ class Offline:
         cands = ft.rank_features(ft.candidate_rows(self.carts(n)))
         f = ft.candidate_features(cands, ft.item_features(self.matrix_source), ft.user_features(self.history))
         if with_labels:
-            f = ft.candidate_labels(f, self.truth, target)
+            f = ft.cap_per_user(ft.candidate_labels(f, self.truth, target), n)
         last = ft.last_typed_event(ft.recency_features(self.history), target)
         return ft.ranker_frame(f, last)
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covisit_spark.functions import DAY_SECONDS, MICRO, RECENT_EVENTS, TYPE_WEIGHTS, weight_map
@@ -69,25 +69,32 @@ def distinct_session_pairs(pairs: DataFrame, recent_n: int = RECENT_EVENTS) -> D
     ).select("session", "aid_x", "aid_y", "_k.ts_x", "_k.type_y")
 
 
-def top_k_neighbours(weighted: DataFrame, k: int) -> DataFrame:
-    """Sum ``wgt_units`` per pair and keep the ``k`` best ``aid_y`` per ``aid_x``.
+def top_k_from_units(summed: DataFrame, units_col: str, k: int) -> DataFrame:
+    """Keep the ``k`` best ``aid_y`` per ``aid_x`` by an already summed
+    ``units_col``; ties by ``aid_y`` ascending (a total order).
 
-    Ties are broken by ``aid_y`` ascending so the result is a total order.
+    ``row_number <= k`` is planned as a partial group limit before the shuffle
+    by ``aid_x`` and a final one after it.
     """
-    summed = weighted.groupBy("aid_x", "aid_y").agg(F.sum("wgt_units").alias("wgt_units"))
-    w = Window.partitionBy("aid_x").orderBy(F.col("wgt_units").desc(), F.col("aid_y").asc())
+    w = Window.partitionBy("aid_x").orderBy(F.col(units_col).desc(), F.col("aid_y").asc())
     return (
         summed.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
         .select(
             "aid_x",
             "aid_y",
-            (F.col("wgt_units").cast("double") / F.lit(float(MICRO))).alias("wgt"),
+            (F.col(units_col).cast("double") / F.lit(float(MICRO))).alias("wgt"),
             F.col("rank").cast("int").alias("rank"),
         )
     )
 
 
+def top_k_neighbours(weighted: DataFrame, k: int) -> DataFrame:
+    """Sum ``wgt_units`` per pair and keep the ``k`` best ``aid_y`` per ``aid_x``."""
+    summed = weighted.groupBy("aid_x", "aid_y").agg(F.sum("wgt_units").alias("wgt_units"))
+    return top_k_from_units(summed, "wgt_units", k)
+
+
 def time_bounds(events: DataFrame) -> DataFrame:
     """One-row frame ``t0, t1`` = min / max ``ts``."""
     return events.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
@@ -98,6 +105,43 @@ def _pairs(events: DataFrame, day_range: float, recent_n: int) -> DataFrame:
     return distinct_session_pairs(session_pairs(recent, day_range), recent_n)
 
 
+def _bounds(events: DataFrame, t0: int | None, t1: int | None) -> DataFrame:
+    if t0 is None or t1 is None:
+        return F.broadcast(time_bounds(events))
+    one = events.sparkSession.range(1).select(F.lit(t0).cast("long").alias("t0"), F.lit(t1).cast("long").alias("t1"))
+    return F.broadcast(one)
+
+
+def _time_units() -> Column:
+    # 1 + 3 * (ts_x - t0) / (t1 - t0) in micro-units; exact integer division
+    return F.expr(f"{MICRO} + ({3 * MICRO} * (ts_x - t0)) div greatest(t1 - t0, 1)")
+
+
+def _type_units(type_weights: Mapping[int, float]) -> Column:
+    return weight_map("type_y", {k: int(round(v * MICRO)) for k, v in type_weights.items()}, default=0).cast("long")
+
+
+def pair_weights(
+    events: DataFrame,
+    day_range: float = 1,
+    t0: int | None = None,
+    t1: int | None = None,
+    type_weights: Mapping[int, float] = TYPE_WEIGHTS,
+    recent_n: int = RECENT_EVENTS,
+) -> DataFrame:
+    """Both 1-day weight sums from one pair pass: ``(aid_x, aid_y,
+    clicks_units, carts_units)``.
+
+    The clicks (time-weighted) and carts (type-weighted) matrices share the
+    recent-event cap, the band and the per-session de-duplication; only the
+    weight differs. One self-join and one aggregation shuffle serve both.
+    """
+    d = _pairs(events, day_range, recent_n).crossJoin(_bounds(events, t0, t1))
+    return d.groupBy("aid_x", "aid_y").agg(
+        F.sum(_time_units()).alias("clicks_units"), F.sum(_type_units(type_weights)).alias("carts_units")
+    )
+
+
 def covisit_clicks(
     events: DataFrame,
     num_cand: int = 20,
@@ -111,16 +155,8 @@ def covisit_clicks(
     ``t0``/``t1`` default to the min / max ``ts`` of ``events`` (a one-row
     aggregate joined by broadcast; its size is one row by construction).
     """
-    d = _pairs(events, day_range, recent_n)
-    if t0 is None or t1 is None:
-        bounds = F.broadcast(time_bounds(events))
-    else:
-        bounds = events.sparkSession.range(1).select(F.lit(t0).cast("long").alias("t0"), F.lit(t1).cast("long").alias("t1"))
-        bounds = F.broadcast(bounds)
-    # exact integer division (SQL ``div``), not a rounded double quotient
-    units = F.expr(f"{MICRO} + ({3 * MICRO} * (ts_x - t0)) div greatest(t1 - t0, 1)")
-    weighted = d.crossJoin(bounds).select("aid_x", "aid_y", units.alias("wgt_units"))
-    return top_k_neighbours(weighted, num_cand)
+    d = _pairs(events, day_range, recent_n).crossJoin(_bounds(events, t0, t1))
+    return top_k_neighbours(d.select("aid_x", "aid_y", _time_units().alias("wgt_units")), num_cand)
 
 
 def covisit_carts(
@@ -132,8 +168,7 @@ def covisit_carts(
 ) -> DataFrame:
     """Type-weighted matrix: weight by the type of the ``aid_y`` event."""
     d = _pairs(events, day_range, recent_n)
-    units = weight_map("type_y", {k: int(round(v * MICRO)) for k, v in type_weights.items()}, default=0).cast("long")
-    return top_k_neighbours(d.select("aid_x", "aid_y", units.alias("wgt_units")), num_cand)
+    return top_k_neighbours(d.select("aid_x", "aid_y", _type_units(type_weights).alias("wgt_units")), num_cand)
 
 
 def covisit_b2b(

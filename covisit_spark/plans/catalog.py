@@ -210,6 +210,11 @@ def _covisit_lists(spark, sf):
     return lists.select("aid_x", F.array_join(F.col("neighbours").cast("array<string>"), " ").alias("neighbours"))
 
 
+@query("covisit_pair_weights")
+def _covisit_pair_weights(spark, sf):
+    return cv.pair_weights(ev_user(spark, sf))
+
+
 @query("covisit_b2b_orders")
 def _covisit_b2b_orders(spark, sf):
     return cv.covisit_b2b(ol_cust(spark, sf))

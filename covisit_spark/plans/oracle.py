@@ -551,6 +551,12 @@ GROUP BY session, (rn - 1) // 4
         f"""
 SELECT aid_x, string_agg(CAST(aid_y AS VARCHAR), ' ' ORDER BY rank) AS neighbours
 FROM {M_USER['clicks']} GROUP BY aid_x
+"""
+    )
+    q["covisit_pair_weights"] = build(
+        f"""
+SELECT aid_x, aid_y, CAST(sum({W_TIME}) AS BIGINT) AS clicks_units, CAST(sum({W_TYPE}) AS BIGINT) AS carts_units
+FROM mu_ck_dedup d, mu_ck_bounds b GROUP BY aid_x, aid_y
 """
     )
     m_ol = covisit_ctes("mo_bb", "ol_cust", 14, 15, W_UNIT, where="type IN (1, 2)")

@@ -69,13 +69,22 @@ class Offline:
         """Events the matrices are built from: the history (labels excluded)."""
         return self.history
 
+    @cached_property
+    def pair_weights(self) -> DataFrame:
+        """Clicks and carts weight sums of every 1-day pair (one pair pass)."""
+        return self._table("pair_weights_1d", lambda: cv.pair_weights(self.matrix_source))
+
     @cached_property
     def clicks_matrix(self) -> DataFrame:
-        return self._table("covisit_clicks", lambda: cv.covisit_clicks(self.matrix_source))
+        if not self.materialize:
+            return cv.covisit_clicks(self.matrix_source)
+        return self._table("covisit_clicks", lambda: cv.top_k_from_units(self.pair_weights, "clicks_units", 20))
 
     @cached_property
     def carts_matrix(self) -> DataFrame:
-        return self._table("covisit_carts", lambda: cv.covisit_carts(self.matrix_source))
+        if not self.materialize:
+            return cv.covisit_carts(self.matrix_source)
+        return self._table("covisit_carts", lambda: cv.top_k_from_units(self.pair_weights, "carts_units", 15))
 
     @cached_property
     def b2b_matrix(self) -> DataFrame:

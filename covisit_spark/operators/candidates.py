@@ -2,9 +2,9 @@
 
 Lists are flat ``(session, aid, rank)`` frames. Ordered-list rules become
 sort keys: every candidate source (history, co-visitation votes, popular
-items) emits ``(session, aid, key)`` where ``key`` is a struct whose natural
-order is the list order; one ``groupBy(session, aid).min(key)`` removes
-items already placed by an earlier source, and one ``row_number`` window per
+items) emits ``(session, aid, key)`` where ``key`` is a ``BIGINT`` whose order
+is the list order; one ``groupBy(session, aid).min(key)`` removes items
+already placed by an earlier source, and one ``row_number`` window per
 session cuts the list to ``N``.
 
 Because the vote section is only cut when it alone fills the list, the
@@ -12,8 +12,15 @@ popular-item fill never competes with an unselected vote, so the union-then-
 cut form returns exactly the sequential list (history, then votes, then
 popular items).
 
-Scores that order items are fixed-point ``BIGINT``: position weights in
-micro-units times type weights in milli-units (1e-9 units).
+All keys, ties and scores are primitive ``BIGINT`` (no struct min/max), so
+every aggregate is a hash aggregate and every top-N window with a constant
+bound gets a partial group limit before its shuffle. Scores are fixed-point:
+position weights in micro-units times type weights in milli-units.
+
+Packed keys (bit budget): list section ``< 4`` times ``2^40`` plus a rank
+``< 2^31``; first-seen vote position = ``src * 2^60 + hist_rank * 2^29 +
+nbr_rank`` with ``src <= 2``, ``hist_rank < 2^31`` (an INT rank) and
+``nbr_rank < 2^29`` (matrices keep far fewer neighbours).
 """
 
 from __future__ import annotations
@@ -36,15 +43,16 @@ from covisit_spark.functions import (
 from covisit_spark.operators.positions import ranked_within
 
 BONUS_UNITS = int(round(COVISIT_BONUS * MICRO * MILLI))
+SECTION = 1 << 40
+NEW_ITEM = 1 << 62
 
 
-def _key(section: int | Column, a: Column, b: Column | int = 0, c: Column | int = 0, d: Column | int = 0) -> Column:
-    def lng(x):
-        return (x if isinstance(x, Column) else F.lit(x)).cast("long")
+def _section_key(section: int, rank: Column) -> Column:
+    return (F.lit(section * SECTION) + rank.cast("long")).alias("key")
 
-    return F.struct(
-        lng(section).alias("s"), lng(a).alias("a"), lng(b).alias("b"), lng(c).alias("c"), lng(d).alias("d")
-    )
+
+def _first_seen(src: Column, hist_rank: Column, nbr_rank: Column) -> Column:
+    return src.cast("long") * F.lit(1 << 60) + hist_rank.cast("long") * F.lit(1 << 29) + nbr_rank.cast("long")
 
 
 def popular_items(history: DataFrame, top: int = 20) -> DataFrame:
@@ -59,32 +67,26 @@ def popular_items(history: DataFrame, top: int = 20) -> DataFrame:
     return c.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= top)
 
 
+def _positions(history: DataFrame) -> DataFrame:
+    """Events with ``i`` (0-based time position) and ``n`` (session length)."""
+    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="n")
+    return e.withColumn("i", (F.col("_rn") - 1).cast("long")).drop("_rn")
+
+
 def history_unique(history: DataFrame, types: tuple[int, ...] | None = None) -> DataFrame:
     """Distinct items of each session, most recent first.
 
-    ``(session, aid, rec_rank, n_unique, first_ts, first_pos)``; ``types``
-    restricts the events considered (e.g. clicks and carts).
+    ``(session, aid, rec_rank, n_unique, first_i)``; ``types`` restricts the
+    events considered (e.g. clicks and carts). Recency is the item's largest
+    time position ``i``, so the aggregate is over integers.
     """
-    h = history if types is None else history.where(F.col("type").isin(list(types)))
-    g = h.groupBy("session", "aid").agg(
-        F.max(F.struct("ts", "pos")).alias("_last"), F.min(F.struct("ts", "pos")).alias("_first")
-    ).select("session", "aid", "_last.ts", "_last.pos", "_first")
-    r = ranked_within(g, ["session"], "ts", ["pos"], descending=True, rank_col="rec_rank", count_col="n_unique",
+    e = _positions(history)
+    if types is not None:
+        e = e.where(F.col("type").isin(list(types)))
+    g = e.groupBy("session", "aid").agg(F.max("i").alias("_li"), F.min("i").alias("first_i"))
+    r = ranked_within(g, ["session"], "_li", descending=True, rank_col="rec_rank", count_col="n_unique",
                       bound_by=history)
-    return r.select(
-        "session",
-        "aid",
-        F.col("rec_rank").cast("int").alias("rec_rank"),
-        "n_unique",
-        F.col("_first.ts").alias("first_ts"),
-        F.col("_first.pos").alias("first_pos"),
-    )
-
-
-def _positions(history: DataFrame) -> DataFrame:
-    """Events with ``i`` (0-based time position) and ``n`` (session length)."""
-    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="n")
-    return e.withColumn("i", (F.col("_rn") - 1).cast("long")).drop("_rn")
+    return r.select("session", "aid", F.col("rec_rank").cast("int").alias("rec_rank"), "n_unique", "first_i")
 
 
 def history_weights(history: DataFrame, start: float, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
@@ -99,58 +101,41 @@ def history_weights(history: DataFrame, start: float, type_weights: Mapping[int,
 
 
 def rerank_history(history: DataFrame, start: float, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
-    """History score per ``(session, aid)`` with its first occurrence."""
+    """History score per ``(session, aid)`` with its first time position."""
     hw = history_weights(history, start, type_weights)
-    return hw.groupBy("session", "aid").agg(
-        F.sum("term").alias("score"), F.min(F.struct("ts", "pos")).alias("_first")
-    ).select("session", "aid", "score", F.col("_first.ts").alias("first_ts"), F.col("_first.pos").alias("first_pos"))
+    return hw.groupBy("session", "aid").agg(F.sum("term").alias("score"), F.min("i").alias("first_i"))
 
 
 def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
     """Everything the list rules need per ``(session, item)``.
 
-    ``(session, aid, rec_rank, n_unique, buy_rank, first_ts, first_pos,
-    score_clicks, score_carts)``. ``buy_rank`` ranks the items with a click
-    or cart event, most recent first (null for the others). Positions and
-    ranks come from :func:`ranked_within`, so a hot session is split across
-    tasks; for ordinary data they are plain windows over one exchange.
+    ``(session, aid, rec_rank, n_unique, buy_rank, first_i, score_clicks,
+    score_carts)``. ``buy_rank`` ranks the items with a click or cart event,
+    most recent first (null for the others). Positions and ranks come from
+    :func:`ranked_within`, so a hot session is split across tasks; for
+    ordinary data they are plain windows, and the per-item aggregate is a hash
+    aggregate over integer positions.
     """
     e = _positions(history)
     tw = milli_weight_map("type", type_weights)
-    e = e.select(
-        "session",
-        "aid",
-        "ts",
-        "pos",
-        "type",
-        (to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["clicks"])) * tw).alias("_tc"),
-        (to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["carts"])) * tw).alias("_tk"),
-    )
     is_buy = F.col("type").isin(0, 1)
     g = e.groupBy("session", "aid").agg(
-        F.max(F.struct("ts", "pos")).alias("_last"),
-        F.min(F.struct("ts", "pos")).alias("_first"),
-        F.max(F.when(is_buy, F.struct("ts", "pos"))).alias("_lb"),
-        F.sum("_tc").alias("score_clicks"),
-        F.sum("_tk").alias("score_carts"),
-    ).select(
-        "session", "aid", "score_clicks", "score_carts",
-        F.col("_last.ts").alias("_lt"), F.col("_last.pos").alias("_lp"),
-        F.col("_first.ts").alias("first_ts"), F.col("_first.pos").alias("first_pos"),
-        F.col("_lb.ts").alias("_bt"), F.col("_lb.pos").alias("_bp"),
+        F.max("i").alias("_li"),
+        F.min("i").alias("first_i"),
+        F.max(F.when(is_buy, F.col("i"))).alias("_bi"),
+        F.sum(to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["clicks"])) * tw).alias("score_clicks"),
+        F.sum(to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["carts"])) * tw).alias("score_carts"),
     )
-    g = ranked_within(g, ["session"], "_lt", ["_lp"], descending=True, rank_col="rec_rank", count_col="n_unique",
-                      bound_by=history)
-    g = ranked_within(g, ["session"], "_bt", ["_bp"], descending=True, rank_col="_br", count_col=None,
+    g = ranked_within(g, ["session"], "_li", descending=True, rank_col="rec_rank", count_col="n_unique",
                       bound_by=history)
+    g = ranked_within(g, ["session"], "_bi", descending=True, rank_col="_br", count_col=None, bound_by=history)
     return g.select(
         "session",
         "aid",
         F.col("rec_rank").cast("int").alias("rec_rank"),
         "n_unique",
-        F.when(F.col("_bt").isNotNull(), F.col("_br")).cast("int").alias("buy_rank"),
-        "first_ts",
-        "first_pos",
+        F.when(F.col("_bi").isNotNull(), F.col("_br")).cast("int").alias("buy_rank"),
+        "first_i",
         "score_clicks",
         "score_carts",
     )
@@ -164,15 +149,18 @@ def neighbour_votes(items: DataFrame, matrix: DataFrame, src: int, rank_col: str
 
 
 def vote_keys(votes: DataFrame) -> DataFrame:
-    """Vote count and first-seen position per candidate, as a list key."""
-    g = votes.groupBy("session", "aid").agg(
-        F.count(F.lit(1)).alias("votes"), F.min(F.struct("src", "hist_rank", "nbr_rank")).alias("_f")
-    )
-    return g.select(
-        "session", "aid", "votes", _key(1, -F.col("votes"), F.col("_f.src"), F.col("_f.hist_rank"), F.col("_f.nbr_rank")).alias("key")
+    """Vote count and first-seen list position per candidate:
+    ``(session, aid, votes, first_seen)``."""
+    return votes.groupBy("session", "aid").agg(
+        F.count(F.lit(1)).alias("votes"),
+        F.min(_first_seen(F.col("src"), F.col("hist_rank"), F.col("nbr_rank"))).alias("first_seen"),
     )
 
 
+def _vote_order() -> list[Column]:
+    return [F.col("votes").desc(), F.col("first_seen").asc()]
+
+
 def vote_top_n(votes: DataFrame, items: DataFrame, n: int) -> DataFrame:
     """Vote winners not already in the history, cut to the free slots
     ``n - n_unique``: ``(session, aid, votes, rank)``.
@@ -181,7 +169,7 @@ def vote_top_n(votes: DataFrame, items: DataFrame, n: int) -> DataFrame:
     group limit before the shuffle; the per-session bound follows.
     """
     vk = vote_keys(votes).join(items.select("session", "aid"), ["session", "aid"], "left_anti")
-    w = Window.partitionBy("session").orderBy("key")
+    w = Window.partitionBy("session").orderBy(*_vote_order())
     r = vk.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n)
     free = items.where(F.col("rec_rank") == 1).select("session", "n_unique")
     return r.join(free, "session").where(F.col("rank") <= F.lit(n) - F.col("n_unique")).select(
@@ -190,6 +178,7 @@ def vote_top_n(votes: DataFrame, items: DataFrame, n: int) -> DataFrame:
 
 
 def _cut(keyed: DataFrame, n: int) -> DataFrame:
+    """Keep each item's smallest key, then the ``n`` smallest keys per session."""
     best = keyed.groupBy("session", "aid").agg(F.min("key").alias("key"))
     w = Window.partitionBy("session").orderBy("key")
     return best.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n).select(
@@ -197,13 +186,26 @@ def _cut(keyed: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _top_unique(scored: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """``n`` best rows per session of a frame already unique per (session, aid)."""
+    w = Window.partitionBy("session").orderBy(*order)
+    return scored.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= n).select(
+        "session", "aid", "rank"
+    )
+
+
 def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int) -> DataFrame:
-    hist = uniq_short.select("session", "aid", _key(0, F.col("rec_rank")).alias("key"))
-    vk = vote_keys(votes).select("session", "aid", "key")
+    hist = uniq_short.select("session", "aid", _section_key(0, F.col("rec_rank")))
+    # Vote order over all candidates, history items included: at most n_unique
+    # of the first n are history items, so the first n always hold the
+    # n - n_unique winners that the list needs (constant bound: partial limit).
+    w = Window.partitionBy("session").orderBy(*_vote_order())
+    ranked = vote_keys(votes).withColumn("_vr", F.row_number().over(w)).where(F.col("_vr") <= n)
+    vk = ranked.select("session", "aid", _section_key(1, F.col("_vr")))
     sessions = uniq_short.where(F.col("rec_rank") == 1).select("session")
     # popular list: at most ``top`` rows per type (20), broadcast is bounded
     fill = sessions.crossJoin(F.broadcast(pop.select("aid", "rank"))).select(
-        "session", "aid", _key(2, F.col("rank")).alias("key")
+        "session", "aid", _section_key(2, F.col("rank"))
     )
     return _cut(hist.unionByName(vk).unionByName(fill), n)
 
@@ -224,12 +226,8 @@ def suggest_clicks(
     precomputed :func:`session_items` frame (built from ``history`` if absent).
     """
     si = items if items is not None else session_items(history, type_weights)
-    long_items = si.where(F.col("n_unique") >= num_cands)
-    long_list = _cut(
-        long_items.select(
-            "session", "aid", _key(0, -F.col("score_clicks"), F.col("first_ts"), F.col("first_pos")).alias("key")
-        ),
-        num_cands,
+    long_list = _top_unique(
+        si.where(F.col("n_unique") >= num_cands), num_cands, [F.col("score_clicks").desc(), F.col("first_i").asc()]
     )
     uniq_short = si.where(F.col("n_unique") < num_cands)
     votes = neighbour_votes(uniq_short, clicks_matrix, 0)
@@ -238,15 +236,15 @@ def suggest_clicks(
 
 
 def _carts_scores(si: DataFrame, carts_matrix: DataFrame) -> DataFrame:
+    """History score plus bonus; ``tie``: history items by first position,
+    then new items (offset ``2^62``) by first-seen list position."""
     buys = si.where(F.col("buy_rank").isNotNull())
     bonus = neighbour_votes(buys, carts_matrix, 0, "buy_rank").groupBy("session", "aid").agg(
         (F.count(F.lit(1)) * F.lit(BONUS_UNITS)).alias("score"),
-        F.min(F.struct("hist_rank", "nbr_rank")).alias("_f"),
+        F.min(_first_seen(F.lit(0), F.col("hist_rank"), F.col("nbr_rank"))).alias("_f"),
     )
-    hist_part = si.select(
-        "session", "aid", F.col("score_carts").alias("score"), _key(0, 0, F.col("first_ts"), F.col("first_pos")).alias("tie")
-    )
-    new_part = bonus.select("session", "aid", "score", _key(1, 0, F.col("_f.hist_rank"), F.col("_f.nbr_rank")).alias("tie"))
+    hist_part = si.select("session", "aid", F.col("score_carts").alias("score"), F.col("first_i").alias("tie"))
+    new_part = bonus.select("session", "aid", "score", (F.lit(NEW_ITEM) + F.col("_f")).alias("tie"))
     return hist_part.unionByName(new_part).groupBy("session", "aid").agg(F.sum("score").alias("score"), F.min("tie").alias("tie"))
 
 
@@ -287,12 +285,8 @@ def suggest_carts(
     popular carted items.
     """
     si = items if items is not None else session_items(history, type_weights)
-    long_items = si.where(F.col("n_unique") >= long_threshold)
-    total = _carts_scores(long_items, carts_matrix)
-    long_list = _cut(
-        total.select("session", "aid", _key(0, -F.col("score"), F.col("tie.s"), F.col("tie.b"), F.col("tie.c")).alias("key")),
-        num_cands,
-    )
+    total = _carts_scores(si.where(F.col("n_unique") >= long_threshold), carts_matrix)
+    long_list = _top_unique(total, num_cands, [F.col("score").desc(), F.col("tie").asc()])
 
     uniq_short = si.where(F.col("n_unique") < long_threshold)
     buys_short = uniq_short.where(F.col("buy_rank").isNotNull())

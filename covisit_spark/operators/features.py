@@ -109,20 +109,22 @@ def recency_features(history: DataFrame) -> DataFrame:
     The score is rounded to micro-units so it is identical across engines.
     """
     e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="session_length")
-    e = e.withColumn("action_num_reverse_chrono", F.col("session_length") - F.col("_rn")).drop("_rn")
+    e = e.withColumn("action_num_reverse_chrono", F.col("session_length") - F.col("_rn"))
     L, a = F.col("session_length"), F.col("action_num_reverse_chrono")
     score = F.when(L == 1, F.lit(1.0)).otherwise(position_weight(L - a - 1, L, 0.1))
-    return e.withColumn("log_recency_score", to_micro(score).cast("double") / F.lit(float(MICRO)))
+    return e.withColumn("log_recency_score", to_micro(score).cast("double") / F.lit(float(MICRO))).drop("_rn")
 
 
 def last_typed_event(recency: DataFrame, target: str) -> DataFrame:
     """Last event of the target type per ``(user, item)`` with its recency
     features: ``(user, item, ts, type, session_length, action_num_reverse_chrono, log_recency_score)``."""
     r = recency.where(F.col("type") == TYPE_IDS[target])
-    g = r.groupBy("session", "aid").agg(
-        F.max_by(F.struct("ts", "type", *RECENCY_FEATURES), F.struct("ts", "pos")).alias("_l")
-    )
-    return g.select(F.col("session").alias("user"), F.col("aid").alias("item"), "_l.*")
+    # the last event is the one nearest the end of the session; one
+    # ``max_by`` per column with an integer ordering keeps a hash aggregate
+    last = F.col("action_num_reverse_chrono")
+    cols = ["ts", "type", *RECENCY_FEATURES]
+    g = r.groupBy("session", "aid").agg(*[F.min_by(c, last).alias(c) for c in cols])
+    return g.select(F.col("session").alias("user"), F.col("aid").alias("item"), *cols)
 
 
 def ranker_frame(cands: DataFrame, last: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from covisit_spark.operators import covisit as cv  # noqa: E402
 from covisit_spark.operators import evaluate as ev  # noqa: E402
 from covisit_spark.operators import split  # noqa: E402
-from covisit_spark.plans.pipeline import Offline  # noqa: E402
+from covisit_spark.plans.offline import Offline  # noqa: E402
 from covisit_spark.session import get_spark  # noqa: E402
 from covisit_spark.sources.feeds import ev_5d, ol_cust  # noqa: E402
 

@@ -24,7 +24,7 @@ from covisit_spark.operators import features as ft
 from covisit_spark.operators import ranker as rk
 from covisit_spark.operators import profile as pf
 from covisit_spark.operators import split
-from covisit_spark.plans.pipeline import Offline
+from covisit_spark.plans.offline import Offline
 from covisit_spark.sources import jsonl, sinks
 from covisit_spark.sources.feeds import ev_5d, ev_user, ol_cust
 
@@ -474,7 +474,7 @@ def _ranker_scores(spark, sf):
 @query("ranker_sweep")
 def _ranker_sweep(spark, sf):
     """Results table of a (one-point) configuration sweep: recall and MAP@20."""
-    from covisit_spark.plans.pipeline import ranker_sweep
+    from covisit_spark.plans.offline import ranker_sweep
 
     grid = rk.param_grid({"maxIter": [10], "maxDepth": [5], "stepSize": [0.1]})
     return ranker_sweep(Offline(spark, sf, num_cands=50), grid)

@@ -50,10 +50,20 @@ def test_submission_csv(spark, tmp_path):
 
 
 def test_build_matrices_writes_three_tables(spark, tmp_path):
-    from covisit_spark.plans.pipeline import build_matrices
+    from covisit_spark.plans.offline import build_matrices
 
     e = events_df(spark, [(1, 0, 0, 0, 1), (1, 1, 100, 1, 2), (1, 2, 200, 2, 3)])
     m = build_matrices(spark, e, str(tmp_path / "cv"))
     assert sorted(m) == ["b2b", "carts", "clicks"]
     assert {n: t.count() for n, t in m.items()} == {"clicks": 6, "carts": 6, "b2b": 2}
     assert all((tmp_path / "cv" / n / "_SUCCESS").exists() for n in m)
+
+
+def test_param_grid(spark):
+    from covisit_spark.operators.ranker import param_grid, param_grid_frame
+
+    opts = {"maxIter": [10, 20], "maxDepth": [4], "stepSize": [0.1, 0.2]}
+    grid = param_grid(opts)
+    assert len(grid) == 4 and grid[0] == {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
+    rows = {tuple(r) for r in param_grid_frame(spark, opts).collect()}
+    assert rows == {tuple(g.values()) for g in grid}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from covisit_spark.operators import covisit as cv
 from covisit_spark.operators import evaluate as ev
 from covisit_spark.operators import split
-from covisit_spark.plans.pipeline import Offline
+from covisit_spark.plans.offline import Offline
 from covisit_spark.sources.feeds import ev_5d, ev_user
 
 SF = "/root/testdata/sf0.001"

@@ -338,6 +338,18 @@ def _recall_at_depths(spark, sf):
     return out
 
 
+@query("predictions_time_split")
+def _predictions_time_split(spark, sf):
+    """Last week held out; matrices from the earlier weeks plus the histories."""
+    return Offline(spark, sf, feed="ev_5d", time_split=True).predictions()
+
+
+@query("weighted_recall_time_split")
+def _weighted_recall_time_split(spark, sf):
+    o = Offline(spark, sf, feed="ev_5d", time_split=True)
+    return ev.weighted_recall(ev.recall_by_type(ev.recall_hits(o.predictions(), o.truth)))
+
+
 # --- F: features and labels -----------------------------------------------
 def _cands50(spark, sf):
     return Offline(spark, sf, num_cands=50)

@@ -2,8 +2,17 @@
 
 ``Offline`` wires the operators the way the recommendation pipeline uses
 them: cutoff split of every session into history and labels, three
-co-visitation matrices over the history (no label rows), popular items,
-candidate lists, predictions for the three targets and ground truth.
+co-visitation matrices over the training events plus the history (never the
+label rows), popular items, candidate lists, predictions for the three
+targets and ground truth.
+
+Two validation layouts:
+
+* ``time_split=False``: every session of the feed is a validation session;
+  the matrices see only the histories.
+* ``time_split=True``: the last week is held out; its sessions that do not
+  occur earlier are the validation sessions, and the matrices and item
+  features are built from the earlier weeks plus the validation histories.
 Attributes are cached per instance, so a query that uses a matrix twice
 shares one subplan (Spark reuses the exchange).
 """
@@ -36,14 +45,21 @@ class Offline:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "ev_user", num_cands: int = 20,
-                 events: DataFrame | None = None, materialize: bool = True):
+                 events: DataFrame | None = None, materialize: bool = True, time_split: bool = False,
+                 train: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.num_cands = num_cands
         self.materialize = materialize and events is None
-        self.events = events if events is not None else load_feed(spark, sf_dir, feed)
+        raw = events if events is not None else load_feed(spark, sf_dir, feed)
+        self.train = train
+        if time_split:
+            self.train, val = split.time_split(raw)
+            raw = split.remove_overlap(val, self.train)
+        self.events = raw
         digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{digest}"
+        layout = "ts" if time_split else "all"
+        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{layout}-{digest}"
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self.materialize:
@@ -66,8 +82,11 @@ class Offline:
 
     @cached_property
     def matrix_source(self) -> DataFrame:
-        """Events the matrices are built from: the history (labels excluded)."""
-        return self.history
+        """Events the matrices and item features are built from: the training
+        events (if any) plus the validation histories - never the labels."""
+        if self.train is None:
+            return self.history
+        return self.train.select(*self.events.columns).unionByName(self.history)
 
     @cached_property
     def pair_weights(self) -> DataFrame:

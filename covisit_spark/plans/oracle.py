@@ -154,100 +154,106 @@ cutoff_ctes("s5", "s5_clean")
 cte("ss_h", "SELECT session, ((session % 1000003) * 2654435761 + 42) % 1000003 AS h FROM (SELECT DISTINCT session FROM ev_5d)")
 cte("ss_r", "SELECT session, row_number() OVER (ORDER BY h, session) AS r, count(*) OVER () AS big_n FROM ss_h")
 
-# --- offline scenario on ev_user: cutoff split, matrices over history ---------
-cutoff_ctes("sc", "ev_user")
-M_HIST = matrices("mh", "sc_hist")
-cte(
-    "sc_pop",
-    """
+# --- offline scenarios: history -> matrices -> candidate lists -> recall ----
+def _votes(items: str, matrix: str, src: int) -> str:
+    return (
+        f"SELECT u.session, m.aid_y AS aid, {src} AS src, u.rec_rank AS hist_rank, m.rank AS nbr_rank "
+        f"FROM {items} u JOIN {matrix} m ON u.aid = m.aid_x"
+    )
+
+
+def scenario(p: str, hist: str, gt: str, msrc: str) -> dict[str, str]:
+    """Register the candidate CTEs of one validation layout under prefix ``p``:
+    ``hist`` = validation histories, ``gt`` = flat truth, ``msrc`` = events
+    the matrices are built from."""
+    n = {k: f"{p}_{k}" for k in ("pop", "ord", "uniq", "buys", "wc", "wk", "nhist", "rk_carts",
+                                  "vc_clicks", "vc_carts", "tn_clicks", "tn_carts")}
+    n["hist"], n["gt"], n["m"] = hist, gt, matrices(f"{p}m", msrc)
+    cte(
+        n["pop"],
+        f"""
 SELECT type, aid, count(*) AS cnt,
        CAST(row_number() OVER (PARTITION BY type ORDER BY count(*) DESC, aid) AS INTEGER) AS rank
-FROM sc_hist GROUP BY type, aid QUALIFY rank <= 20
+FROM {hist} GROUP BY type, aid QUALIFY rank <= 20
 """,
-)
-cte(
-    "sc_ord",
-    """
+    )
+    cte(
+        n["ord"],
+        f"""
 SELECT *, row_number() OVER (PARTITION BY session ORDER BY ts, pos) - 1 AS i,
        row_number() OVER (PARTITION BY session ORDER BY ts DESC, pos DESC) AS rd,
        count(*) OVER (PARTITION BY session) AS n
-FROM sc_hist
+FROM {hist}
 """,
-)
-for _name, _where in (("sc_uniq", "TRUE"), ("sc_buys", "type < 2")):
-    cte(
-        _name,
-        f"""
+    )
+    for name, where in ((n["uniq"], "TRUE"), (n["buys"], "type < 2")):
+        cte(
+            name,
+            f"""
 SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY min(rd)) AS INTEGER) AS rec_rank,
        count(*) OVER (PARTITION BY session) AS n_unique, min(i) AS first_i
-FROM sc_ord WHERE {_where} GROUP BY session, aid
+FROM {n['ord']} WHERE {where} GROUP BY session, aid
 """,
-    )
-for _name, _a in (("sc_wc", 0.1), ("sc_wk", 0.5)):
-    cte(
-        _name,
-        f"""
+        )
+    for name, a in ((n["wc"], 0.1), (n["wk"], 0.5)):
+        cte(
+            name,
+            f"""
 SELECT session, pos, aid, type, i, n, w_units,
        w_units * CASE type WHEN 0 THEN 500 WHEN 1 THEN 9000 WHEN 2 THEN 500 END AS term
-FROM (SELECT *, CAST(round((pow(2.0, {_a} + {1 - _a} * (CASE WHEN n <= 1 THEN 0.0 ELSE i / (n - 1) END)) - 1.0)
-                           * 1000000.0) AS BIGINT) AS w_units FROM sc_ord)
+FROM (SELECT *, CAST(round((pow(2.0, {a} + {1 - a} * (CASE WHEN n <= 1 THEN 0.0 ELSE i / (n - 1) END)) - 1.0)
+                           * 1000000.0) AS BIGINT) AS w_units FROM {n['ord']})
 """,
-    )
-
-
-def _votes(items: str, matrix: str, src: int) -> str:
-    return (
-        f"SELECT u.session, m.aid_y AS aid, {src} AS src, u.rec_rank AS hist_rank, m.rank AS nbr_rank "
-        f"FROM {items} u JOIN {matrix} m ON u.aid = m.aid_x"
-    )
-
-
-cte("vc_clicks", _votes("sc_uniq", M_HIST["clicks"], 0))
-cte(
-    "vc_carts",
-    " UNION ALL ".join(
-        [_votes("sc_uniq", M_HIST["carts"], 0), _votes("sc_buys", M_HIST["clicks"], 1), _votes("sc_buys", M_HIST["b2b"], 2)]
-    ),
-)
-for _t in ("clicks", "carts"):
-    # all non-history vote candidates, ranked by votes then first-seen order
+        )
+    m = n["m"]
+    cte(n["vc_clicks"], _votes(n["uniq"], m["clicks"], 0))
     cte(
-        f"tn_{_t}",
-        f"""
+        n["vc_carts"],
+        " UNION ALL ".join(
+            [_votes(n["uniq"], m["carts"], 0), _votes(n["buys"], m["clicks"], 1), _votes(n["buys"], m["b2b"], 2)]
+        ),
+    )
+    for t in ("clicks", "carts"):
+        # all non-history vote candidates, ranked by votes then first-seen order
+        cte(
+            n[f"tn_{t}"],
+            f"""
 SELECT session, aid, votes,
        CAST(row_number() OVER (PARTITION BY session ORDER BY votes DESC, first_seen) AS INTEGER) AS rank
 FROM (SELECT v.session, v.aid, count(*) AS votes, min(src * 1000000 + hist_rank * 1000 + nbr_rank) AS first_seen
-      FROM vc_{_t} v
-      WHERE NOT EXISTS (SELECT 1 FROM sc_uniq u WHERE u.session = v.session AND u.aid = v.aid)
+      FROM {n[f'vc_{t}']} v
+      WHERE NOT EXISTS (SELECT 1 FROM {n['uniq']} u WHERE u.session = v.session AND u.aid = v.aid)
       GROUP BY v.session, v.aid)
 """,
-    )
-cte("sc_nhist", "SELECT session, count(*) AS n_hist FROM sc_uniq GROUP BY session")
-cte(
-    "rk_carts",
-    f"""
+        )
+    cte(n["nhist"], f"SELECT session, count(*) AS n_hist FROM {n['uniq']} GROUP BY session")
+    cte(
+        n["rk_carts"],
+        f"""
 SELECT session, aid, CAST(sum(score) AS BIGINT) AS score, min(s) AS tie_s, arg_min(t1, s) AS tie_t
 FROM (
-  SELECT session, aid, sum(term) AS score, 0 AS s, min(i) AS t1 FROM sc_wk GROUP BY session, aid
+  SELECT session, aid, sum(term) AS score, 0 AS s, min(i) AS t1 FROM {n['wk']} GROUP BY session, aid
   UNION ALL
   SELECT b.session, m.aid_y AS aid, count(*) * 30000000 AS score, 1 AS s, min(b.rec_rank * 1000 + m.rank) AS t1
-  FROM sc_buys b JOIN {M_HIST['carts']} m ON b.aid = m.aid_x GROUP BY b.session, m.aid_y
+  FROM {n['buys']} b JOIN {m['carts']} m ON b.aid = m.aid_x GROUP BY b.session, m.aid_y
 ) GROUP BY session, aid
 """,
-)
+    )
+    return n
 
 
-def suggest_ctes(n: int) -> dict[str, str]:
+def suggest_ctes(sc: dict[str, str], n: int) -> dict[str, str]:
     """Sequential restatement of the list rules for ``n`` candidates."""
     out = {}
+    base = sc["pop"][: -len("_pop")]
     for t, thr, pop_type, long_src in (("clicks", n, 0, "ck"), ("carts", 20, 1, "ct")):
-        p = f"sg{n}_{long_src}"
+        p = f"{base}_sg{n}_{long_src}"
         if t == "clicks":
             cte(
                 f"{p}_long",
                 f"""
 SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY sum(term) DESC, min(i)) AS INTEGER) AS rank
-FROM sc_wc WHERE session IN (SELECT session FROM sc_nhist WHERE n_hist >= {thr})
+FROM {sc['wc']} WHERE session IN (SELECT session FROM {sc['nhist']} WHERE n_hist >= {thr})
 GROUP BY session, aid QUALIFY rank <= {n}
 """,
             )
@@ -256,15 +262,16 @@ GROUP BY session, aid QUALIFY rank <= {n}
                 f"{p}_long",
                 f"""
 SELECT session, aid, CAST(row_number() OVER (PARTITION BY session ORDER BY score DESC, tie_s, tie_t) AS INTEGER) AS rank
-FROM rk_carts WHERE session IN (SELECT session FROM sc_nhist WHERE n_hist >= {thr})
+FROM {sc['rk_carts']} WHERE session IN (SELECT session FROM {sc['nhist']} WHERE n_hist >= {thr})
 QUALIFY rank <= {n}
 """,
             )
-        cte(f"{p}_s", f"SELECT session, n_hist FROM sc_nhist WHERE n_hist < {thr}")
-        cte(f"{p}_sec0", f"SELECT u.session, u.aid, 0 AS sec, u.rec_rank AS r FROM sc_uniq u JOIN {p}_s USING (session)")
+        cte(f"{p}_s", f"SELECT session, n_hist FROM {sc['nhist']} WHERE n_hist < {thr}")
+        cte(f"{p}_sec0", f"SELECT u.session, u.aid, 0 AS sec, u.rec_rank AS r FROM {sc['uniq']} u JOIN {p}_s USING (session)")
         cte(
             f"{p}_sec1",
-            f"SELECT t.session, t.aid, 1 AS sec, t.rank AS r FROM tn_{t} t JOIN {p}_s s USING (session) WHERE t.rank <= {n} - s.n_hist",
+            f"SELECT t.session, t.aid, 1 AS sec, t.rank AS r FROM {sc[f'tn_{t}']} t JOIN {p}_s s USING (session) "
+            f"WHERE t.rank <= {n} - s.n_hist",
         )
         cte(
             f"{p}_sec2",
@@ -273,7 +280,7 @@ SELECT session, aid, 2 AS sec, r FROM (
   SELECT s.session, p.aid, s.n_hist,
          row_number() OVER (PARTITION BY s.session ORDER BY p.rank) AS r,
          (SELECT count(*) FROM {p}_sec1 x WHERE x.session = s.session) AS n_votes
-  FROM {p}_s s, sc_pop p
+  FROM {p}_s s, {sc['pop']} p
   WHERE p.type = {pop_type}
     AND NOT EXISTS (SELECT 1 FROM {p}_sec0 a WHERE a.session = s.session AND a.aid = p.aid)
     AND NOT EXISTS (SELECT 1 FROM {p}_sec1 b WHERE b.session = s.session AND b.aid = p.aid)
@@ -290,34 +297,31 @@ FROM (SELECT * FROM {p}_sec0 UNION ALL SELECT * FROM {p}_sec1 UNION ALL SELECT *
 """,
         )
         out[t] = f"{p}_all"
+    out["preds"] = f"{base}_pr{n}"
     cte(
-        f"pr{n}",
+        out["preds"],
         f"""
 SELECT session, 'clicks' AS type, aid, rank FROM {out['clicks']}
 UNION ALL SELECT session, 'carts' AS type, aid, rank FROM {out['carts']}
 UNION ALL SELECT session, 'orders' AS type, aid, rank FROM {out['carts']}
 """,
     )
-    out["preds"] = f"pr{n}"
     return out
 
 
-SG20 = suggest_ctes(20)
-SG50 = suggest_ctes(50)
-
-
-def recall_ctes(preds: str, depth: int | None, tag: str) -> str:
+def recall_ctes(gt: str, preds: str, depth: int | None, tag: str) -> str:
+    """Hits, recall per type and the weighted recall; returns the final CTE."""
     cut = "TRUE" if depth is None else f"p.rank <= {depth}"
     cte(
-        f"rh_{tag}",
+        f"{tag}_rh",
         f"""
 SELECT c.session, c.type, CAST(coalesce(h.hits, 0) AS BIGINT) AS hits, c.gt_count
-FROM (SELECT session, type, least(count(*), 20) AS gt_count FROM sc_gt GROUP BY session, type) c
+FROM (SELECT session, type, least(count(*), 20) AS gt_count FROM {gt} GROUP BY session, type) c
 JOIN (SELECT DISTINCT session, type FROM {preds}) k USING (session, type)
 LEFT JOIN (
   SELECT p.session, p.type, count(DISTINCT p.aid) AS hits
   FROM {preds} p JOIN (
-    SELECT session, type, aid FROM (SELECT session, type, aid, min(label_rank) AS r FROM sc_gt GROUP BY session, type, aid)
+    SELECT session, type, aid FROM (SELECT session, type, aid, min(label_rank) AS r FROM {gt} GROUP BY session, type, aid)
     QUALIFY row_number() OVER (PARTITION BY session, type ORDER BY r) <= 20
   ) t USING (session, type, aid)
   WHERE {cut} GROUP BY p.session, p.type
@@ -325,30 +329,42 @@ LEFT JOIN (
 """,
     )
     cte(
-        f"rt_{tag}",
+        f"{tag}_rt",
         f"""
 SELECT type, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(gt_count) AS BIGINT) AS gt_count,
        CAST(sum(hits) AS DOUBLE) / nullif(CAST(sum(gt_count) AS DOUBLE), 0) AS recall
-FROM rh_{tag} GROUP BY type
+FROM {tag}_rh GROUP BY type
 """,
     )
     cte(
-        f"rw_{tag}",
+        f"{tag}_rw",
         f"""
 SELECT r_clicks, r_carts, r_orders,
        CAST(0.1 AS DOUBLE) * r_clicks + CAST(0.3 AS DOUBLE) * r_carts + CAST(0.6 AS DOUBLE) * r_orders AS recall
 FROM (SELECT coalesce(max(recall) FILTER (WHERE type = 'clicks'), 0.0) AS r_clicks,
              coalesce(max(recall) FILTER (WHERE type = 'carts'), 0.0) AS r_carts,
              coalesce(max(recall) FILTER (WHERE type = 'orders'), 0.0) AS r_orders
-      FROM rt_{tag})
+      FROM {tag}_rt)
 """,
     )
-    return tag
+    return f"{tag}_rw"
 
 
-recall_ctes(SG20["preds"], None, "p20")
-recall_ctes(SG50["preds"], 50, "d50")
-recall_ctes(SG50["preds"], 20, "d20")
+# per-user sessions, cutoff split, matrices over the histories
+cutoff_ctes("sc", "ev_user")
+SC = scenario("sc", "sc_hist", "sc_gt", "sc_hist")
+M_HIST = SC["m"]
+SG20 = suggest_ctes(SC, 20)
+SG50 = suggest_ctes(SC, 50)
+recall_ctes("sc_gt", SG20["preds"], None, "p20")
+recall_ctes("sc_gt", SG50["preds"], 50, "d50")
+recall_ctes("sc_gt", SG50["preds"], 20, "d20")
+
+# last week held out: clean validation sessions, matrices over train + histories
+cte("tv_msrc", "SELECT session, pos, ts, type, aid FROM s5_train UNION ALL SELECT session, pos, ts, type, aid FROM s5_hist")
+TV = scenario("tv", "s5_hist", "s5_gt", "tv_msrc")
+TV20 = suggest_ctes(TV, 20)
+recall_ctes("s5_gt", TV20["preds"], None, "tv20")
 
 # --- features and ranker inputs (candidates = 50-item cart lists) ------------
 cte("fc_rows", f'SELECT session AS "user", aid AS item, rank FROM {SG50["carts"]}')
@@ -568,12 +584,12 @@ FROM mu_ck_dedup d, mu_ck_bounds b GROUP BY aid_x, aid_y
     q["rerank_history_clicks"] = build(
         "SELECT session, aid, CAST(sum(term) AS BIGINT) AS score FROM sc_wc GROUP BY session, aid"
     )
-    q["rerank_history_carts"] = build("SELECT session, aid, score FROM rk_carts")
-    q["candidate_votes_clicks"] = build("SELECT session, aid, src, hist_rank, nbr_rank FROM vc_clicks")
-    q["candidate_votes_carts"] = build("SELECT session, aid, src, hist_rank, nbr_rank FROM vc_carts")
+    q["rerank_history_carts"] = build(f"SELECT session, aid, score FROM {SC['rk_carts']}")
+    q["candidate_votes_clicks"] = build(f"SELECT session, aid, src, hist_rank, nbr_rank FROM {SC['vc_clicks']}")
+    q["candidate_votes_carts"] = build(f"SELECT session, aid, src, hist_rank, nbr_rank FROM {SC['vc_carts']}")
     for t in ("clicks", "carts"):
         q[f"candidate_topn_{t}"] = build(
-            f"SELECT t.session, t.aid, t.votes, t.rank FROM tn_{t} t JOIN sc_nhist h USING (session) "
+            f"SELECT t.session, t.aid, t.votes, t.rank FROM {SC[f'tn_{t}']} t JOIN sc_nhist h USING (session) "
             f"WHERE t.rank <= 20 - h.n_hist"
         )
     q["suggest_clicks"] = build(f"SELECT session, aid, rank FROM {SG20['clicks']}")
@@ -581,12 +597,14 @@ FROM mu_ck_dedup d, mu_ck_bounds b GROUP BY aid_x, aid_y
     q["candidates_top20"] = build(f"SELECT session, type, aid, rank FROM {SG50['preds']} WHERE rank <= 20")
     q["predictions_all"] = build(f"SELECT session, type, aid, rank FROM {SG20['preds']}")
     # H
-    q["recall_hits"] = build("SELECT session, type, hits, gt_count FROM rh_p20")
-    q["recall_by_type"] = build("SELECT type, hits, gt_count, recall FROM rt_p20")
-    q["weighted_recall"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM rw_p20")
+    q["recall_hits"] = build("SELECT session, type, hits, gt_count FROM p20_rh")
+    q["recall_by_type"] = build("SELECT type, hits, gt_count, recall FROM p20_rt")
+    q["weighted_recall"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM p20_rw")
     q["recall_at_depths"] = build(
-        "SELECT 50 AS depth, * FROM rw_d50 UNION ALL SELECT 20 AS depth, * FROM rw_d20"
+        "SELECT 50 AS depth, * FROM d50_rw UNION ALL SELECT 20 AS depth, * FROM d20_rw"
     )
+    q["predictions_time_split"] = build(f"SELECT session, type, aid, rank FROM {TV20['preds']}")
+    q["weighted_recall_time_split"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM tv20_rw")
     # F
     q["candidate_rows"] = build('SELECT "user", item, rank FROM fc_rows')
     q["candidate_rank_feats"] = build('SELECT "user", item, rank, orig20, origOrder FROM fc_rank')

@@ -37,6 +37,14 @@ def headline(spark, sf):
             ev.recall_by_type(ev.recall_hits(Offline(spark, sf).predictions(), Offline(spark, sf).truth))
         ),
         "ranker_frame_user": lambda: Offline(spark, sf, num_cands=50).candidate_frame("carts"),
+        "weighted_recall_time_split": lambda: ev.weighted_recall(
+            ev.recall_by_type(
+                ev.recall_hits(
+                    Offline(spark, sf, feed="ev_5d", time_split=True).predictions(),
+                    Offline(spark, sf, feed="ev_5d", time_split=True).truth,
+                )
+            )
+        ),
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,25 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
 
 
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock(path: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
+
+
 def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     """Read ``path`` when a complete table (``_SUCCESS``) is there, else build,
     write and read it back. Re-running after a lost job rebuilds only tables
     whose write did not finish; reading back cuts the lineage."""
-    if not _fs_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+    with _lock(path):  # queries of one driver may run on several threads
+        if not _fs_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
     return spark.read.parquet(path)
 
 

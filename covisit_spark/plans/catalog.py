@@ -338,6 +338,18 @@ def _recall_at_depths(spark, sf):
     return out
 
 
+@query("predictions_orders")
+def _predictions_orders(spark, sf):
+    """The same flow over order lines: customers as sessions, parts as items."""
+    return Offline(spark, sf, feed="ol_cust").predictions()
+
+
+@query("weighted_recall_orders")
+def _weighted_recall_orders(spark, sf):
+    o = Offline(spark, sf, feed="ol_cust")
+    return ev.weighted_recall(ev.recall_by_type(ev.recall_hits(o.predictions(), o.truth)))
+
+
 @query("predictions_time_split")
 def _predictions_time_split(spark, sf):
     """Last week held out; matrices from the earlier weeks plus the histories."""

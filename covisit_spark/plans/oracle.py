@@ -360,6 +360,12 @@ recall_ctes("sc_gt", SG20["preds"], None, "p20")
 recall_ctes("sc_gt", SG50["preds"], 50, "d50")
 recall_ctes("sc_gt", SG50["preds"], 20, "d20")
 
+# order lines as sessions (customer), cutoff split, matrices over the histories
+cutoff_ctes("oc", "ol_cust")
+OC = scenario("oc", "oc_hist", "oc_gt", "oc_hist")
+OC20 = suggest_ctes(OC, 20)
+recall_ctes("oc_gt", OC20["preds"], None, "oc20")
+
 # last week held out: clean validation sessions, matrices over train + histories
 cte("tv_msrc", "SELECT session, pos, ts, type, aid FROM s5_train UNION ALL SELECT session, pos, ts, type, aid FROM s5_hist")
 TV = scenario("tv", "s5_hist", "s5_gt", "tv_msrc")
@@ -603,6 +609,8 @@ FROM mu_ck_dedup d, mu_ck_bounds b GROUP BY aid_x, aid_y
     q["recall_at_depths"] = build(
         "SELECT 50 AS depth, * FROM d50_rw UNION ALL SELECT 20 AS depth, * FROM d20_rw"
     )
+    q["predictions_orders"] = build(f"SELECT session, type, aid, rank FROM {OC20['preds']}")
+    q["weighted_recall_orders"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM oc20_rw")
     q["predictions_time_split"] = build(f"SELECT session, type, aid, rank FROM {TV20['preds']}")
     q["weighted_recall_time_split"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM tv20_rw")
     # F

@@ -2,7 +2,6 @@
 
 import pytest
 from conftest import events_df, lists, matrix_df, popular_df
-from pyspark.sql import functions as F
 
 from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv

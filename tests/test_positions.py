@@ -40,3 +40,22 @@ def test_split_path_without_broadcast(spark):
     got = {(r.g, r.p): (r.rn, r.n) for r in ranked_within(df, ["g"], "ts", ["p"], bucket_rows=5,
                                                            max_broadcast_groups=0).collect()}
     assert got == _plain(df, False)
+
+
+def test_oracle_queries_through_split_path(spark, monkeypatch):
+    from oracle_check import compare, duck
+
+    import __spark_entry__ as E
+    from covisit_spark.operators import positions
+
+    monkeypatch.setattr(positions, "BUCKET_ROWS", 5)
+    sf = "/root/testdata/sf0.001"
+    from covisit_spark.sources.feeds import ev_5d, ev_user
+
+    assert positions.hot_group_count(ev_user(spark, sf), ["session"]) > 0  # the split path is taken
+    assert positions.hot_group_count(ev_5d(spark, sf), ["session"]) > 0
+    con = duck(sf)
+    for name in ("val_history", "val_labels", "ground_truth", "session_lists", "recency_features", "history_unique",
+                 "history_weights"):
+        r = compare(spark, sf, name, E.queries()[name], E.oracle_sql()[name], con)
+        assert r["status"] == "ok", r

@@ -194,7 +194,7 @@ def _top_unique(scored: DataFrame, n: int, order: list[Column]) -> DataFrame:
     )
 
 
-def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int) -> DataFrame:
+def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int, pop_type: int) -> DataFrame:
     hist = uniq_short.select("session", "aid", _section_key(0, F.col("rec_rank")))
     # Vote order over all candidates, history items included: at most n_unique
     # of the first n are history items, so the first n always hold the
@@ -203,8 +203,11 @@ def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int)
     ranked = vote_keys(votes).withColumn("_vr", F.row_number().over(w)).where(F.col("_vr") <= n)
     vk = ranked.select("session", "aid", _section_key(1, F.col("_vr")))
     sessions = uniq_short.where(F.col("rec_rank") == 1).select("session")
-    # popular list: at most ``top`` rows per type (20), broadcast is bounded
-    fill = sessions.crossJoin(F.broadcast(pop.select("aid", "rank"))).select(
+    # popular list of the target type: at most ``top`` rows (20), so the
+    # broadcast side is bounded; an equi-join on the type gives each session
+    # its fill candidates
+    top = F.broadcast(pop.where(F.col("type") == pop_type).select("type", "aid", "rank"))
+    fill = sessions.withColumn("type", F.lit(pop_type)).join(top, "type").select(
         "session", "aid", _section_key(2, F.col("rank"))
     )
     return _cut(hist.unionByName(vk).unionByName(fill), n)
@@ -231,8 +234,7 @@ def suggest_clicks(
     )
     uniq_short = si.where(F.col("n_unique") < num_cands)
     votes = neighbour_votes(uniq_short, clicks_matrix, 0)
-    pop = popular.where(F.col("type") == 0)
-    return long_list.unionByName(_short_list(uniq_short, votes, pop, num_cands))
+    return long_list.unionByName(_short_list(uniq_short, votes, popular, num_cands, 0))
 
 
 def _carts_scores(si: DataFrame, carts_matrix: DataFrame) -> DataFrame:
@@ -295,8 +297,7 @@ def suggest_carts(
         .unionByName(neighbour_votes(buys_short, clicks_matrix, 1, "buy_rank"))
         .unionByName(neighbour_votes(buys_short, b2b_matrix, 2, "buy_rank"))
     )
-    pop = popular.where(F.col("type") == 1)
-    return long_list.unionByName(_short_list(uniq_short, votes, pop, num_cands))
+    return long_list.unionByName(_short_list(uniq_short, votes, popular, num_cands, 1))
 
 
 def truncate_lists(lists: DataFrame, n: int = 20) -> DataFrame:

@@ -105,11 +105,13 @@ def _pairs(events: DataFrame, day_range: float, recent_n: int) -> DataFrame:
     return distinct_session_pairs(session_pairs(recent, day_range), recent_n)
 
 
-def _bounds(events: DataFrame, t0: int | None, t1: int | None) -> DataFrame:
+def _with_bounds(d: DataFrame, events: DataFrame, t0: int | None, t1: int | None) -> DataFrame:
+    """Attach ``t0``/``t1`` (min / max ``ts`` of ``events`` unless given) as a
+    scalar subquery: computed once, no join."""
     if t0 is None or t1 is None:
-        return F.broadcast(time_bounds(events))
-    one = events.sparkSession.range(1).select(F.lit(t0).cast("long").alias("t0"), F.lit(t1).cast("long").alias("t1"))
-    return F.broadcast(one)
+        b = events.agg(F.struct(F.min("ts").alias("t0"), F.max("ts").alias("t1"))).scalar()
+        return d.withColumn("t0", b["t0"]).withColumn("t1", b["t1"])
+    return d.withColumn("t0", F.lit(t0).cast("long")).withColumn("t1", F.lit(t1).cast("long"))
 
 
 def _time_units() -> Column:
@@ -136,7 +138,7 @@ def pair_weights(
     recent-event cap, the band and the per-session de-duplication; only the
     weight differs. One self-join and one aggregation shuffle serve both.
     """
-    d = _pairs(events, day_range, recent_n).crossJoin(_bounds(events, t0, t1))
+    d = _with_bounds(_pairs(events, day_range, recent_n), events, t0, t1)
     return d.groupBy("aid_x", "aid_y").agg(
         F.sum(_time_units()).alias("clicks_units"), F.sum(_type_units(type_weights)).alias("carts_units")
     )
@@ -152,10 +154,10 @@ def covisit_clicks(
 ) -> DataFrame:
     """Time-weighted matrix: ``wgt = 1 + 3 * (ts_x - t0) / (t1 - t0)``.
 
-    ``t0``/``t1`` default to the min / max ``ts`` of ``events`` (a one-row
-    aggregate joined by broadcast; its size is one row by construction).
+    ``t0``/``t1`` default to the min / max ``ts`` of ``events`` (one scalar
+    subquery).
     """
-    d = _pairs(events, day_range, recent_n).crossJoin(_bounds(events, t0, t1))
+    d = _with_bounds(_pairs(events, day_range, recent_n), events, t0, t1)
     return top_k_neighbours(d.select("aid_x", "aid_y", _time_units().alias("wgt_units")), num_cand)
 
 

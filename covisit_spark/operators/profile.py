@@ -40,13 +40,12 @@ def missing_items(a: DataFrame, b: DataFrame, label: str) -> DataFrame:
     """Distinct items of ``a`` absent from ``b``: counts and percentage."""
     da = a.select("aid").distinct()
     miss = da.join(b.select("aid"), "aid", "left_anti")
-    n_a = da.agg(F.count(F.lit(1)).alias("n_a"))
-    n_m = miss.agg(F.count(F.lit(1)).alias("n_missing"))
-    return n_m.crossJoin(n_a).select(
+    n_a = da.agg(F.count(F.lit(1))).scalar()
+    return miss.agg(F.count(F.lit(1)).alias("n_missing")).select(
         F.lit(label).alias("pair"),
         "n_missing",
-        "n_a",
-        (F.lit(100.0) * F.col("n_missing") / F.col("n_a")).alias("pct_missing"),
+        n_a.alias("n_a"),
+        (F.lit(100.0) * F.col("n_missing") / n_a).alias("pct_missing"),
     )
 
 

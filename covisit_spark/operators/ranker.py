@@ -44,12 +44,8 @@ def param_grid(options: Mapping[str, Sequence]) -> list[dict]:
 
 
 def param_grid_frame(spark: SparkSession, options: Mapping[str, Sequence]) -> DataFrame:
-    """The grid as a table: one exploded column per option, cross-joined."""
-    out = None
-    for k, vals in options.items():
-        col = spark.createDataFrame([(v,) for v in vals], [k])
-        out = col if out is None else out.crossJoin(col)
-    return out
+    """The grid as a (small) configuration table, one row per combination."""
+    return spark.createDataFrame([tuple(g.values()) for g in param_grid(options)], list(options))
 
 
 DEFAULT_GBT = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 20, "seed": 42}

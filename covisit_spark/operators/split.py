@@ -13,31 +13,28 @@ from covisit_spark.operators.positions import ranked_within
 WEEK_SECONDS = 7 * 86400
 
 
-def _max_ts(events: DataFrame) -> DataFrame:
-    # one row by construction: safe to broadcast
-    return F.broadcast(events.agg(F.max("ts").alias("_tmax")))
+def _split_point(events: DataFrame, seconds: int):
+    """``max(ts) - seconds`` as a scalar subquery (computed once, no join)."""
+    return events.agg(F.max("ts")).scalar() - F.lit(seconds)
 
 
 def time_split(events: DataFrame, holdout_seconds: int = WEEK_SECONDS) -> tuple[DataFrame, DataFrame]:
     """Train = ``ts <= max(ts) - holdout``, validation = the rest."""
-    tagged = events.crossJoin(_max_ts(events)).withColumn(
-        "_val", F.col("ts") > F.col("_tmax") - F.lit(holdout_seconds)
-    )
-    cols = events.columns
-    return tagged.where(~F.col("_val")).select(*cols), tagged.where(F.col("_val")).select(*cols)
+    t = _split_point(events, holdout_seconds)
+    return events.where(F.col("ts") <= t), events.where(F.col("ts") > t)
 
 
 def tag_time_split(events: DataFrame, holdout_seconds: int = WEEK_SECONDS) -> DataFrame:
     """Events with a ``part`` column, ``train`` or ``val``."""
-    return events.crossJoin(_max_ts(events)).select(
-        *events.columns,
-        F.when(F.col("ts") > F.col("_tmax") - F.lit(holdout_seconds), F.lit("val")).otherwise(F.lit("train")).alias("part"),
+    t = _split_point(events, holdout_seconds)
+    return events.select(
+        *events.columns, F.when(F.col("ts") > t, F.lit("val")).otherwise(F.lit("train")).alias("part")
     )
 
 
 def recent_window(events: DataFrame, seconds: int = 3 * WEEK_SECONDS) -> DataFrame:
     """Rolling training window ``ts > max(ts) - seconds``."""
-    return events.crossJoin(_max_ts(events)).where(F.col("ts") > F.col("_tmax") - F.lit(seconds)).select(*events.columns)
+    return events.where(F.col("ts") > _split_point(events, seconds))
 
 
 def remove_overlap(val: DataFrame, train: DataFrame) -> DataFrame:
@@ -92,27 +89,33 @@ def session_sample(
 
     Sessions are ordered by an arithmetic hash then id; a sample of fraction
     ``f`` is the first ``round_half_even(f * N)`` sessions. The order
-    statistic is found without a global sort: a histogram of hash values
-    (at most ``modulus`` rows) gives the boundary value, and only sessions
+    statistic is found without a global sort: a running count over the
+    histogram of hash values (at most ``modulus`` rows, whatever the data
+    size) gives the boundary hash value as a scalar, and only the sessions
     that share the boundary value are ranked.
     """
     s = events.select("session").distinct().withColumn("h", session_hash(modulus=modulus))
     hist = s.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
     whole = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # bounded by ``modulus`` rows whatever the data size
     cum = hist.withColumn("cum", F.sum("c").over(whole)).withColumn("before", F.col("cum") - F.col("c"))
-    total = F.broadcast(s.agg(F.count(F.lit(1)).alias("N")))
-    fr = s.sparkSession.createDataFrame([(float(f),) for f in fractions], "frac double")
-    need = F.broadcast(fr.crossJoin(total).withColumn("k", F.bround(F.col("frac") * F.col("N")).cast("long")))
-    # boundary hash value per fraction: the bucket where the running count reaches k
-    bnd = cum.crossJoin(need).where((F.col("before") < F.col("k")) & (F.col("cum") >= F.col("k"))).select(
-        "frac", F.col("h").alias("h_b"), (F.col("k") - F.col("before")).alias("take")
-    )
-    inner = s.crossJoin(F.broadcast(bnd)).where(F.col("h") < F.col("h_b")).select("session", "frac")
-    edge = s.join(F.broadcast(bnd), s.h == bnd.h_b).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("frac").orderBy("session"))
-    ).where(F.col("_r") <= F.col("take")).select("session", "frac")
-    return inner.unionByName(edge)
+    total = s.agg(F.count(F.lit(1))).scalar()
+    out = None
+    for f in fractions:
+        k = F.bround(F.lit(float(f)) * total).cast("long")
+        # the one histogram bucket where the running count reaches k
+        bucket = cum.where((F.col("before") < k) & (F.col("cum") >= k))
+        h_b = bucket.agg(F.max("h")).scalar()
+        take = bucket.agg(F.max(k - F.col("before"))).scalar()
+        inner = s.where(F.col("h") < h_b).select("session")
+        edge = (
+            s.where(F.col("h") == h_b)
+            .withColumn("_r", F.row_number().over(Window.orderBy("session")))
+            .where(F.col("_r") <= take)
+            .select("session")
+        )
+        one = inner.unionByName(edge).withColumn("frac", F.lit(float(f)))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def session_lists(events: DataFrame, chunk_size: int = 1024) -> DataFrame:

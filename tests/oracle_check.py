@@ -41,10 +41,23 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "LongType": "BIGINT",
+    "IntegerType": "INTEGER",
+    "ShortType": "SMALLINT",
+    "ByteType": "TINYINT",
+    "DoubleType": "DOUBLE",
+    "FloatType": "FLOAT",
+    "StringType": "VARCHAR",
+    "BooleanType": "BOOLEAN",
+}
+
+
 def compare(spark, sf_dir: str, name: str, q, sql: str | None, con) -> dict:
     t = time.time()
     df = q(spark, sf_dir)
     cols = sorted(df.columns)
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in df.schema.fields}
     rows = [tuple(norm(r[c]) for c in cols) for r in df.collect()]
     ts = time.time() - t
     out = {"name": name, "rows": len(rows), "spark_s": round(ts, 2)}
@@ -59,6 +72,11 @@ def compare(spark, sf_dir: str, name: str, q, sql: str | None, con) -> dict:
     if sorted(dcols) != cols:
         out["status"] = f"COLUMNS spark={cols} duck={sorted(dcols)}"
         return out
+    dtypes = dict(zip(dcols, (str(t) for t in rel.types)))
+    bad_types = {c: (stypes[c], dtypes[c]) for c in cols if stypes[c] != dtypes[c]}
+    if bad_types:
+        out["status"] = f"TYPES {bad_types}"
+        return out
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(norm(r[i]) for i in idx) for r in data]
     if len(drows) != len(rows):

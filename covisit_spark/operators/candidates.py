@@ -67,9 +67,12 @@ def popular_items(history: DataFrame, top: int = 20) -> DataFrame:
     return c.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= top)
 
 
-def _positions(history: DataFrame) -> DataFrame:
-    """Events with ``i`` (0-based time position) and ``n`` (session length)."""
-    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="n")
+def _positions(history: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
+    """Events with ``i`` (0-based time position) and ``n`` (session length).
+
+    ``bound_by``: a frame whose sessions are at least as large (e.g. the events
+    the history was cut from), whose hot-session check is reused."""
+    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="n", bound_by=bound_by)
     return e.withColumn("i", (F.col("_rn") - 1).cast("long")).drop("_rn")
 
 
@@ -106,7 +109,9 @@ def rerank_history(history: DataFrame, start: float, type_weights: Mapping[int,
     return hw.groupBy("session", "aid").agg(F.sum("term").alias("score"), F.min("i").alias("first_i"))
 
 
-def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS) -> DataFrame:
+def session_items(
+    history: DataFrame, type_weights: Mapping[int, float] = TYPE_WEIGHTS, bound_by: DataFrame | None = None
+) -> DataFrame:
     """Everything the list rules need per ``(session, item)``.
 
     ``(session, aid, rec_rank, n_unique, buy_rank, first_i, score_clicks,
@@ -116,7 +121,8 @@ def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_W
     ordinary data they are plain windows, and the per-item aggregate is a hash
     aggregate over integer positions.
     """
-    e = _positions(history)
+    bound = bound_by if bound_by is not None else history
+    e = _positions(history, bound)
     tw = milli_weight_map("type", type_weights)
     is_buy = F.col("type").isin(0, 1)
     g = e.groupBy("session", "aid").agg(
@@ -127,8 +133,8 @@ def session_items(history: DataFrame, type_weights: Mapping[int, float] = TYPE_W
         F.sum(to_micro(position_weight(F.col("i"), F.col("n"), POSITION_WEIGHT_START["carts"])) * tw).alias("score_carts"),
     )
     g = ranked_within(g, ["session"], "_li", descending=True, rank_col="rec_rank", count_col="n_unique",
-                      bound_by=history)
-    g = ranked_within(g, ["session"], "_bi", descending=True, rank_col="_br", count_col=None, bound_by=history)
+                      bound_by=bound)
+    g = ranked_within(g, ["session"], "_bi", descending=True, rank_col="_br", count_col=None, bound_by=bound)
     return g.select(
         "session",
         "aid",

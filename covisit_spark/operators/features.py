@@ -102,13 +102,14 @@ def candidate_labels(cands: DataFrame, truth: DataFrame, target: str) -> DataFra
     return cands.join(pos, ["user", "item"], "left").withColumn(target, F.coalesce(F.col(target), F.lit(0)))
 
 
-def recency_features(history: DataFrame) -> DataFrame:
+def recency_features(history: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
     """Per history event: session length, reverse position and a log-spaced
     recency score ``2^(0.1 + 0.9 * (L - a - 1) / (L - 1)) - 1`` (1 when L = 1).
 
     The score is rounded to micro-units so it is identical across engines.
     """
-    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="session_length")
+    e = ranked_within(history, ["session"], "ts", ["pos"], rank_col="_rn", count_col="session_length",
+                      bound_by=bound_by)
     e = e.withColumn("action_num_reverse_chrono", F.col("session_length") - F.col("_rn"))
     L, a = F.col("session_length"), F.col("action_num_reverse_chrono")
     score = F.when(L == 1, F.lit(1.0)).otherwise(position_weight(L - a - 1, L, 0.1))

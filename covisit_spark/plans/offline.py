@@ -116,7 +116,7 @@ class Offline:
     @cached_property
     def items(self) -> DataFrame:
         """Per ``(session, item)`` ranks and scores of the history."""
-        return self._table("session_items", lambda: cand.session_items(self.history))
+        return self._table("session_items", lambda: cand.session_items(self.history, bound_by=self.events))
 
     def clicks(self, n: int | None = None) -> DataFrame:
         return cand.suggest_clicks(self.history, self.clicks_matrix, self.popular, n or self.num_cands, items=self.items)
@@ -144,7 +144,7 @@ class Offline:
         f = ft.candidate_features(cands, ft.item_features(self.matrix_source), ft.user_features(self.history))
         if with_labels:
             f = ft.cap_per_user(ft.candidate_labels(f, self.truth, target), n)
-        last = ft.last_typed_event(ft.recency_features(self.history), target)
+        last = ft.last_typed_event(ft.recency_features(self.history, bound_by=self.events), target)
         return ft.ranker_frame(f, last)
 
     def ranker_inputs(self, target: str, n: int = 50) -> DataFrame:

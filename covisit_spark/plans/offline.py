@@ -24,6 +24,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv
@@ -61,24 +62,30 @@ class Offline:
         layout = "ts" if time_split else "all"
         self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{layout}-{digest}"
 
-    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _table(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         if not self.materialize:
             return build()
-        return sinks.build_if_absent(self.spark, sinks.table_path(self.spark, f"{self._prefix}/{name}"), build)
+        path = sinks.table_path(self.spark, f"{self._prefix}/{name}")
+        return sinks.build_if_absent(self.spark, path, build, partition_by=partition_by)
 
     @cached_property
     def _cut(self) -> DataFrame:
-        return self._table("cutoff", lambda: split.with_cutoff(self.events))
+        """Events with their cutoff, written partitioned by ``part`` (``h``
+        history / ``l`` labels) so that history readers prune the label files."""
+
+        def build() -> DataFrame:
+            c = split.with_cutoff(self.events)
+            return c.withColumn("part", F.when(F.col("rn") <= F.col("cutoff"), F.lit("h")).otherwise(F.lit("l")))
+
+        return self._table("cutoff", build, partition_by=["part"])
 
     @cached_property
     def history(self) -> DataFrame:
-        c = self._cut
-        return c.where(c.rn <= c.cutoff).select(*self.events.columns)
+        return self._cut.where(F.col("part") == "h").select(*self.events.columns)
 
     @cached_property
     def labels(self) -> DataFrame:
-        c = self._cut
-        return c.where(c.rn > c.cutoff).select(*self.events.columns)
+        return self._cut.where(F.col("part") == "l").select(*self.events.columns)
 
     @cached_property
     def matrix_source(self) -> DataFrame:

@@ -209,13 +209,13 @@ def _short_list(uniq_short: DataFrame, votes: DataFrame, pop: DataFrame, n: int,
     ranked = vote_keys(votes).withColumn("_vr", F.row_number().over(w)).where(F.col("_vr") <= n)
     vk = ranked.select("session", "aid", _section_key(1, F.col("_vr")))
     sessions = uniq_short.where(F.col("rec_rank") == 1).select("session")
-    # popular list of the target type: at most ``top`` rows (20), so the
-    # broadcast side is bounded; an equi-join on the type gives each session
-    # its fill candidates
-    top = F.broadcast(pop.where(F.col("type") == pop_type).select("type", "aid", "rank"))
-    fill = sessions.withColumn("type", F.lit(pop_type)).join(top, "type").select(
-        "session", "aid", _section_key(2, F.col("rank"))
-    )
+    # popular list of the target type: at most ``top`` rows (20) by
+    # construction, fetched once as a sorted array (scalar subquery) and
+    # expanded per short session - a bounded fan-out, no join
+    top = pop.where(F.col("type") == pop_type).agg(
+        F.sort_array(F.collect_list(F.struct("rank", "aid"))).alias("_p")
+    ).scalar()
+    fill = sessions.select("session", F.inline(top)).select("session", "aid", _section_key(2, F.col("rank")))
     return _cut(hist.unionByName(vk).unionByName(fill), n)
 
 

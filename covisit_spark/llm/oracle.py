@@ -21,7 +21,7 @@ def url_filter_sql() -> str:
 WITH parts AS (
   SELECT page_id, translate({part(1)}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          {part(2)} AS path, list_sort(list_filter(string_split(substr({part(3)}, 2), '&'),
-           x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS args,
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS args,
          row_number() OVER () AS row_no
   FROM pages),
 named AS (
@@ -46,7 +46,7 @@ WITH hashed AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
 named AS (
   SELECT page_id, octet_length(payload) AS payload_bytes,
-         array_to_string(list_transform(range(32), k -> substr('{BASE32}',
+         array_to_string(list_transform(range(32), lambda k: substr('{BASE32}',
            1 + (((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::BIGINT) >> (15 - 5 * (k % 4))) & 31)::BIGINT, 1)), '') AS payload_digest
   FROM hashed),
 firsts AS (SELECT payload_digest, min(page_id) AS first FROM named GROUP BY payload_digest)

@@ -51,27 +51,38 @@ def components(edges: DataFrame) -> DataFrame:
     return ids.unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    buckets: DataFrame,
+    content: Callable[[DataFrame], DataFrame],
+    same: Callable[[DataFrame, DataFrame], DataFrame],
+    first_share: int = 8,
+) -> DataFrame:
     """Verified pairs (a, b) that connect all that pairs inside the buckets connect.
 
-    ``buckets`` has (bucket, id), both longs; ``verify`` keeps the true ones of pairs (a, b). Each member is first held
-    against one leader of its bucket, another one in each bucket. Members that then are in one
-    group need no further pair; where a bucket still holds several groups, each member outside
-    its largest group is held against every member of the other groups. So no pair of a bucket is left out
-    unless its two ends are connected already, and a bucket of copies of one text costs one pair a member.
+    ``buckets`` has (bucket, id), both longs. ``content(ids)`` gives what ids are compared by, once for all ids
+    that share a bucket; ``same(pairs, content)`` keeps the true ones of pairs (a, b). Members are held
+    against one leader of their bucket, another one in each bucket: first in one bucket of ``first_share``, then
+    in the others where member and leader are not in one group yet. Where a bucket then still holds several
+    groups, each member outside its largest group is held against every member of the others. So no pair of
+    a bucket is left out unless its two ends are connected already, and a bucket of copies of one text costs
+    one pair a member.
     """
     # the leader has the least id under a mask of the bucket's own, so that buckets differ in it
     masked = F.col("id").bitwiseXOR(F.col("bucket"))
     heads = buckets.groupBy("bucket").agg(F.min(masked).alias("m"), F.count("*").alias("n")).where("n > 1")
     heads = heads.select("bucket", F.col("m").bitwiseXOR(F.col("bucket")).alias("leader"), "n")
     members = stage(buckets.join(heads, "bucket"), "members")
-    links = stage(verify(ordered_pairs(members, "id", "leader")), "links")
-    groups = components(links)
-    placed = (
-        members.where("n > 2")
-        .join(groups, "id", "left")
-        .select("bucket", "id", "leader", F.coalesce("component", "id").alias("component"))
-    )
+    held = stage(content(members.select("id").distinct()), "content")
+    first = F.pmod(F.xxhash64(F.lit(1), "bucket"), F.lit(first_share)) == 0
+    links = stage(same(ordered_pairs(members.where(first), "id", "leader"), held), "links")
+
+    placed = _placed(members, links)
+    of_leader = placed.where(F.col("id") == F.col("leader")).select("bucket", F.col("component").alias("lead"))
+    apart = placed.join(of_leader, "bucket").where(F.col("component") != F.col("lead"))
+    more = stage(same(ordered_pairs(apart, "id", "leader"), held), "links")
+    links = links.unionByName(more)
+
+    placed = _placed(members.where("n > 2"), links)
     counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (
         counted.groupBy("bucket")
@@ -79,12 +90,21 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
         .where("groups > 1")
         .drop("groups")
     )
-    open_ = stage(placed.join(mixed, "bucket"), "open")
-    outside = open_.where(F.col("component") != F.col("main")).where(F.col("id") != F.col("leader"))
-    others = open_.where(F.col("id") != F.col("leader")).select(
-        "bucket", F.col("id").alias("id2"), F.col("component").alias("component2"), (F.col("component") == F.col("main")).alias("in_main")
+    rest = stage(placed.join(mixed, "bucket").where(F.col("id") != F.col("leader")), "open")
+    outside = rest.where(F.col("component") != F.col("main"))
+    others = rest.select(
+        "bucket",
+        F.col("id").alias("id2"),
+        F.col("component").alias("component2"),
+        (F.col("component") == F.col("main")).alias("in_main"),
     )
     pairs = outside.join(others, "bucket").where(
         (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
     )
-    return links.unionByName(verify(ordered_pairs(pairs, "id", "id2")))
+    return links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held))
+
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the group that they are in so far: themselves, where none."""
+    found = members.join(components(links), "id", "left")
+    return stage(found.select("bucket", "id", "leader", F.coalesce("component", "id").alias("component")), "placed")

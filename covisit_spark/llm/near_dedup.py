@@ -209,28 +209,32 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", word_hashes(F.col("text")).alias("w")).mapInArrow(run, f"id {id_type}, s array<bigint>")
 
 
-def similar(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of document ids whose weighted Jaccard similarity is ``threshold`` or more."""
-    pairs = stage(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stage(shingle_sets(docs.join(ids, "doc_id", "left_semi")), "shingles")
+def candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, s) of the documents named by ``ids``; the texts are shuffled once, by a plan of one form at any size."""
+    wanted = ids.select(F.col("id").alias("doc_id")).hint("shuffle_hash")
+    return shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ids whose weighted Jaccard similarity is ``threshold`` or more."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"
     )
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.select("a", "b", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("n")).where(
-        F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9
-    ).select("a", "b").distinct()
+    found = both.select("a", "b", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
+    return found.where(F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id) for every row of ``docs``: the least document id of the connected group."""
-    given = docs.select("doc_id", "text")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(signatures(given, bands, rows), "signatures")
     known = signed.where(F.col("doc_id").isNotNull())
     texts = stage(known.groupBy("copy").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "copies")
     buckets = texts.select("id", F.explode("bands").alias("bucket")).distinct()
-    links = linked(buckets, lambda pairs: similar(pairs, given, threshold))
+    links = linked(
+        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold)
+    )
     groups = components(links)
     classes = texts.select("copy", "id").join(groups, "id", "left").select("copy", F.coalesce("component", "id").alias("class_id"))
     out = known.select("doc_id", "copy").join(classes, "copy").select("doc_id", "class_id")

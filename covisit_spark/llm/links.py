@@ -55,56 +55,75 @@ def linked(
     buckets: DataFrame,
     content: Callable[[DataFrame], DataFrame],
     same: Callable[[DataFrame, DataFrame], DataFrame],
+    common: Callable[[DataFrame, DataFrame], DataFrame],
+    size_ratio: float,
     first_share: int = 8,
+    rounds: int = 1,
 ) -> DataFrame:
     """Verified pairs (a, b) that connect all that pairs inside the buckets connect.
 
     ``buckets`` has (bucket, id), both longs. ``content(ids)`` gives what ids are compared by, once for all ids
     that share a bucket; ``same(pairs, content)`` keeps the true ones of pairs (a, b). Members are held
-    against one leader of their bucket, another one in each bucket: first in one bucket of ``first_share``, then
-    in the others where member and leader are not in one group yet. Where a bucket then still holds several
-    groups, each member outside its largest group is held against every member of the others. So no pair of
+    against the leader of their bucket, the one that meets most others over all its buckets: first in one bucket
+    of ``first_share``, then in the others where member and leader are not in one group yet. Where a bucket then still holds several
+    groups, each member outside its largest group is held against every member of the others that can be similar to
+    it: ``common(ids, content)`` gives (id, size, common), no id sharing more than its ``common`` with any other of
+    ``ids``, and what two share must be ``size_ratio`` of what they have together. So no pair of
     a bucket is left out unless its two ends are connected already, and a bucket of copies of one text costs
     one pair a member.
     """
-    # the leader has the least id under a mask of the bucket's own, so that buckets differ in it
-    masked = F.col("id").bitwiseXOR(F.col("bucket"))
-    heads = buckets.groupBy("bucket").agg(F.min(masked).alias("m"), F.count("*").alias("n")).where("n > 1")
-    heads = heads.select("bucket", F.col("m").bitwiseXOR(F.col("bucket")).alias("leader"), "n")
-    members = stage(buckets.join(heads, "bucket"), "members")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(buckets.join(sizes, "bucket"), "shared")
+    # the text that others are copies of meets more of them than a copy does; ties go to the least id
+    weight = shared.groupBy("id").agg(F.sum("n").alias("met"))
+    ranked = shared.join(weight, "id")
+    most = ranked.groupBy("bucket").agg(F.max("met").alias("met"))
+    heads = ranked.join(most, ["bucket", "met"]).groupBy("bucket").agg(F.min("id").alias("leader"))
+    members = stage(shared.join(heads, "bucket"), "members")
     held = stage(content(members.select("id").distinct()), "content")
     first = F.pmod(F.xxhash64(F.lit(1), "bucket"), F.lit(first_share)) == 0
     links = stage(same(ordered_pairs(members.where(first), "id", "leader"), held), "links")
-
-    placed = _placed(members, links)
-    of_leader = placed.where(F.col("id") == F.col("leader")).select("bucket", F.col("component").alias("lead"))
-    apart = placed.join(of_leader, "bucket").where(F.col("component") != F.col("lead"))
-    more = stage(same(ordered_pairs(apart, "id", "leader"), held), "links")
-    links = links.unionByName(more)
-
-    placed = _placed(members.where("n > 2"), links)
-    counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = (
-        counted.groupBy("bucket")
-        .agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("groups"))
-        .where("groups > 1")
-        .drop("groups")
-    )
-    rest = stage(placed.join(mixed, "bucket").where(F.col("id") != F.col("leader")), "open")
+    apart = _open(members, links)
+    for k in range(rounds + 1):
+        if k == 0:
+            heads = apart.select("bucket", F.col("leader").alias("head")).distinct()
+        else:  # another member of each bucket, the least under a mask
+            mask = F.xxhash64(F.lit(k), "bucket")
+            heads = apart.groupBy("bucket").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("m"))
+            heads = heads.select("bucket", F.col("m").bitwiseXOR(mask).alias("head"))
+        of_head = apart.join(heads, "bucket").where(F.col("id") == F.col("head"))
+        met = apart.join(of_head.select("bucket", "head", F.col("component").alias("of_head")), "bucket")
+        more = stage(same(ordered_pairs(met.where(F.col("component") != F.col("of_head")), "id", "head"), held), "links")
+        links = links.unionByName(more)
+        apart = _open(apart.where("n > 2").drop("component", "main"), links)
+    bounds = stage(common(apart.select("id").distinct(), held), "bounds")
+    rest = apart.where(F.col("id") != F.col("leader")).join(bounds, "id")
     outside = rest.where(F.col("component") != F.col("main"))
     others = rest.select(
         "bucket",
         F.col("id").alias("id2"),
+        F.col("size").alias("size2"),
+        F.col("common").alias("common2"),
         F.col("component").alias("component2"),
         (F.col("component") == F.col("main")).alias("in_main"),
     )
+    shared = F.least("common", "common2")
+    fits = shared >= size_ratio * (F.col("size") + F.col("size2") - shared) - 1e-9
     pairs = outside.join(others, "bucket").where(
-        (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
+        fits & (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
     )
     return links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held))
 
 
-def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the group that they are in so far: themselves, where none."""
-    found = members.join(components(links), "id", "left")
-    return stage(found.select("bucket", "id", "leader", F.coalesce("component", "id").alias("component")), "placed")
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of buckets that hold several groups, with their ``component`` and the bucket's largest, ``main``."""
+    placed = members.join(components(links), "id", "left")
+    placed = stage(placed.withColumn("component", F.coalesce("component", "id")), "placed")
+    counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    mixed = (
+        counted.groupBy("bucket")
+        .agg(F.max(F.struct("c", "component"))["component"].alias("main"), F.count("*").alias("groups"))
+        .where("groups > 1")
+        .drop("groups")
+    )
+    return stage(placed.join(mixed, "bucket"), "open")

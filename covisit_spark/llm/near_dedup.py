@@ -215,6 +215,23 @@ def candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
 
+def common_parts(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, size, common): the number of shingles, and of those that another one of ``ids`` has too."""
+    own = sets.join(ids, "id", "left_semi")
+    alone = (
+        own.select("id", F.explode("s").alias("x"))
+        .groupBy("x")
+        .agg(F.count("*").alias("n"), F.min("id").alias("id"))
+        .where("n = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("alone"))
+    )
+    size = F.size("s")
+    return own.join(alone, "id", "left").select(
+        "id", size.alias("size"), (size - F.coalesce("alone", F.lit(0))).alias("common")
+    )
+
+
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of ids whose weighted Jaccard similarity is ``threshold`` or more."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
@@ -233,7 +250,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = stage(known.groupBy("copy").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "copies")
     buckets = texts.select("id", F.explode("bands").alias("bucket")).distinct()
     links = linked(
-        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold)
+        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold), common_parts, threshold
     )
     groups = components(links)
     classes = texts.select("copy", "id").join(groups, "id", "left").select("copy", F.coalesce("component", "id").alias("class_id"))

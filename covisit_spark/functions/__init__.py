@@ -96,7 +96,8 @@ def epoch_seconds(col: Column | str) -> Column:
 
 def hash_cutoff(session: Column, n: Column, seed: int = 42, mult: int = 7919) -> Column:
     """Deterministic cutoff in ``[1, n-1]`` from the session id (needs n >= 2)."""
-    return (F.lit(1) + F.pmod(session * F.lit(mult) + F.lit(seed), (n - 1).cast("long"))).cast("long")
+    m = (n - 1).cast("long")  # the id is reduced first, so that large ids do not overflow
+    return (F.lit(1) + F.pmod(F.pmod(session.cast("long"), m) * F.lit(mult) + F.lit(seed), m)).cast("long")
 
 
 def hash_unit(key: Column, mult: int = 2654435761, seed: int = 42, modulus: int = 1_000_003) -> Column:

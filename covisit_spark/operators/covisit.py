@@ -95,11 +95,6 @@ def top_k_neighbours(weighted: DataFrame, k: int) -> DataFrame:
     return top_k_from_units(summed, "wgt_units", k)
 
 
-def time_bounds(events: DataFrame) -> DataFrame:
-    """One-row frame ``t0, t1`` = min / max ``ts``."""
-    return events.agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
-
-
 def _pairs(events: DataFrame, day_range: float, recent_n: int) -> DataFrame:
     recent = recent_events(events, recent_n, keep_rank=True)
     return distinct_session_pairs(session_pairs(recent, day_range), recent_n)

@@ -134,16 +134,6 @@ def ranker_frame(cands: DataFrame, last: DataFrame) -> DataFrame:
     return j.fillna(-1, subset=["session_length", "action_num_reverse_chrono"]).fillna(-1.0, subset=["log_recency_score"])
 
 
-def cap_per_user(frame: DataFrame, max_rows: int) -> DataFrame:
-    """Keep at most ``max_rows`` candidates per user, best list rank first.
-
-    A guard: with de-duplicated truth the candidate rows never exceed the
-    list length, so this only bounds the frame (a group limit per user).
-    """
-    w = Window.partitionBy("user").orderBy("rank", "item")
-    return frame.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_rows).drop("_r")
-
-
 def downsample_negatives(frame: DataFrame, target: str, neg_frac: float, seed: int = 42) -> DataFrame:
     """All positives plus the negatives whose ``(user, item)`` hash falls
     below ``neg_frac`` - a repeatable, per-row decision (no shuffle)."""

@@ -8,7 +8,7 @@ that task a third of the job. ``ranked_within`` splits such groups:
 2. groups larger than ``bucket_rows`` get a time-bucket width so that a bucket
    holds about ``bucket_rows`` rows on average (the number of such groups is
    at most ``rows / bucket_rows``; it is counted, and the table is broadcast
-   only below ``max_broadcast_groups``, else joined by shuffle);
+   by the engine below its own limit, else joined by shuffle);
 3. rows are counted per ``(group, bucket)``; a running sum over the buckets of
    a group gives each bucket's offset;
 4. the rank is ``offset + row_number`` within ``(group, bucket)``, so the
@@ -24,13 +24,12 @@ import os
 import weakref
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # rows per bucket of a split group; the environment override lets tests force
 # the split path on small tables
 BUCKET_ROWS = int(os.environ.get("COVISIT_BUCKET_ROWS", 2_000_000))
-MAX_BROADCAST_GROUPS = 1_000_000
 _LAST_BUCKET = 1 << 62
 _CHECKS: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
@@ -50,6 +49,18 @@ def hot_group_count(df: DataFrame, keys: Sequence[str], bucket_rows: int | None
     return memo[k]
 
 
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+
+
+def _same(keys: list[str]) -> Column:
+    """Null-safe equality of the keys with the renamed ones."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return out
+
+
 def ranked_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -59,8 +70,8 @@ def ranked_within(
     rank_col: str = "rn",
     count_col: str | None = "n",
     bucket_rows: int | None = None,
-    max_broadcast_groups: int = MAX_BROADCAST_GROUPS,
     bound_by: DataFrame | None = None,
+    max_broadcast_groups: int | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (1-based, by ``order_col`` then ``tiebreak``; nulls
     last) and optionally ``count_col`` (rows of the group).
@@ -91,10 +102,12 @@ def ranked_within(
         "_t1",
         F.greatest(F.lit(1), F.expr(f"((_t1 - _t0 + 1) * {int(bucket_rows)}) div _n")).alias("_w"),
     )
-    n_big = big.count()  # at most rows / bucket_rows groups; broadcast only below the limit
-    side = F.broadcast(big) if n_big <= max_broadcast_groups else big
     cols = df.columns
-    e = df.join(side, keys, "left")
+    # no hint: the engine broadcasts the table of large groups only below its own measured limit
+    side = _renamed(big, keys)
+    if max_broadcast_groups == 0:  # a caller can rule the broadcast out
+        side = side.hint("merge")
+    e = df.alias("e").join(side, _same(keys), "left").select("e.*", "_t0", "_t1", "_w")
     # bucket index along the order: ascending from t0, or descending from t1
     dist = (F.col("_t1") - F.col(order_col)) if descending else (F.col(order_col) - F.col("_t0"))
     bucket = F.when(F.col("_w").isNull(), F.lit(0)).when(F.col(order_col).isNull(), F.lit(_LAST_BUCKET)).otherwise(
@@ -109,7 +122,9 @@ def ranked_within(
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
         F.sum("_c").over(by_key).alias("_n"),
     )
-    e = e.select(*cols, "_b").join(offsets, keys + ["_b"])
+    e = e.select(*cols, "_b")
+    # null keys are a group like any other
+    e = e.join(_renamed(offsets, [*keys, "_b"]), _same([*keys, "_b"])).select(*cols, "_b", "_off", "_n")
     local = Window.partitionBy(*keys, "_b").orderBy(*order)
     out = e.withColumn(rank_col, (F.col("_off") + F.row_number().over(local)).cast("int"))
     if count_col:

@@ -39,13 +39,13 @@ def split_profile(parts: Mapping[str, DataFrame]) -> DataFrame:
 def missing_items(a: DataFrame, b: DataFrame, label: str) -> DataFrame:
     """Distinct items of ``a`` absent from ``b``: counts and percentage."""
     da = a.select("aid").distinct()
-    miss = da.join(b.select("aid"), "aid", "left_anti")
+    miss = da.join(b.select("aid").distinct(), "aid", "left_anti")
     n_a = da.agg(F.count(F.lit(1))).scalar()
     return miss.agg(F.count(F.lit(1)).alias("n_missing")).select(
         F.lit(label).alias("pair"),
         "n_missing",
         n_a.alias("n_a"),
-        (F.lit(100.0) * F.col("n_missing") / n_a).alias("pct_missing"),
+        F.try_divide(F.lit(100.0) * F.col("n_missing"), n_a).alias("pct_missing"),
     )
 
 
@@ -59,5 +59,5 @@ def aid_coverage(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 def session_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """Number of sessions present in both frames."""
-    both = a.select("session").distinct().join(b.select("session"), "session", "left_semi")
+    both = a.select("session").distinct().join(b.select("session").distinct(), "session", "left_semi")
     return both.agg(F.count(F.lit(1)).alias("n_overlap"))

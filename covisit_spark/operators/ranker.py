@@ -19,17 +19,11 @@ from pyspark.sql import functions as F
 
 from covisit_spark.operators.features import FEATURES
 
-NON_FEATURES = {"user", "item", "clicks", "carts", "orders", "ts", "type", "rank", "fold"}
-
-
-def feature_columns(frame: DataFrame) -> list[str]:
-    """All columns except keys, labels and raw event fields."""
-    return [c for c in frame.columns if c not in NON_FEATURES]
 
 
 def group_folds(frame: DataFrame, k: int = 5, mult: int = 7919, seed: int = 42) -> DataFrame:
     """``fold = pmod(user * mult + seed, k)``: every row of a user in one fold."""
-    return frame.withColumn("fold", F.pmod(F.col("user") * F.lit(mult) + F.lit(seed), F.lit(k)).cast("int"))
+    return frame.withColumn("fold", F.pmod(F.pmod(F.col("user").cast("long"), F.lit(k)) * F.lit(mult) + F.lit(seed), F.lit(k)).cast("int"))
 
 
 def group_sizes(frame: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def recent_window(events: DataFrame, seconds: int = 3 * WEEK_SECONDS) -> DataFra
 
 def remove_overlap(val: DataFrame, train: DataFrame) -> DataFrame:
     """Drop validation sessions that also occur in train (anti join)."""
-    return val.join(train.select("session"), "session", "left_anti")
+    return val.join(train.select("session").distinct(), "session", "left_anti")
 
 
 def with_cutoff(events: DataFrame, seed: int = 42, mult: int = 7919) -> DataFrame:

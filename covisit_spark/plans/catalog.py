@@ -356,6 +356,18 @@ def _predictions_time_split(spark, sf):
     return Offline(spark, sf, feed="ev_5d", time_split=True).predictions()
 
 
+@query("predictions_full_sessions")
+def _predictions_full_sessions(spark, sf):
+    """Lists for the whole, unlabelled sessions of the last week, one-event sessions
+    included; matrices from the earlier weeks plus those sessions."""
+    return Offline(spark, sf, feed="ev_5d", time_split=True, cutoff=False).predictions()
+
+
+@query("submission_full_sessions")
+def _submission_full_sessions(spark, sf):
+    return sinks.submission_frame(Offline(spark, sf, feed="ev_5d", time_split=True, cutoff=False).predictions())
+
+
 @query("weighted_recall_time_split")
 def _weighted_recall_time_split(spark, sf):
     o = Offline(spark, sf, feed="ev_5d", time_split=True)

@@ -41,13 +41,14 @@ class Offline:
     written once as Parquet tables under ``spark.checkpoint.dir`` and read
     back: this cuts the lineage (a lost executor recomputes from the table,
     not from the raw log) and lets every downstream query reuse them. Tables
-    are written build-if-absent, keyed by application, feed and input path,
-    so a re-run after a failure only rebuilds what did not finish.
+    are written build-if-absent, keyed by application, feed, input path and
+    the plan of ``train``: within an application nothing is built twice.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "ev_user", num_cands: int = 20,
                  events: DataFrame | None = None, materialize: bool = True, time_split: bool = False,
-                 train: DataFrame | None = None):
+                 train: DataFrame | None = None, cutoff: bool = True):
+        self.cutoff = cutoff
         self.spark = spark
         self.sf_dir = sf_dir
         self.num_cands = num_cands
@@ -59,8 +60,10 @@ class Offline:
             raw = split.remove_overlap(val, self.train)
         self.events = raw
         digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-        layout = "ts" if time_split else "all"
-        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{layout}-{digest}"
+        layout = ("ts" if time_split else "all") + ("" if cutoff else "-full")
+        # a train frame of its own changes what is built from it, so its plan is part of the key
+        own = "" if train is None else f"-{train.semanticHash() & 0xFFFFFFFF:08x}"
+        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{layout}-{digest}{own}"
 
     def _table(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         if not self.materialize:
@@ -81,10 +84,17 @@ class Offline:
 
     @cached_property
     def history(self) -> DataFrame:
+        """The events that predictions start from: up to each session's cutoff,
+        or, with ``cutoff=False`` (sessions to predict for, without labels),
+        whole sessions, those of one event included."""
+        if not self.cutoff:
+            return self._table("events", lambda: self.events)
         return self._cut.where(F.col("part") == "h").select(*self.events.columns)
 
     @cached_property
     def labels(self) -> DataFrame:
+        if not self.cutoff:
+            raise ValueError("whole sessions have no labels: build Offline with cutoff=True to evaluate")
         return self._cut.where(F.col("part") == "l").select(*self.events.columns)
 
     @cached_property
@@ -150,7 +160,7 @@ class Offline:
         cands = ft.rank_features(ft.candidate_rows(self.carts(n)))
         f = ft.candidate_features(cands, ft.item_features(self.matrix_source), ft.user_features(self.history))
         if with_labels:
-            f = ft.cap_per_user(ft.candidate_labels(f, self.truth, target), n)
+            f = ft.candidate_labels(f, self.truth, target)
         last = ft.last_typed_event(ft.recency_features(self.history, bound_by=self.events), target)
         return ft.ranker_frame(f, last)
 
@@ -183,8 +193,8 @@ def ranker_sweep(
 
     Per configuration: for each target, ``num_avg`` models (model ``f``
     validates on fold ``f``) are trained on the down-sampled frame, their
-    mean score re-ranks the 50 candidates to 20, and MAP@20 is measured on the
-    full frame; the re-ranked carts/orders lists replace the co-visitation
+    mean score re-ranks the 50 candidates to 20, and MAP@20 is the mean over the
+    models, each on its validation fold; the re-ranked carts/orders lists replace the co-visitation
     lists and the weighted recall is computed. Returns one row per
     configuration (the loop runs Spark jobs; only metrics reach the driver).
     """
@@ -204,7 +214,13 @@ def ranker_sweep(
             train = ft.downsample_negatives(frame, target, neg_frac)
             models = [rk.train_ranker(train, target, valid_fold=f, params=cfg) for f in range(num_avg)]
             ranked = rk.rank_top(rk.score(models, frame), 20)
-            maps[target] = rk.map_at_k(ranked, frame, target, 20).first()["map"]
+            # each model is measured on the users of its own validation fold, which it has not trained on
+            held = [frame.where(F.col("fold") == f) for f in range(num_avg)]
+            per_fold = [
+                rk.map_at_k(rk.rank_top(rk.score([m], h), 20), h, target, 20).first()["map"] or 0.0
+                for m, h in zip(models, held, strict=True)
+            ]
+            maps[target] = sum(per_fold) / len(per_fold)
             lists.append(
                 ranked.select(F.col("user").alias("session"), F.lit(target).alias("type"), F.col("item").alias("aid"), "rank")
             )

@@ -371,6 +371,10 @@ cte("tv_msrc", "SELECT session, pos, ts, type, aid FROM s5_train UNION ALL SELEC
 TV = scenario("tv", "s5_hist", "s5_gt", "tv_msrc")
 TV20 = suggest_ctes(TV, 20)
 recall_ctes("s5_gt", TV20["preds"], None, "tv20")
+# whole sessions of the last week, without a cutoff
+cte("fw_hist", "SELECT session, pos, ts, type, aid FROM s5_clean")
+cte("fw_msrc", "SELECT session, pos, ts, type, aid FROM s5_train UNION ALL SELECT session, pos, ts, type, aid FROM fw_hist")
+FW20 = suggest_ctes(scenario("fw", "fw_hist", "s5_gt", "fw_msrc"), 20)
 
 # --- features and ranker inputs (candidates = 50-item cart lists) ------------
 cte("fc_rows", f'SELECT session AS "user", aid AS item, rank FROM {SG50["carts"]}')
@@ -612,6 +616,14 @@ FROM mu_ck_dedup d, mu_ck_bounds b GROUP BY aid_x, aid_y
     q["predictions_orders"] = build(f"SELECT session, type, aid, rank FROM {OC20['preds']}")
     q["weighted_recall_orders"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM oc20_rw")
     q["predictions_time_split"] = build(f"SELECT session, type, aid, rank FROM {TV20['preds']}")
+    q["predictions_full_sessions"] = build(f"SELECT session, type, aid, rank FROM {FW20['preds']}")
+    q["submission_full_sessions"] = build(
+        f"""
+SELECT CAST(session AS VARCHAR) || '_' || type AS session_type,
+       string_agg(CAST(aid AS VARCHAR), ' ' ORDER BY rank) AS labels
+FROM {FW20['preds']} GROUP BY session, type
+"""
+    )
     q["weighted_recall_time_split"] = build("SELECT r_clicks, r_carts, r_orders, recall FROM tv20_rw")
     # F
     q["candidate_rows"] = build('SELECT "user", item, rank FROM fc_rows')

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job of this library relies on. UTC pins any timestamp
@@ -29,16 +30,16 @@ def get_spark(
 ) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``master`` defaults to ``local[$SPARK_CPUS or 8]`` for local runs; on a
-    cluster pass ``None`` and let ``spark-submit`` decide.
+    Without ``master`` the submitted one is kept (``spark-submit --master``, or
+    all local cores where none was given).
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        master = f"local[{os.environ.get('SPARK_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
+    if master and SparkContext._active_spark_context is None:
+        # only a JVM that starts here can take it
+        conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

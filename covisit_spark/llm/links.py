@@ -60,7 +60,7 @@ def linked(
     first_share: int = 8,
     rounds: int = 1,
 ) -> DataFrame:
-    """Verified pairs (a, b) that connect all that pairs inside the buckets connect.
+    """Pairs (a, b), verified or implied by verified ones, that connect all that pairs inside the buckets connect.
 
     ``buckets`` has (bucket, id), both longs. ``content(ids)`` gives what ids are compared by, once for all ids
     that share a bucket; ``same(pairs, content)`` keeps the true ones of pairs (a, b). Members are held
@@ -83,7 +83,8 @@ def linked(
     held = stage(content(members.select("id").distinct()), "content")
     first = F.pmod(F.xxhash64(F.lit(1), "bucket"), F.lit(first_share)) == 0
     links = stage(same(ordered_pairs(members.where(first), "id", "leader"), held), "links")
-    apart = _open(members, links)
+    groups = components(links)
+    apart = _open(members, groups)
     for k in range(rounds + 1):
         if k == 0:
             heads = apart.select("bucket", F.col("leader").alias("head")).distinct()
@@ -94,8 +95,13 @@ def linked(
         of_head = apart.join(heads, "bucket").where(F.col("id") == F.col("head"))
         met = apart.join(of_head.select("bucket", "head", F.col("component").alias("of_head")), "bucket")
         more = stage(same(ordered_pairs(met.where(F.col("component") != F.col("of_head")), "id", "head"), held), "links")
-        links = links.unionByName(more)
-        apart = _open(apart.where("n > 2").drop("component", "main"), links)
+        apart = apart.where("n > 2")
+        if not more.isEmpty():
+            # the groups known stand for the links that made them, so few rounds are left to do
+            known = groups.where(F.col("id") != F.col("component")).select(F.col("id").alias("a"), F.col("component").alias("b"))
+            links = known.unionByName(more)
+            groups = components(links)
+            apart = _open(apart.drop("component", "main"), groups)
     bounds = stage(common(apart.select("id").distinct(), held), "bounds")
     rest = apart.where(F.col("id") != F.col("leader")).join(bounds, "id")
     outside = rest.where(F.col("component") != F.col("main"))
@@ -115,9 +121,9 @@ def linked(
     return links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held))
 
 
-def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+def _open(members: DataFrame, groups: DataFrame) -> DataFrame:
     """The members of buckets that hold several groups, with their ``component`` and the bucket's largest, ``main``."""
-    placed = members.join(components(links), "id", "left")
+    placed = members.join(groups, "id", "left")
     placed = stage(placed.withColumn("component", F.coalesce("component", "id")), "placed")
     counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     mixed = (

@@ -69,7 +69,7 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """Target shares of a dimension: its token shares to the given power, scaled to one."""
     raised = cells.groupBy(dimension).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("t"))
     total = raised.agg(F.sum("t").alias("all"))
-    return raised.select(dimension, (F.col("t") / total.scalar()).alias("share"))
+    return raised.select(dimension, F.try_divide(F.col("t"), total.scalar()).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 12, tolerance: float = 1e-6) -> DataFrame:
@@ -101,7 +101,7 @@ def probabilities(raked: DataFrame, keep_fraction: float) -> DataFrame:
 
     Cells at probability one are set aside and c is found anew, until no further cell reaches one.
     """
-    rate = F.col("weight") / F.col("tokens")
+    rate = F.try_divide(F.col("weight"), F.col("tokens"))
     full = raked.where("tokens > 0")
     r = full.agg(F.sum("tokens").alias("n"), F.sum("weight").alias("w")).first()
     wanted, c = keep_fraction * (r["n"] or 0), 0.0

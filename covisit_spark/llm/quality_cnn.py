@@ -31,8 +31,7 @@ PAD = 0
 def segments(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and where segments start: (bytes, starts, document of each, first of each).
 
-    Each text is padded to a whole number of segments, two at least, and the pad bytes after it keep
-    its last positions from looking into the next text.
+    Each text is padded to a whole number of segments, two at least, with room for ``WIDTH - 1`` pad bytes.
     """
     raw = [(t or "").encode("utf-8", "replace") for t in texts]
     counts = np.array([max(2, -(-(len(b) + WIDTH - 1) // SEGMENT)) for b in raw], dtype=np.int64)
@@ -41,9 +40,14 @@ def segments(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.frombuffer(data, np.uint8), np.arange(counts.sum()) * SEGMENT, np.repeat(np.arange(len(raw)), counts), first
 
 
-def convolve(data: np.ndarray, weights: np.ndarray, block: int = 1 << 12) -> np.ndarray:
+def text_ends(doc: np.ndarray) -> np.ndarray:
+    """The last segment of each text: its last places are padding that looks into the next text."""
+    return np.flatnonzero(np.append(doc[1:] != doc[:-1], True))
+
+
+def convolve(data: np.ndarray, weights: np.ndarray, doc: np.ndarray, block: int = 1 << 12) -> np.ndarray:
     """Largest response of each filter in each segment; bounded memory by blocks of segments."""
-    n = (len(data) - WIDTH + 1) // SEGMENT
+    n, ends = len(doc), text_ends(doc)
     out = np.empty((n, FILTERS), np.float32)
     for a in range(0, n, block):
         b = min(n, a + block)
@@ -52,7 +56,9 @@ def convolve(data: np.ndarray, weights: np.ndarray, block: int = 1 << 12) -> np.
         y = weights[0].take(part[:m], axis=0)
         for k in range(1, WIDTH):
             y += weights[k].take(part[k : k + m], axis=0)
-        out[a:b] = y.reshape(b - a, SEGMENT, FILTERS).max(axis=1)
+        y = y.reshape(b - a, SEGMENT, FILTERS)
+        y[ends[(ends >= a) & (ends < b)] - a, SEGMENT - WIDTH + 1 :] = -np.inf
+        out[a:b] = y.max(axis=1)
     return out
 
 
@@ -87,7 +93,7 @@ class Network:
         if not texts:
             return np.zeros(0)
         data, _, doc, first = segments(texts)
-        chunk, starts, _ = pooled(convolve(data, self.w), doc, first)
+        chunk, starts, _ = pooled(convolve(data, self.w, doc), doc, first)
         z = features(chunk, starts, self.b) @ self.v + self.c
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
@@ -98,6 +104,7 @@ class Network:
         for k in range(1, WIDTH):
             resp += self.w[k].take(data[k : k + n * SEGMENT], axis=0)
         resp = resp.reshape(n, SEGMENT, FILTERS)
+        resp[text_ends(doc), SEGMENT - WIDTH + 1 :] = -np.inf
         place = resp.argmax(axis=1)
         seg = np.take_along_axis(resp, place[:, None], axis=1)[:, 0]
         chunk, starts, inside = pooled(seg, doc, first)
@@ -122,8 +129,8 @@ class Network:
         return [dw + 1e-4 * self.w, dact.sum(0), x.T @ dz + 1e-3 * self.v, np.array([dz.sum()])]
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 12, batch: int = 48, rate: float = 0.02, seed: int = 0) -> Network:
-    """Adam on the logistic loss, both classes with the same total weight."""
+def train(texts: list[str], y: np.ndarray, epochs: int = 12, batch: int = 48, rate: float = 0.02, seed: int = 0, least_steps: int = 300) -> Network:
+    """Adam on the logistic loss, both classes with the same total weight; few rows are gone over more often."""
     net = Network(seed)
     if len(set(y.tolist())) < 2:
         net.prior = float(y.mean()) if len(y) else 0.5
@@ -132,6 +139,7 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 12, batch: int = 48, ra
     params = [net.w, net.b, net.v, net.c]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     r, t = np.random.default_rng(seed), 0
+    epochs = max(epochs, -(-least_steps // -(-len(y) // batch)))
     steps = epochs * -(-len(y) // batch)
     for _ in range(epochs):
         order = r.permutation(len(y))

@@ -76,6 +76,16 @@ def test_line_dedup_keeps_one_occurrence(spark):
     assert (1, rows[0][1]) in got
 
 
+def test_line_dedup_normalises_white_space_and_takes_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "one  two\tthree FOUR\nlast line of one"), (2, " One two three four \r\nlast\x0bline of two"), (3, "one two three four")]
+    given = docs(spark, rows).withColumns({c: F.lit(9) for c in ("n_lines", "n_removed", "gone", "line_doc", "pos", "id")})
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(given).collect()}
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "last\x0bline of two" and got[3]["text"] == ""
+    assert [(got[i]["n_lines"], got[i]["n_removed"], got[i]["gone"]) for i in (1, 2, 3)] == [(2, 0, 9), (2, 1, 9), (1, 1, 9)]
+
+
 def test_simhash_is_the_majority(spark):
     r = np.random.default_rng(1)
     for n in (1, 3, 255, 1001):

@@ -105,6 +105,42 @@ def test_leaks_are_found_and_others_left(spark):
     assert decontaminate.find_leaks(docs(spark, []), bench).count() == 0
 
 
+def test_leaks_of_a_large_benchmark_are_recalled(spark):
+    r = np.random.default_rng(3)
+    # words as frequent as in prose; verbatim, and with three words in ten replaced before the answer
+    chance = 1 / np.arange(1, 8001)
+    some = lambda n: [f"v{k}" for k in r.choice(8000, n, p=chance / chance.sum())]
+    bench = [some(int(r.integers(12, 50))) for _ in range(1500)]
+    rows, want = [], {0: set(), 1: set()}
+    for k in range(200):
+        item, host = bench[7 * k], some(300)
+        if k % 2:
+            item = [w if r.random() < 0.7 else "other" for w in item[:-5]] + item[-5:]
+        rows.append((k, " ".join(host[:150] + item + host[150:])))
+        share = 1 - sum(a != b for a, b in zip(item, bench[7 * k], strict=True)) / len(item)
+        if share >= decontaminate.PARAPHRASE:
+            want[k % 2].add((k, 7 * k))
+    items = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(bench)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs(spark, rows), items).collect()}
+    assert all(len(got & x) >= 0.9 * len(x) for x in want.values())
+
+
+def test_candidates_are_bounded_by_shared_words():
+    r = np.random.default_rng(4)
+    texts = [r.integers(0, 60, n) for n in (40, 200, 3)]
+    bench = [r.integers(0, 60, n).tolist() for n in (5, 9, 30, 31)]
+    items = decontaminate.Items(list(range(4)), bench, bench, np.zeros((decontaminate.DIMS, 2), np.float32))
+    ends = np.cumsum([len(t) for t in texts])
+    cases = [(ends[k] - len(t) + a, ends[k] - len(t), ends[k], i) for k, t in enumerate(texts) for a in range(0, len(t), 16) for i in range(4)]
+    at, low, high, item = (np.array(x) for x in zip(*cases, strict=True))
+    may = decontaminate.may_share(np.concatenate(texts), low, high, at, item, items, 0.5)
+    for (a, lo, hi, i), ok in zip(cases, may, strict=True):
+        n = len(bench[i])
+        near = set(np.concatenate(texts)[max(lo, a - n) : min(hi, a + 32 + n)].tolist())
+        assert ok or sum(w in near for w in bench[i]) < 0.5 * n
+    assert not may.all() and may.any()
+
+
 def test_rule_statistics_match_brute_force(spark):
     for r in quality_rules.text_statistics(docs(spark)).where("doc_id is not null").collect():
         t = dict((i, t) for i, t in TEXTS)[r["doc_id"]] or ""

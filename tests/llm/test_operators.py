@@ -168,6 +168,24 @@ def test_secret_spans_match_brute_force(spark):
         assert got[i] == sorted(want)
 
 
+def test_secrets_without_a_keyword_are_found(spark):
+    r = np.random.default_rng(6)
+    random = lambda: "".join(r.choice(list(secret_scan.ALPHABET[:62]), 28))
+    plain = "internationalization uncharacteristically responsibilities misunderstandings statesmanlike/interesting"
+    hosts = sorted((x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SF}/documents.parquet").collect() if x["text"])
+    rows, want = [], {}
+    for k, text in hosts:
+        text = f"{text} {plain} " + (f"password = '{random()}' " if k % 3 == 0 else "")
+        if k % 10 == 1:
+            token = random()
+            want[k] = (len(text), len(text) + len(token))
+            text += f"{token} at last"
+        rows.append((k, text))
+    got = {x["doc_id"]: [(y["s"], y["e"]) for y in x["extra"]] for x in secret_scan.scan(docs(spark, rows)).collect()}
+    found = sum(want[k] in got[k] for k in want)
+    assert found >= 0.9 * len(want) and sum(len(v) for v in got.values()) == found
+
+
 PII = ["a@b.c.@d.e x@y", "1.2.3.4.5.6.7.8 999.1.1.1 0010.2.3.4", "card 4111 1111-1111 1111, 4111111111111112", "+1 (555) 010-9999 +12 +1(2", "@b.c@d.e @@b.c", "ü joe.x+1@mail.example.com 127.0.0.1", "", "1" * 50]
 
 

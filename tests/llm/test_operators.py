@@ -105,6 +105,16 @@ def test_leaks_are_found_and_others_left(spark):
     assert decontaminate.find_leaks(docs(spark, []), bench).count() == 0
 
 
+def test_benchmark_stage_drops_leaks_without_an_id(spark, tmp_path):
+    import corpus_pipeline
+
+    item = "Alpha beta gamma delta. " + text_of(50, 30) + ". the final answer is seven"
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (None, text_of(13, 300)), (None, None), (5, item), (6, text_of(14, 300)), (4, None)]
+    kept = corpus_pipeline.benchmark(spark, docs(spark, rows), str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+
+
 def test_leaks_of_a_large_benchmark_are_recalled(spark):
     r = np.random.default_rng(3)
     # words as frequent as in prose; verbatim, and with three words in ten replaced before the answer

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from covisit_spark.llm.merkle import FAN, FIELDS
+from covisit_spark.llm.phrases import COVERED, LEAST, TOP
 from covisit_spark.llm.queries import LISTED_HOSTS
+from covisit_spark.llm.topk import EVERY, K, SCALE
 from covisit_spark.llm.url_filter import RULES
 from covisit_spark.llm.warc import BASE32
 
@@ -57,5 +60,117 @@ FROM named JOIN firsts USING (payload_digest)
 """
 
 
+def phrases_sql() -> str:
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT d, lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM docs),
+listed AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed WHERE len(w) > 0),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS ws
+  FROM places CROSS JOIN (VALUES (1), (2), (3)) AS depth(k) WHERE i + k - 1 <= len(w)),
+freq AS (SELECT lang, k, phrase, any_value(ws) AS ws, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM freq WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM freq WHERE k >= 2 AND f >= {LEAST}),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand t ON t.lang = s.lang AND t.k = 3 AND s.k = 2
+    AND (t.ws[1:2] = s.ws OR t.ws[2:3] = s.ws) WHERE 100 * t.f >= {COVERED} * s.f),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, cut.j,
+         (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+  FROM cand c JOIN (VALUES (1), (2)) AS cut(j) ON cut.j < c.k
+  JOIN freq x ON x.lang = c.lang AND x.k = cut.j AND x.phrase = array_to_string(c.ws[1:cut.j], ' ')
+  JOIN freq y ON y.lang = c.lang AND y.k = c.k - cut.j AND y.phrase = array_to_string(c.ws[cut.j + 1:c.k], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+placed AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s ANTI JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase)
+SELECT p.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed p JOIN totals t ON t.lang = p.lang WHERE rank <= {TOP}
+"""
+
+
+# Levels of runs that the statement below spells out: enough for 3^14 documents a source.
+SQL_LEVELS = 14
+
+
+def _tree(base: str, name: str) -> list[str]:
+    """CTEs of a tree over ``base`` (tree, idx, digest): levels, sizes and each leaf's (siblings, folded digests) level by level."""
+    made = [f"{name}0 AS MATERIALIZED (SELECT tree, idx, digest, count(*) OVER (PARTITION BY tree) AS size FROM {base})"]
+    for k in range(1, SQL_LEVELS + 1):
+        made.append(
+            f"{name}{k} AS MATERIALIZED (SELECT tree, idx, digest, count(*) OVER (PARTITION BY tree) AS size FROM ("
+            f"SELECT tree, idx // {FAN} AS idx, sha256(string_agg(digest, '' ORDER BY idx)) AS digest"
+            f" FROM {name}{k - 1} WHERE size > 1 GROUP BY tree, idx // {FAN}))"
+        )
+    tops = " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE size = 1" for k in range(SQL_LEVELS + 1))
+    made.append(f"{name}_roots AS MATERIALIZED ({tops})")
+    return made
+
+
+def _climb(name: str, start: str, carried: str) -> list[str]:
+    """CTEs that take ``start`` (tree, idx, leaf_idx, proof, folded, ``carried``) up the levels of ``name``."""
+    made, last = [], start
+    for k in range(SQL_LEVELS):
+        now = f"{name}_up{k + 1}"
+        side = lambda op: f"coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (WHERE s.idx {op} u.idx), '')"  # noqa: B023, E731
+        made.append(
+            f"{now} AS MATERIALIZED (SELECT u.row_no, u.tree, u.idx // {FAN} AS idx, {carried}, u.proof || {side('<')} || {side('>')} AS proof,"
+            f" CASE WHEN max(s.size) > 1 THEN sha256({side('<')} || u.folded || {side('>')}) ELSE u.folded END AS folded"
+            f" FROM {last} u LEFT JOIN {name}{k} s ON s.tree = u.tree AND s.size > 1 AND s.idx // {FAN} = u.idx // {FAN}"
+            f" GROUP BY u.row_no, u.tree, u.idx, {carried}, u.proof, u.folded)"
+        )
+        last = now
+    return made
+
+
+def merkle_sql() -> str:
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if c == "text" else c) for c in FIELDS) + ")"
+    bits = "list_reduce(list_prepend(4294967295, flatten([[ascii(c), 0, 0, 0, 0, 0, 0, 0] for c in string_split(doc_id::VARCHAR, '')])), lambda x, y: "
+    step = "xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1)))"
+    ctes = [
+        f"rows AS MATERIALIZED (SELECT *, row_number() OVER () AS row_no, coalesce(xor({bits}{step}, 4294967295) % 2 = 0, false) AS hit FROM documents)",
+        "cut AS (SELECT *, CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END AS bad FROM rows)",
+        f"leaves AS (SELECT row_no, doc_id, source, {leaf('text')} AS leaf, {leaf('bad')} AS folded FROM cut)",
+        "ranked AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,"
+        " row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves)",
+        "base AS (SELECT tree, idx, leaf AS digest FROM ranked)",
+        *_tree("base", "n"),
+        "top AS (SELECT 0 AS tree, tree AS idx, digest FROM n_roots)",
+        *_tree("top", "t"),
+        "asked AS (SELECT row_no, tree, idx, doc_id, leaf, '' AS proof, folded FROM ranked)",
+        *_climb("n", "asked", "doc_id, u.leaf"),
+        f"between AS MATERIALIZED (SELECT u.row_no, 0 AS tree, u.tree AS idx, doc_id, u.leaf, proof, folded, digest AS subroot FROM n_up{SQL_LEVELS} u JOIN n_roots USING (tree))",
+        *_climb("t", "between", "doc_id, u.leaf, u.subroot"),
+    ]
+    return (
+        "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM t_up{SQL_LEVELS}, t_roots
+"""
+    )
+
+
+def topk_sql() -> str:
+    return f"""
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
+met AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % {EVERY} = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM met) WHERE rank <= {K}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": url_filter_sql(), "op8_warc": warc_sql()}
+    return {
+        "op3_url_filter": url_filter_sql(),
+        "op8_warc": warc_sql(),
+        "op11_phrases": phrases_sql(),
+        "op12_merkle": merkle_sql(),
+        "op13_topk": topk_sql(),
+    }

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from covisit_spark.llm import (
     decontaminate,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
+    phrases,
     pii_tagger,
     quality_cnn,
     quality_rules,
     secret_scan,
+    topk,
     url_filter,
     warc,
 )
@@ -97,6 +100,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, with the root folded from the tampered row."""
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors, by integer inner product, of every hundredth."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_line_dedup,
@@ -109,5 +127,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc,
         op9_quality_rules,
         op10_secrets,
+        op11_phrases,
+        op12_merkle,
+        op13_topk,
     ]
     return {f.__name__: f for f in made}

@@ -67,26 +67,27 @@ WITH docs AS (
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 pieces AS (SELECT d, lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM docs),
 listed AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
-places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed WHERE len(w) > 0),
-grams AS (
-  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS ws
-  FROM places CROSS JOIN (VALUES (1), (2), (3)) AS depth(k) WHERE i + k - 1 <= len(w)),
-freq AS (SELECT lang, k, phrase, any_value(ws) AS ws, count(*) AS f FROM grams GROUP BY ALL),
-totals AS (SELECT lang, sum(f)::BIGINT AS n FROM freq WHERE k = 1 GROUP BY lang),
-cand AS (SELECT * FROM freq WHERE k >= 2 AND f >= {LEAST}),
-covered AS (
-  SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand t ON t.lang = s.lang AND t.k = 3 AND s.k = 2
-    AND (t.ws[1:2] = s.ws OR t.ws[2:3] = s.ws) WHERE 100 * t.f >= {COVERED} * s.f),
+starts AS (SELECT lang, unnest(w) AS w1, unnest(list_append(w[2:], NULL)) AS w2, unnest(list_append(w[3:], NULL)) AS w3 FROM listed WHERE len(w) > 0),
+f1 AS (SELECT lang, w1, count(*) AS f FROM starts GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM starts WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= {LEAST}),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM starts WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {LEAST}),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+wider AS (SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
 cuts AS (
-  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, cut.j,
-         (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
-  FROM cand c JOIN (VALUES (1), (2)) AS cut(j) ON cut.j < c.k
-  JOIN freq x ON x.lang = c.lang AND x.k = cut.j AND x.phrase = array_to_string(c.ws[1:cut.j], ' ')
-  JOIN freq y ON y.lang = c.lang AND y.k = c.k - cut.j AND y.phrase = array_to_string(c.ws[cut.j + 1:c.k], ' ')),
-scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, x.f AS l, y.f AS r, 1 AS j
+  FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f1 y ON y.lang = p.lang AND y.w1 = p.w2
+  LEFT JOIN wider v ON v.lang = p.lang AND v.w1 = p.w1 AND v.w2 = p.w2 WHERE v.f IS NULL OR 100 * v.f < {COVERED} * p.f
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f2 y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  FROM f3 t JOIN f2 x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN f1 y ON y.lang = t.lang AND y.w1 = t.w3),
+graded AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts),
+scored AS (SELECT * FROM graded QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 placed AS (
   SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
-  FROM scored s ANTI JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase)
+  FROM scored s)
 SELECT p.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed p JOIN totals t ON t.lang = p.lang WHERE rank <= {TOP}
 """
 

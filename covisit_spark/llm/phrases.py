@@ -11,10 +11,10 @@ quicksort, now over counted suffixes, gives global counts and abandons all parts
 words that a chunk holds ``HOT`` times or more would make a hot bucket: such a chunk routes the pair's suffixes by three
 words instead and sends the pair's total to the bucket of the pair. There, what other chunks sent of that pair
 is counted without abandoning, and one sum over what all buckets found joins both parts. So a bucket gets less than
-``HOT`` rows a pair and chunk, however frequent the pair is. Word counts travel the same way.
+``HOT`` suffixes a pair and chunk, however frequent the pair is. A chunk sends a bucket one row, which lists its suffixes.
 
-Words travel as 64-bit hashes with one (hash, word) row a chunk and word; every hash is checked to name one
-word only, and if ever one does not, all is done again under another seed. Counts and products are exact.
+Words travel as 64-bit hashes, with each chunk's words and their counts beside them; every hash is checked to name
+one word only, and if ever one does not, all is done again under another seed. Counts and products are exact.
 
 Defined results: null texts are empty; a null ``lang`` is ``und``; rows count one by one, repeated or without an id; a long
 text is cut only between pieces; no text or no frequent phrase gives no rows; other columns are ignored.
@@ -39,13 +39,13 @@ DEPTH = 3
 LEAST = 10
 COVERED = 50
 TOP = 2000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 1 << 20
 HOT = 64
 # Kinds of rows: suffixes by two words, suffixes of hot pairs by three, totals of hot pairs, words, words of a language, two
 # words of one hash.
 SUFFIX, SPREAD, PAIR, WORD, LANG, CLASH = range(6)
-ROW = "bucket int, kind int, h1 long, h2 long, h3 long, c long, name string"
+ROW = "bucket int, kind array<tinyint>, h1 array<long>, h2 array<long>, h3 array<long>, c array<int>, word array<string>, word_c array<int>"
 FOUND = "kind int, h1 long, h2 long, h3 long, c long, name string"
 
 
@@ -144,10 +144,25 @@ def _route(*hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hash(name: bytes, seed: int) -> int:
+    """Hash of a language and word; 0 stands for no word."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(name, seed) or 1
+
+
+def _lists(buckets: np.ndarray, of: np.ndarray, order: np.ndarray, *columns):
+    """One list a bucket of each column's values, which belong to the buckets ``of``."""
+    import pyarrow as pa
+
+    offsets = pa.array(np.append(np.searchsorted(of[order], buckets), len(of)).astype(np.int32))
+    chosen = [c.take(pa.array(order)) if isinstance(c, pa.Array) else pa.array(c[order]) for c in columns]
+    return [pa.ListArray.from_arrays(offsets, c) for c in chosen]
+
+
 def suffix_rows(text: np.ndarray, starts: np.ndarray, langs: list[str], buckets: int, seed: int, hot: int):
-    """Rows of one chunk: its distinct suffixes of two words or more, totals of its hot pairs, its words."""
+    """One chunk's distinct suffixes of two words or more, totals of its hot pairs, and words: a row of lists a bucket."""
     import pyarrow as pa
-    import xxhash
 
     words, piece, owner = tokens(text, starts)
     coded = words.dictionary_encode()
@@ -156,46 +171,45 @@ def suffix_rows(text: np.ndarray, starts: np.ndarray, langs: list[str], buckets:
     lex, code = np.unique(lang_of[owner] * max(1, len(names)) + coded.indices.to_numpy().astype(np.int64), return_inverse=True)
     lang_names = [x.encode() for x in lang_index]
     named = [lang_names[x // len(names)] + b"\t" + names[x % len(names)] for x in lex.tolist()]
-    digest = xxhash.xxh3_64_intdigest
-    # 0 stands for no word
-    hashes = np.array([0] + [digest(x, seed) or 1 for x in named], np.uint64).view(np.int64)
+    hashes = np.array([0] + [_hash(x, seed) for x in named], np.uint64).view(np.int64)
     n = len(code)
     keys = np.zeros((DEPTH, n), np.int32)
     for d in range(DEPTH):
         stop = max(0, n - d)
         keys[d, :stop] = np.where(piece[d:] == piece[:stop], code[d:] + 1, 0)
-    order, sizes = _parts(keys[0])
-    found = quicksort(keys, order, sizes)
+    found = quicksort(keys, *_parts(keys[0]))
     heads, depth, weight = _joined(found, "equal")
-    leaf = depth == DEPTH
-    pairs = (depth == 2) & (weight >= hot)
+    leaf, pairs = depth == DEPTH, (depth == 2) & (weight >= hot)
     end_heads, end_words, end_weight = _joined(found, "ended")
     one, _, one_weight = _joined(found, "single")
     suffix = np.concatenate([heads[leaf], end_heads[end_words >= 2], one])
     count = np.concatenate([weight[leaf], end_weight[end_words >= 2], one_weight])
     two = keys[1, suffix] != 0
     suffix, count = suffix[two], count[two]
-    h1, h2, h3 = (hashes[keys[d, suffix]] for d in range(DEPTH))
-    p1, p2 = (hashes[keys[d, heads[pairs]]] for d in range(2))
-    spread = np.isin(_route(h1, h2), _route(p1, p2))
+    total = heads[pairs]
+    route = _route(hashes[keys[0, suffix]], hashes[keys[1, suffix]])
+    pair_route = _route(hashes[keys[0, total]], hashes[keys[1, total]])
+    spread = np.isin(route, pair_route)
     # what ends after a hot pair is in the pair's total
-    real = ~spread | (h3 != 0)
-    h1, h2, h3, count, spread = (x[real] for x in (h1, h2, h3, count, spread))
-    route = np.where(spread, _route(h1, h2, h3), _route(h1, h2))
-    own = hashes[1:]
-    none = np.zeros(len(own), np.int64)
-    routes = np.concatenate([route, _route(p1, p2), _route(own)]) % np.uint64(buckets)
-    kinds = np.concatenate([np.where(spread, SPREAD, SUFFIX), np.full(len(p1), PAIR), np.full(len(own), WORD)])
-    columns = [
-        pa.array(routes.astype(np.int32)),
-        pa.array(kinds.astype(np.int32)),
-        pa.array(np.concatenate([h1, p1, own])),
-        pa.array(np.concatenate([h2, p2, none])),
-        pa.array(np.concatenate([h3, np.zeros(len(p1), np.int64), none])),
-        pa.array(np.concatenate([count, weight[pairs], np.bincount(code, minlength=len(own))]).astype(np.int64)),
-        pa.concat_arrays([pa.nulls(len(count) + len(p1), pa.string()), pa.array([x.decode() for x in named], pa.string())]),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "h1", "h2", "h3", "c", "name"])
+    real = ~spread | (keys[2, suffix] != 0)
+    suffix, count, spread, route = suffix[real], count[real], spread[real], route[real]
+    route[spread] = _route(*(hashes[keys[d, suffix[spread]]] for d in range(DEPTH)))
+    suffix, count = np.concatenate([suffix, total]), np.concatenate([count, weight[pairs]]).astype(np.int32)
+    kind = np.concatenate([np.where(spread, SPREAD, SUFFIX), np.full(len(total), PAIR)]).astype(np.int8)
+    h = [hashes[keys[d, suffix]] for d in range(DEPTH)]
+    h[2][kind == PAIR] = 0
+    bucket = _bucket(np.concatenate([route, pair_route]), buckets)
+    word_bucket = _bucket(_route(hashes[1:]), buckets)
+    filled = np.unique(np.concatenate([bucket, word_bucket]))
+    lists = _lists(filled, bucket, np.argsort(bucket, kind="stable"), kind, *h, count)
+    own = np.bincount(code, minlength=len(named)).astype(np.int32)
+    texts = pa.array([x.decode() for x in named], pa.string())
+    lists += _lists(filled, word_bucket, np.argsort(word_bucket, kind="stable"), texts, own)
+    return pa.RecordBatch.from_arrays([pa.array(filled), *lists], names=["bucket", "kind", "h1", "h2", "h3", "c", "word", "word_c"])
+
+
+def _bucket(route: np.ndarray, buckets: int) -> np.ndarray:
+    return (route % np.uint64(buckets)).astype(np.int32)
 
 
 def _chunks(batches: Iterator, limit: int) -> Iterator[tuple[list[bytes], list[str]]]:
@@ -231,14 +245,15 @@ def _suffixes(buckets: int, seed: int, hot: int, limit: int):
     return run
 
 
-def _count(least: int):
+def _count(least: int, seed: int):
     """Counts of one bucket: frequent words and phrases, and all that it holds of hot pairs and of languages."""
 
-    def words(rows) -> list[tuple]:
-        import pyarrow.compute as pc
+    def words(names, c) -> list[tuple]:
+        import pyarrow as pa
 
-        mine = rows.filter(pc.equal(rows["kind"], WORD)).group_by(["h1", "name"]).aggregate([("c", "sum")])
-        h, names, c = mine["h1"].to_numpy(), mine["name"].to_pylist(), mine["c_sum"].to_numpy()
+        mine = pa.table({"name": names, "c": c}).group_by("name").aggregate([("c", "sum")])
+        names, c = mine["name"].to_pylist(), mine["c_sum"].to_numpy()
+        h = np.array([_hash(x.encode(), seed) for x in names], np.uint64).view(np.int64)
         totals: dict[str, int] = {}
         for name, k in zip(names, c.tolist(), strict=True):
             lang = name.rpartition("\t")[0]
@@ -266,9 +281,10 @@ def _count(least: int):
     def run(rows):
         import pyarrow as pa
 
-        told = words(rows)
-        kind, c = rows["kind"].to_numpy(), rows["c"].to_numpy()
-        h = np.stack([rows[x].to_numpy() for x in ("h1", "h2", "h3")])
+        flat = {x: pa.chunked_array([y.flatten() for y in rows[x].chunks], rows[x].type.value_type) for x in rows.column_names[1:]}
+        told = words(flat["word"], flat["word_c"])
+        kind, c = flat["kind"].to_numpy(), flat["c"].to_numpy().astype(np.int64)
+        h = np.stack([flat[x].to_numpy() for x in ("h1", "h2", "h3")])
         pair = _route(h[0], h[1])
         near = (kind == SUFFIX) | (kind == PAIR)
         hot = near & np.isin(pair, pair[kind == PAIR])
@@ -295,7 +311,7 @@ def counts(docs: DataFrame, least: int = LEAST, hot: int = HOT, chunk: int = CHU
     seed = 0
     while True:
         rows = texts.mapInArrow(_suffixes(buckets, seed, hot, chunk), ROW)
-        found = stage(rows.groupBy("bucket").applyInArrow(_count(least), FOUND), "phrase-counts")
+        found = stage(rows.groupBy("bucket").applyInArrow(_count(least, seed), FOUND), "phrase-counts")
         if found.where(F.col("kind") == CLASH).isEmpty():
             break
         seed += 1

@@ -21,6 +21,7 @@ from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import covisit as cv
 from covisit_spark.operators import evaluate as ev
 from covisit_spark.operators import features as ft
+from covisit_spark.operators import lambdarank as lr
 from covisit_spark.operators import ranker as rk
 from covisit_spark.operators import profile as pf
 from covisit_spark.operators import split
@@ -507,6 +508,31 @@ def _ranker_scores(spark, sf):
     return rk.score([model], f).select("user", "item", "score")
 
 
+# Fixed trees over the candidate features: what they score, SQL can follow. Values are multiples of 1/8, so sums are exact.
+FIXED_TREES = [
+    {1: ("action_num_reverse_chrono", -0.5, 1.0), 2: ("item_item_count", 40.5, 1.0), 3: ("action_num_reverse_chrono", 3.5, 1.0),
+     4: -0.5, 5: -0.25, 6: 0.75, 7: 0.25},
+    {1: ("origOrder", 0.5, 1.0), 2: -0.375, 3: ("origOrder", 5.5, 1.0), 6: 0.5, 7: 0.125},
+    {1: ("item_carts", 0.2, 1.0), 2: -0.125, 3: 0.125},
+    {1: ("session_length", 4.5, 1.0), 2: ("log_recency_score", 0.5, 1.0), 3: ("item_orders", 0.15, 1.0), 4: -0.25, 5: 0.25, 6: 0.0, 7: 0.5},
+]
+
+
+@query("map_at_20_by_round")
+def _map_at_20_by_round(spark, sf):
+    """Validation curve of a fixed model: MAP@20 after each of its trees."""
+    frame = _cands50(spark, sf).ranker_inputs("carts")
+    return lr.curve(lr.RankModel(list(ft.FEATURES), FIXED_TREES), frame, "carts", 20)
+
+
+@query("ranker_lambdarank")
+def _ranker_lambdarank(spark, sf):
+    """Train the list-wise ranker on down-sampled negatives (fold 0 validates), score every candidate."""
+    f = _cands50(spark, sf).ranker_inputs("carts")
+    model = lr.train(ft.downsample_negatives(f, "carts", 0.3), "carts", params={"rounds": 6, "max_depth": 3, "min_rows": 20})
+    return lr.score([model], f).select("user", "item", "score")
+
+
 @query("ranker_sweep")
 def _ranker_sweep(spark, sf):
     """Results table of a (one-point) configuration sweep: recall and MAP@20."""

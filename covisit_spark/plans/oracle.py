@@ -480,6 +480,37 @@ SPLIT5 = {
 }
 
 
+def _tree_sql(tree: dict, node: int = 1) -> str:
+    x = tree[node]
+    if not isinstance(x, tuple):
+        return f"{x:.6f}::DOUBLE"
+    return f"CASE WHEN {x[0]}::DOUBLE > {x[1]} THEN {_tree_sql(tree, 2 * node + 1)} ELSE {_tree_sql(tree, 2 * node)} END"
+
+
+def _curve_sql() -> str:
+    """MAP@20 of the running sums of the fixed trees, one SELECT a round."""
+    from covisit_spark.plans.catalog import FIXED_TREES
+
+    rounds = " UNION ALL ".join(
+        f"SELECT {t + 1} AS round, \"user\", item, carts, origOrder, {' + '.join(_tree_sql(x) for x in FIXED_TREES[: t + 1])} AS score FROM rf_carts"
+        for t in range(len(FIXED_TREES))
+    )
+    return f"""
+SELECT round, count(*) AS n_users, CAST(sum(ap_units) AS DOUBLE) / CAST(count(*) AS DOUBLE) / CAST(1000000000 AS DOUBLE) AS map
+FROM (
+  SELECT round, "user", coalesce(sum((hits * 1000000000) // rank) FILTER (WHERE carts = 1 AND rank <= 20), 0) // least(max(hits), 20) AS ap_units
+  FROM (
+    SELECT *, sum(carts) OVER (PARTITION BY round, "user" ORDER BY rank) AS hits
+    FROM (
+      SELECT *, row_number() OVER (PARTITION BY round, "user" ORDER BY score DESC,
+               CASE WHEN origOrder > 0 THEN origOrder ELSE 1073741824 END, item) AS rank
+      FROM ({rounds})
+    )
+  ) GROUP BY round, "user" HAVING max(hits) > 0
+) GROUP BY round
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     ev = "session, pos, ts, type, aid"
@@ -670,6 +701,7 @@ FROM (
 )
 """
     )
+    q["map_at_20_by_round"] = build(_curve_sql())
     q["predictions_ranked"] = build(
         f"""
 SELECT session, 'clicks' AS type, aid, rank FROM {SG20['clicks']}

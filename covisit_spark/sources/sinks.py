@@ -23,6 +23,19 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as the table ``name``, replacing any, and read it back: cuts the lineage."""
+    path = table_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove the table ``name`` from the shared folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(spark, name))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 

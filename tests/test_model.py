@@ -1,78 +1,56 @@
-"""Set-based Spark candidate lists against a plain-Python list model.
-
-The model restates the ordered-list rules for one session at a time:
-distinct items most recent first; long sessions re-rank their history by a
-log-spaced position weight times a type weight (carts add 0.03 per
-occurrence in the carts-matrix lists of clicked/carted items); short
-sessions append vote winners (count, then first-seen order) that are not in
-the history, then popular items. Scores use the same fixed-point rounding.
+"""Set-based Spark candidate lists against one sort key an item.
+
+Every item that could be in a session's list gets one tuple: the section it would stand in, then what orders that section.
+The expected list is all items sorted by their tuple, cut to length. Scores use the library's fixed-point rounding.
 """
 
 import random
-from collections import Counter
 
 from conftest import events_df, lists, matrix_df, popular_df
 
 from covisit_spark.operators import candidates as cand
 
-TW = {0: 0.5, 1: 9.0, 2: 0.5}
-
-
-def _w_units(i, n, a):
-    frac = 0.0 if n <= 1 else i / (n - 1)
-    return int(round((2.0 ** (a + (1 - a) * frac) - 1.0) * 1_000_000))
-
-
-def _history_scores(aids, types, a):
-    score, first = {}, {}
-    for i, (aid, t) in enumerate(zip(aids, types)):
-        score[aid] = score.get(aid, 0) + _w_units(i, len(aids), a) * int(round(TW[t] * 1000))
-        first.setdefault(aid, i)
-    return score, first
-
-
-def _votes(cands, exclude, limit):
-    cnt = Counter(cands)
-    first = {}
-    for i, c in enumerate(cands):
-        first.setdefault(c, i)
-    ranked = sorted(cnt, key=lambda c: (-cnt[c], first[c]))
-    return [c for c in ranked if c not in exclude][:max(limit, 0)]
-
-
-def _fill(result, pop, n):
-    have = set(result)
-    return result + [p for p in pop if p not in have][: n - len(result)]
-
-
-def model_clicks(aids, types, nbr_clicks, pop, n):
-    uniq = list(dict.fromkeys(reversed(aids)))
-    if len(uniq) >= n:
-        score, first = _history_scores(aids, types, 0.1)
-        return sorted(score, key=lambda k: (-score[k], first[k]))[:n]
-    cands = [y for x in uniq for y in nbr_clicks.get(x, [])]
-    return _fill(uniq + _votes(cands, set(uniq), n - len(uniq)), pop, n)
-
-
-def model_carts(aids, types, nbr_clicks, nbr_carts, nbr_b2b, pop, n):
-    uniq = list(dict.fromkeys(reversed(aids)))
-    buys = list(dict.fromkeys(a for a, t in zip(reversed(aids), reversed(types)) if t < 2))
-    if len(uniq) >= 20:
-        score, first = _history_scores(aids, types, 0.5)
-        order = dict(first)
-        k = len(aids)
-        for y in (y for x in buys for y in nbr_carts.get(x, [])):
-            score[y] = score.get(y, 0) + 30_000_000
-            if y not in order:
-                order[y] = k
-                k += 1
-        return sorted(score, key=lambda a: (-score[a], order[a]))[:n]
-    cands = (
-        [y for x in uniq for y in nbr_carts.get(x, [])]
-        + [y for x in buys for y in nbr_clicks.get(x, [])]
-        + [y for x in buys for y in nbr_b2b.get(x, [])]
-    )
-    return _fill(uniq + _votes(cands, set(uniq), n - len(uniq)), pop, n)
+TYPE_WEIGHT = {0: 500, 1: 9000, 2: 500}
+HISTORY, VOTED, POPULAR = range(3)
+
+
+def weight_units(place, length, start):
+    share = place / (length - 1) if length > 1 else 0.0
+    return round((2.0 ** (start + (1 - start) * share) - 1.0) * 1_000_000)
+
+
+def recency(events, types):
+    """{item: place among the items of these event types, the latest acted on first}."""
+    latest = {aid: i for i, (aid, t) in enumerate(events) if t in types}
+    return {aid: place for place, aid in enumerate(sorted(latest, key=lambda x: -latest[x]))}
+
+
+def expected(events, sources, bonus, popular, n, long_from, start):
+    """``sources``: (matrix, event types whose items ask it); ``bonus``: such a pair that adds 0.03 an occurrence in long sessions."""
+    place = recency(events, (0, 1, 2))
+    keys = {}
+    if len(place) >= long_from:
+        total, first = {}, {}
+        for i, (aid, t) in enumerate(events):
+            total[aid] = total.get(aid, 0) + weight_units(i, len(events), start) * TYPE_WEIGHT[t]
+            first.setdefault(aid, (HISTORY, i, 0))
+        matrix, types = bonus
+        for asker, at in recency(events, types).items():
+            for rank, aid in enumerate(matrix.get(asker, [])):
+                total[aid] = total.get(aid, 0) + 30_000_000
+                first[aid] = min(first.get(aid, (VOTED, at, rank)), (VOTED, at, rank))
+        keys = {aid: (-total[aid], first[aid]) for aid in total}
+    else:
+        keys = {aid: (POPULAR, i) for i, aid in enumerate(popular)}
+        votes, seen = {}, {}
+        for k, (matrix, types) in enumerate(sources):
+            for asker, at in recency(events, types).items():
+                for rank, aid in enumerate(matrix.get(asker, [])):
+                    votes[aid] = votes.get(aid, 0) + 1
+                    seen[aid] = min(seen.get(aid, (k, at, rank)), (k, at, rank))
+        keys |= {aid: (VOTED, -votes[aid], seen[aid]) for aid in votes}
+        keys |= {aid: (HISTORY, i) for aid, i in place.items()}
+    return sorted(keys, key=keys.get)[:n]
 
 
 def _random_case(seed, n_sessions=25, n_items=40):
@@ -104,11 +82,11 @@ def test_lists_match_model(spark):
         for n in (20, 50):
             got_ck = lists(cand.suggest_clicks(h, ck, pop, n))
             got_ct = lists(cand.suggest_carts(h, ck, ct, bb, pop, n))
+            anything, looked = (0, 1, 2), (0, 1)
             for s, ev in sessions.items():
-                aids = [a for a, _ in ev]
-                types = [t for _, t in ev]
-                assert got_ck[s] == model_clicks(aids, types, m_ck, pops[0], n), (seed, n, s)
-                assert got_ct[s] == model_carts(aids, types, m_ck, m_ct, m_bb, pops[1], n), (seed, n, s)
+                asked = [(m_ct, anything), (m_ck, looked), (m_bb, looked)]
+                assert got_ck[s] == expected(ev, [(m_ck, anything)], ({}, ()), pops[0], n, n, 0.1), (seed, n, s)
+                assert got_ct[s] == expected(ev, asked, (m_ct, looked), pops[1], n, 20, 0.5), (seed, n, s)
 
 
 def test_lists_distinct_and_bounded(spark):

@@ -18,6 +18,7 @@ summation order; ``wgt`` is reported as ``sum / 1e6``.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,6 +90,34 @@ def top_k_from_units(summed: DataFrame, units_col: str, k: int) -> DataFrame:
     )
 
 
+def top_pairs(summed: DataFrame, limits: Mapping[str, int], parts: int = 16) -> DataFrame:
+    """The pairs that are among the best of their ``aid_x`` by any of several
+    sums, with a ``<column>_rank`` for each of ``limits`` (column -> k).
+
+    At most ``sum(limits)`` rows an item come out. Neighbours are first cut
+    within ``parts`` hash parts of each item, so an item that goes with very
+    many others is ranked by many tasks; the last ranking sees at most
+    ``parts * sum(limits)`` rows an item.
+    """
+    part = F.pmod(F.xxhash64("aid_y"), F.lit(parts))
+
+    def cut(df: DataFrame, keys: list) -> DataFrame:
+        for c in limits:
+            w = Window.partitionBy(*keys).orderBy(F.col(c).desc(), F.col("aid_y").asc())
+            df = df.withColumn(f"{c}_rank", F.row_number().over(w))
+        inside = [F.col(f"{c}_rank") <= k for c, k in limits.items()]
+        return df.where(reduce(Column.__or__, inside))
+
+    return cut(cut(summed.withColumn("_part", part), ["aid_x", "_part"]).drop("_part"), ["aid_x"])
+
+
+def matrix_of(pairs: DataFrame, units_col: str, k: int) -> DataFrame:
+    """The matrix of one of the sums of :func:`top_pairs`."""
+    rank = F.col(f"{units_col}_rank").cast("int")
+    wgt = F.col(units_col).cast("double") / F.lit(float(MICRO))
+    return pairs.where(rank <= k).select("aid_x", "aid_y", wgt.alias("wgt"), rank.alias("rank"))
+
+
 def top_k_neighbours(weighted: DataFrame, k: int) -> DataFrame:
     """Sum ``wgt_units`` per pair and keep the ``k`` best ``aid_y`` per ``aid_x``."""
     summed = weighted.groupBy("aid_x", "aid_y").agg(F.sum("wgt_units").alias("wgt_units"))

@@ -82,40 +82,38 @@ def session_hash(session_col: str = "session", modulus: int = 1_000_003, mult: i
     return F.pmod(F.pmod(F.col(session_col), F.lit(modulus)) * F.lit(mult) + F.lit(seed), F.lit(modulus))
 
 
+# ranges of the hash that sessions are counted by
+HASH_RANGES = 1024
+
+
 def session_sample(
     events: DataFrame, fractions: Sequence[float] = (0.05, 0.1, 0.25, 0.5, 1.0), modulus: int = 1_000_003
 ) -> DataFrame:
     """Exact-size, nested session samples: ``(session, frac)`` rows.
 
     Sessions are ordered by an arithmetic hash then id; a sample of fraction
-    ``f`` is the first ``round_half_even(f * N)`` sessions. The order
-    statistic is found without a global sort: a running count over the
-    histogram of hash values (at most ``modulus`` rows, whatever the data
-    size) gives the boundary hash value as a scalar, and only the sessions
-    that share the boundary value are ranked.
+    ``f`` is the first ``round_half_even(f * N)`` sessions. One read of the
+    events: the distinct sessions are counted by coarse ranges of the hash
+    (``HASH_RANGES`` of them, whatever the data size; the counts and their
+    prefix sums are one scalar) and ranked within each range, and a session is
+    given out once for every fraction that its place is within.
     """
+    width = -(-modulus // HASH_RANGES)
     s = events.select("session").distinct().withColumn("h", session_hash(modulus=modulus))
-    hist = s.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    whole = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("cum", F.sum("c").over(whole)).withColumn("before", F.col("cum") - F.col("c"))
-    total = s.agg(F.count(F.lit(1))).scalar()
-    out = None
-    for f in fractions:
-        k = F.bround(F.lit(float(f)) * total).cast("long")
-        # the one histogram bucket where the running count reaches k
-        bucket = cum.where((F.col("before") < k) & (F.col("cum") >= k))
-        h_b = bucket.agg(F.max("h")).scalar()
-        take = bucket.agg(F.max(k - F.col("before"))).scalar()
-        inner = s.where(F.col("h") < h_b).select("session")
-        edge = (
-            s.where(F.col("h") == h_b)
-            .withColumn("_r", F.row_number().over(Window.orderBy("session")))
-            .where(F.col("_r") <= take)
-            .select("session")
-        )
-        one = inner.unionByName(edge).withColumn("frac", F.lit(float(f)))
-        out = one if out is None else out.unionByName(one)
-    return out
+    s = s.withColumn("range", F.floor(F.col("h") / width).cast("int"))
+    counts = s.groupBy("range").agg(F.count(F.lit(1)).alias("c"))
+    listed = F.collect_list(F.struct("range", "c"))
+    add = lambda acc, x: acc + x["c"]
+    zero = F.lit(0).cast("long")
+    before = F.transform(
+        F.sequence(F.lit(0), F.lit(HASH_RANGES)), lambda i: F.aggregate(F.filter("l", lambda x: x["range"] < i), zero, add)
+    )
+    prefix = counts.agg(listed.alias("l")).select(before.alias("before")).scalar()
+    place = F.get(prefix, F.col("range")) + F.row_number().over(Window.partitionBy("range").orderBy("h", "session"))
+    total = F.get(prefix, F.lit(HASH_RANGES))
+    each = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("frac")
+    out = s.withColumn("_place", place).select("session", "_place", each)
+    return out.where(F.col("_place") <= F.bround(F.col("frac") * total).cast("long")).select("session", "frac")
 
 
 def session_lists(events: DataFrame, chunk_size: int = 1024) -> DataFrame:

@@ -108,6 +108,17 @@ def _aid_coverage(spark, sf):
     )
 
 
+@query("aid_coverage_orders")
+def _aid_coverage_orders(spark, sf):
+    """Coverage where catalogues differ: parts ordered in the last week, the weeks before it, and the last three weeks."""
+    e = ol_cust(spark, sf)
+    train, val = split.time_split(e)
+    recent = split.recent_window(e)
+    return pf.aid_coverage(
+        {"train_not_in_val": (train, val), "val_not_in_train": (val, train), "train_not_in_recent": (train, recent), "recent_not_in_val": (recent, val)}
+    )
+
+
 @query("session_overlap")
 def _session_overlap(spark, sf):
     s = _split5(spark, sf)

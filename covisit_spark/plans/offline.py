@@ -32,6 +32,11 @@ from covisit_spark.operators import split
 from covisit_spark.sources import sinks
 from covisit_spark.sources.feeds import load_feed
 
+# a stage table of another version of this flow is not read
+STAGE_VERSION = 2
+# neighbours an item in the clicks and carts matrices
+MATRIX_SIZES = {"clicks_units": 20, "carts_units": 15}
+
 
 class Offline:
     """Lazy pipeline over one feed.
@@ -41,8 +46,9 @@ class Offline:
     written once as Parquet tables under ``spark.checkpoint.dir`` and read
     back: this cuts the lineage (a lost executor recomputes from the table,
     not from the raw log) and lets every downstream query reuse them. Tables
-    are written build-if-absent, keyed by application, feed, input path and
-    the plan of ``train``: within an application nothing is built twice.
+    are written build-if-absent under a key of the input files (paths, sizes,
+    times), the layout and ``train``: a later application reuses them, changed
+    files give new ones, and :meth:`drop_old_versions` removes what is stale.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, feed: str = "ev_user", num_cands: int = 20,
@@ -59,11 +65,17 @@ class Offline:
             self.train, val = split.time_split(raw)
             raw = split.remove_overlap(val, self.train)
         self.events = raw
-        digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         layout = ("ts" if time_split else "all") + ("" if cutoff else "-full")
-        # a train frame of its own changes what is built from it, so its plan is part of the key
-        own = "" if train is None else f"-{train.semanticHash() & 0xFFFFFFFF:08x}"
-        self._prefix = f"{spark.sparkContext.applicationId}/{feed}-{layout}-{digest}{own}"
+        place = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+        self._set = f"offline/{feed}-{layout}-{place}"
+        # the feed's files, and a train frame of its own: its plan and its files
+        own = () if train is None else (train.semanticHash(), sinks.fingerprint(train))
+        self._version = sinks.fingerprint(raw, STAGE_VERSION, layout, *own) if self.materialize else ""
+        self._prefix = f"{self._set}/{self._version}"
+
+    def drop_old_versions(self) -> list[str]:
+        """Remove the stage tables of this feed and path that were built from other files or parameters; their keys."""
+        return sinks.drop_versions(self.spark, self._set, self._version)
 
     def _table(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
         if not self.materialize:
@@ -106,21 +118,17 @@ class Offline:
         return self.train.select(*self.events.columns).unionByName(self.history)
 
     @cached_property
-    def pair_weights(self) -> DataFrame:
-        """Clicks and carts weight sums of every 1-day pair (one pair pass)."""
-        return self._table("pair_weights_1d", lambda: cv.pair_weights(self.matrix_source))
+    def top_pairs(self) -> DataFrame:
+        """The 1-day pairs of the clicks and carts matrices, from one pair pass; at most 35 an item are stored."""
+        return self._table("top_pairs_1d", lambda: cv.top_pairs(cv.pair_weights(self.matrix_source), MATRIX_SIZES))
 
     @cached_property
     def clicks_matrix(self) -> DataFrame:
-        if not self.materialize:
-            return cv.covisit_clicks(self.matrix_source)
-        return self._table("covisit_clicks", lambda: cv.top_k_from_units(self.pair_weights, "clicks_units", 20))
+        return cv.matrix_of(self.top_pairs, "clicks_units", MATRIX_SIZES["clicks_units"])
 
     @cached_property
     def carts_matrix(self) -> DataFrame:
-        if not self.materialize:
-            return cv.covisit_carts(self.matrix_source)
-        return self._table("covisit_carts", lambda: cv.top_k_from_units(self.pair_weights, "carts_units", 15))
+        return cv.matrix_of(self.top_pairs, "carts_units", MATRIX_SIZES["carts_units"])
 
     @cached_property
     def b2b_matrix(self) -> DataFrame:
@@ -173,13 +181,19 @@ class Offline:
 
 def build_matrices(spark: SparkSession, events: DataFrame, out_dir: str) -> dict[str, DataFrame]:
     """Build the three co-visitation matrices from ``events`` and store them
-    as Parquet tables ``out_dir/{clicks,carts,b2b}``; a table that is already
-    complete is read instead of rebuilt. Returns the tables read back."""
-    builders = {"clicks": cv.covisit_clicks, "carts": cv.covisit_carts, "b2b": cv.covisit_b2b}
-    return {
-        name: sinks.build_if_absent(spark, f"{out_dir.rstrip('/')}/{name}", lambda f=f: f(events))
-        for name, f in builders.items()
+    as Parquet tables ``out_dir/{clicks,carts,b2b}/<key>``, the key standing for the
+    input files and the plan of ``events``; a table that is already complete is
+    read instead of rebuilt. Returns the tables read back."""
+    out = out_dir.rstrip("/")
+    key = sinks.fingerprint(events, STAGE_VERSION, events.semanticHash())
+    # clicks and carts are two rankings of one table of pairs
+    pairs = sinks.build_if_absent(spark, f"{out}/pairs/{key}", lambda: cv.top_pairs(cv.pair_weights(events), MATRIX_SIZES))
+    builders = {
+        "clicks": lambda: cv.matrix_of(pairs, "clicks_units", MATRIX_SIZES["clicks_units"]),
+        "carts": lambda: cv.matrix_of(pairs, "carts_units", MATRIX_SIZES["carts_units"]),
+        "b2b": lambda: cv.covisit_b2b(events),
     }
+    return {name: sinks.build_if_absent(spark, f"{out}/{name}/{key}", build) for name, build in builders.items()}
 
 
 def ranker_sweep(

@@ -151,6 +151,10 @@ cte("s5_val", "SELECT e.* FROM ev_5d e, s5_max m WHERE e.ts > m.tmax - 604800")
 cte("s5_recent", "SELECT e.* FROM ev_5d e, s5_max m WHERE e.ts > m.tmax - 1814400")
 cte("s5_clean", "SELECT * FROM s5_val WHERE session NOT IN (SELECT session FROM s5_train)")
 cutoff_ctes("s5", "s5_clean")
+cte("so_max", "SELECT max(ts) AS tmax FROM ol_cust")
+cte("so_train", "SELECT e.* FROM ol_cust e, so_max m WHERE e.ts <= m.tmax - 604800")
+cte("so_val", "SELECT e.* FROM ol_cust e, so_max m WHERE e.ts > m.tmax - 604800")
+cte("so_recent", "SELECT e.* FROM ol_cust e, so_max m WHERE e.ts > m.tmax - 1814400")
 cte("ss_h", "SELECT session, ((session % 1000003) * 2654435761 + 42) % 1000003 AS h FROM (SELECT DISTINCT session FROM ev_5d)")
 cte("ss_r", "SELECT session, row_number() OVER (ORDER BY h, session) AS r, count(*) OVER () AS big_n FROM ss_h")
 
@@ -480,6 +484,15 @@ SPLIT5 = {
 }
 
 
+def _coverage_sql(pairs: dict) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{k}' AS pair, n_missing, n_a, CAST(100.0 AS DOUBLE) * n_missing / n_a AS pct_missing
+FROM (SELECT count(*) FILTER (WHERE aid NOT IN (SELECT aid FROM {b})) AS n_missing, count(*) AS n_a
+      FROM (SELECT DISTINCT aid FROM {a}))"""
+        for k, (a, b) in pairs.items()
+    )
+
+
 def _tree_sql(tree: dict, node: int = 1) -> str:
     x = tree[node]
     if not isinstance(x, tuple):
@@ -553,14 +566,14 @@ FROM (SELECT min(ts) AS t_min, max(ts) AS t_max, min(aid) AS aid_min, max(aid) A
         "history_not_in_train": ("s5_hist", "s5_train"),
         "val_not_in_recent": ("s5_val", "s5_recent"),
     }
-    q["aid_coverage"] = build(
-        " UNION ALL ".join(
-            f"""SELECT '{k}' AS pair, n_missing, n_a, CAST(100.0 AS DOUBLE) * n_missing / n_a AS pct_missing
-FROM (SELECT count(*) FILTER (WHERE aid NOT IN (SELECT aid FROM {b})) AS n_missing, count(*) AS n_a
-      FROM (SELECT DISTINCT aid FROM {a}))"""
-            for k, (a, b) in pairs.items()
-        )
-    )
+    q["aid_coverage"] = build(_coverage_sql(pairs))
+    order_pairs = {
+        "train_not_in_val": ("so_train", "so_val"),
+        "val_not_in_train": ("so_val", "so_train"),
+        "train_not_in_recent": ("so_train", "so_recent"),
+        "recent_not_in_val": ("so_recent", "so_val"),
+    }
+    q["aid_coverage_orders"] = build(_coverage_sql(order_pairs))
     q["session_overlap"] = build(
         "SELECT count(*) AS n_overlap FROM (SELECT DISTINCT session FROM s5_train INTERSECT SELECT DISTINCT session FROM s5_val)"
     )

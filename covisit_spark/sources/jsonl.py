@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from covisit_spark.functions import TYPE_IDS, type_id_to_name, type_name_to_id
 
-SESSION_SCHEMA = "session BIGINT, events ARRAY<STRUCT<aid: INT, ts: BIGINT, type: STRING>>"
+# ``offset`` is the position of a line's first event, where a session is on several lines; absent otherwise
+SESSION_SCHEMA = "session BIGINT, offset BIGINT, events ARRAY<STRUCT<aid: INT, ts: BIGINT, type: STRING>>"
 
 
 def read_sessions_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Nested sessions ``(session, events)`` from JSON-lines files."""
+    """Nested sessions ``(session, offset, events)`` from JSON-lines files."""
     return spark.read.schema(SESSION_SCHEMA).option("mode", "FAILFAST").json(path)
 
 
@@ -27,7 +28,7 @@ def parse_session_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     Other columns of ``lines`` are kept."""
     keep = [c for c in lines.columns if c != col]
     p = lines.select(*keep, F.from_json(F.col(col), SESSION_SCHEMA, {"mode": "FAILFAST"}).alias("_s"))
-    return p.select(*keep, "_s.session", "_s.events")
+    return p.select(*[c for c in keep if c != "offset"], "_s.session", "_s.offset", "_s.events")
 
 
 def flatten_sessions(sessions: DataFrame, pos_offset: str | None = None) -> DataFrame:
@@ -35,11 +36,13 @@ def flatten_sessions(sessions: DataFrame, pos_offset: str | None = None) -> Data
 
     ``ts`` goes from milliseconds to whole seconds; the cast to a 32-bit
     integer raises (ANSI) if a value would not fit, which is the range guard.
-    The type name is encoded (unknown names raise). ``pos_offset`` names an
-    optional column added to the in-line position (for chunked lines).
+    The type name is encoded (unknown names raise). A position counts from the line's ``offset`` (0 where it has none), or
+    from another column, ``pos_offset``.
     """
-    base = sessions.select("session", *( [pos_offset] if pos_offset else []), F.posexplode("events").alias("_i", "_e"))
-    pos = F.col("_i").cast("long") + (F.col(pos_offset).cast("long") if pos_offset else F.lit(0).cast("long"))
+    start = pos_offset or ("offset" if "offset" in sessions.columns else None)
+    base = sessions.select("session", *([start] if start else []), F.posexplode("events").alias("_i", "_e"))
+    first = F.coalesce(F.col(start).cast("long"), F.lit(0).cast("long")) if start else F.lit(0).cast("long")
+    pos = F.col("_i").cast("long") + first
     return base.select(
         F.col("session").cast("long").alias("session"),
         pos.alias("pos"),
@@ -54,7 +57,7 @@ def sessions_to_json_lines(events: DataFrame, chunk: int = 64) -> DataFrame:
 
     Lines carry at most ``chunk`` consecutive ``pos`` values of a session (the
     line's ``offset`` field is the first position), so no line grows with the
-    session. ``ts`` is written in milliseconds (with a 25 ms remainder).
+    session; :func:`flatten_sessions` puts them together again. ``ts`` is written in milliseconds (with a 25 ms remainder).
     """
     e = events.withColumn("offset", F.expr(f"(pos div {int(chunk)}) * {int(chunk)}"))
     g = e.groupBy("session", "offset").agg(
@@ -66,7 +69,7 @@ def sessions_to_json_lines(events: DataFrame, chunk: int = 64) -> DataFrame:
             x["aid"].alias("aid"), (x["ts"] * F.lit(1000) + F.lit(25)).alias("ts"), type_id_to_name(x["type"]).alias("type")
         ),
     )
-    return g.select("offset", F.to_json(F.struct(F.col("session"), ev.alias("events"))).alias("value"))
+    return g.select("offset", F.to_json(F.struct(F.col("session"), F.col("offset"), ev.alias("events"))).alias("value"))
 
 
 __all__ = ["SESSION_SCHEMA", "TYPE_IDS", "read_sessions_jsonl", "parse_session_lines", "flatten_sessions", "sessions_to_json_lines"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +13,38 @@ from pyspark.sql import functions as F
 from covisit_spark.session import ensure_checkpoint_dir
 
 
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def fingerprint(df: DataFrame, *parameters: object) -> str:
+    """A key of what ``df`` reads and of ``parameters``: path, size and time of each input file. Runs no job."""
+    spark = df.sparkSession
+    seen = []
+    for f in sorted(df.inputFiles()):
+        fs, p = _fs(spark, f)
+        status = fs.getFileStatus(p)
+        seen.append((f, status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr((seen, parameters)).encode()).hexdigest()[:16]
+
+
+def drop_versions(spark: SparkSession, name: str, keep: str) -> list[str]:
+    """Remove all folders of the stored table set ``name`` but ``keep``; their names."""
+    fs, p = _fs(spark, table_path(spark, name))
+    gone = []
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        version = status.getPath().getName()
+        if version != keep:
+            fs.delete(status.getPath(), True)
+            gone.append(version)
+    return gone
 
 
 def table_path(spark: SparkSession, name: str) -> str:
@@ -32,8 +61,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 def drop_table(spark: SparkSession, name: str) -> None:
     """Remove the table ``name`` from the shared folder."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(spark, name))
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _fs(spark, table_path(spark, name))
+    fs.delete(p, True)
 
 
 _LOCKS: dict[str, threading.Lock] = {}
@@ -48,13 +77,23 @@ def _lock(path: str) -> threading.Lock:
 def build_if_absent(spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
     """Read ``path`` when a complete table (``_SUCCESS``) is there, else build,
     write and read it back. Re-running after a lost job rebuilds only tables
-    whose write did not finish; reading back cuts the lineage."""
+    whose write did not finish; reading back cuts the lineage. A table is written
+    aside and renamed, so another application sees all of it or nothing."""
+    path = path.rstrip("/")
     with _lock(path):  # queries of one driver may run on several threads
-        if not _fs_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-            w = build().write.mode("overwrite")
+        if not _fs_exists(spark, f"{path}/_SUCCESS"):
+            aside = f"{path}.{uuid.uuid4().hex}"
+            w = build().write
             if partition_by:
                 w = w.partitionBy(*partition_by)
-            w.parquet(path)
+            w.parquet(aside)
+            fs, target = _fs(spark, path)
+            source = _fs(spark, aside)[1]
+            if not _fs_exists(spark, f"{path}/_SUCCESS"):
+                fs.delete(target, True)
+                fs.rename(source, target)
+            else:  # another application was first
+                fs.delete(source, True)
     return spark.read.parquet(path)
 
 

@@ -5,6 +5,7 @@ import json
 import os
 
 from conftest import events_df
+from pyspark.sql import functions as F
 
 from covisit_spark.sources import sinks
 from covisit_spark.streaming import ingest_sessions
@@ -56,7 +57,7 @@ def test_build_matrices_writes_three_tables(spark, tmp_path):
     m = build_matrices(spark, e, str(tmp_path / "cv"))
     assert sorted(m) == ["b2b", "carts", "clicks"]
     assert {n: t.count() for n, t in m.items()} == {"clicks": 6, "carts": 6, "b2b": 2}
-    assert all((tmp_path / "cv" / n / "_SUCCESS").exists() for n in m)
+    assert all(list((tmp_path / "cv" / n).glob("*/_SUCCESS")) for n in m)
 
 
 def test_param_grid(spark):
@@ -67,3 +68,47 @@ def test_param_grid(spark):
     assert len(grid) == 4 and grid[0] == {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
     rows = {tuple(r) for r in param_grid_frame(spark, opts).collect()}
     assert rows == {tuple(g.values()) for g in grid}
+
+
+def test_long_sessions_come_back_from_files(spark, tmp_path):
+    from covisit_spark.sources import jsonl
+
+    rows = [(s, p, 1000 + p, p % 3, 7 * p % 50) for s, n in ((1, 200), (2, 64), (3, 65), (4, 1)) for p in range(n)]
+    jsonl.sessions_to_json_lines(events_df(spark, rows)).select("value").write.text(f"{tmp_path}/lines")
+    back = jsonl.flatten_sessions(jsonl.read_sessions_jsonl(spark, f"{tmp_path}/lines"))
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_stage_tables_are_keyed_by_what_they_are_built_from(spark, tmp_path):
+    import shutil
+
+    from covisit_spark.plans.offline import Offline
+
+    data = tmp_path / "data"
+    data.mkdir()
+    shutil.copy("/root/testdata/sf0.001/events.parquet", data / "events.parquet")
+    first = Offline(spark, str(data))
+    rows = first.top_pairs.groupBy("aid_x").count().agg({"count": "max"}).first()[0]
+    assert rows <= 35
+    # another application, in effect: a new instance and a new session find the same tables
+    path = sinks.table_path(spark, f"{Offline(spark.newSession(), str(data))._prefix}/top_pairs_1d")
+    assert path == sinks.table_path(spark, f"{first._prefix}/top_pairs_1d") and sinks._fs_exists(spark, f"{path}/_SUCCESS")
+    assert "app" not in first._prefix and spark.sparkContext.applicationId not in path
+    (data / "events.parquet").chmod(0o644)
+    shutil.copy("/root/testdata/sf0.01/events.parquet", data / "events.parquet")
+    spark.catalog.refreshByPath(str(data / "events.parquet"))
+    other = Offline(spark, str(data))
+    assert other._prefix != first._prefix
+    assert other.top_pairs.count() != first.top_pairs.count()
+    assert other.drop_old_versions() == [first._version]
+    assert not sinks._fs_exists(spark, path)
+
+
+def test_sample_has_no_window_without_partition(spark):
+    from covisit_spark.operators import split
+
+    ev = spark.range(5000).select(F.col("id").alias("session"))
+    plan = split.session_sample(ev, (0.05, 0.5))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("Subquery")[0]
+    got = {r["frac"]: r["count"] for r in split.session_sample(ev, (0.05, 0.5, 1.0)).groupBy("frac").count().collect()}
+    assert got == {0.05: 250, 0.5: 2500, 1.0: 5000}

@@ -59,6 +59,8 @@ def linked(
     size_ratio: float,
     first_share: int = 8,
     rounds: int = 1,
+    distance: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    reach: float = 0.0,
 ) -> DataFrame:
     """Pairs (a, b), verified or implied by verified ones, that connect all that pairs inside the buckets connect.
 
@@ -68,7 +70,9 @@ def linked(
     of ``first_share``, then in the others where member and leader are not in one group yet. Where a bucket then still holds several
     groups, each member outside its largest group is held against every member of the others that can be similar to
     it: ``common(ids, content)`` gives (id, size, common), no id sharing more than its ``common`` with any other of
-    ``ids``, and what two share must be ``size_ratio`` of what they have together. So no pair of
+    ``ids``, and what two share must be ``size_ratio`` of what they have together. ``distance(pairs, content)``, if
+    given, is (a, b, d) of a metric in which true pairs are within ``reach``: two members whose distances from the leader
+    differ by more are not compared. So no pair of
     a bucket is left out unless its two ends are connected already, and a bucket of copies of one text costs
     one pair a member.
     """
@@ -104,6 +108,12 @@ def linked(
             apart = _open(apart.drop("component", "main"), groups)
     bounds = stage(common(apart.select("id").distinct(), held), "bounds")
     rest = apart.where(F.col("id") != F.col("leader")).join(bounds, "id")
+    if distance is None:
+        rest = rest.withColumn("d", F.lit(0.0))
+    else:
+        far = distance(ordered_pairs(rest, "id", "leader"), held)
+        ends = [F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")]
+        rest = rest.select("*", *ends).join(far, ["a", "b"]).drop("a", "b")
     outside = rest.where(F.col("component") != F.col("main"))
     others = rest.select(
         "bucket",
@@ -111,12 +121,13 @@ def linked(
         F.col("size").alias("size2"),
         F.col("common").alias("common2"),
         F.col("component").alias("component2"),
+        F.col("d").alias("d2"),
         (F.col("component") == F.col("main")).alias("in_main"),
     )
     shared = F.least("common", "common2")
     fits = shared >= size_ratio * (F.col("size") + F.col("size2") - shared) - 1e-9
     pairs = outside.join(others, "bucket").where(
-        fits & (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
+        fits & (F.abs(F.col("d") - F.col("d2")) <= reach + 1e-9) & (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
     )
     return links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held))
 

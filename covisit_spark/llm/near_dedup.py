@@ -232,14 +232,23 @@ def common_parts(ids: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of ids whose weighted Jaccard similarity is ``threshold`` or more."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, i, n): the shingles that the two share, and the sum of their sizes."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"
     )
     shared = F.size(F.array_intersect("sa", "sb"))
-    found = both.select("a", "b", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-    return found.where(F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9).select("a", "b")
+    return both.select("a", "b", shared.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ids whose weighted Jaccard similarity is ``threshold`` or more."""
+    return overlaps(pairs, sets).where(F.col("i") >= threshold * (F.col("n") - F.col("i")) - 1e-9).select("a", "b")
+
+
+def jaccard_distance(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, d): one less the weighted Jaccard similarity, a metric."""
+    return overlaps(pairs, sets).select("a", "b", (1 - F.col("i") / (F.col("n") - F.col("i"))).alias("d"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -250,7 +259,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = stage(known.groupBy("copy").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "copies")
     buckets = texts.select("id", F.explode("bands").alias("bucket")).distinct()
     links = linked(
-        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold), common_parts, threshold
+        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold), common_parts, threshold,
+        distance=jaccard_distance, reach=1 - threshold,
     )
     groups = components(links)
     classes = texts.select("copy", "id").join(groups, "id", "left").select("copy", F.coalesce("component", "id").alias("class_id"))

@@ -262,3 +262,31 @@ def test_mixing_meets_the_targets(spark):
     assert mixing.mix(d.where("doc_id < 0"), ["doc_id"]).count() == 0
     nulls = mixing.mix(d.selectExpr("doc_id", "cast(null as string) text", "cast(null as string) lang", "source"), ["doc_id"])
     assert nulls.where("n_tokens = 0 and topic = -1").count() == d.count()
+
+
+def test_decontamination_takes_text_item_ids(spark):
+    bench = spark.createDataFrame([("item-a", text_of(11, 30)), (None, text_of(12, 30))], "item_id string, text string")
+    found = decontaminate.find_leaks(docs(spark, [(1, text_of(1) + " " + text_of(11, 30)), (2, text_of(2)), (3, None)]), bench).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in found] == [(1, "item-a")]
+
+
+def test_near_duplicates_far_from_their_bucket_s_leader(spark):
+    """Many near copies of one text, some further from it than from each other: as brute force has it."""
+    r = np.random.default_rng(8)
+    base = text_of(50, 120).split()
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in r.choice(len(w), i % 9, replace=False):
+            w[k] = f"x{r.integers(12)}"
+        rows.append((i, " ".join(w)))
+    sets = {i: collections.Counter(tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)) for i, t in rows}
+    group = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and (c := sum((sets[a] & sets[b]).values())) >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - c)]
+    for _ in sets:
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs(spark, rows)).collect()}
+    # every class of the operator is part of one of brute force; a pair that meets in no bucket can split one
+    assert all(group[a] == group[got[a]] for a in got)
+    assert sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)

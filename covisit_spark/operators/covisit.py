@@ -90,25 +90,21 @@ def top_k_from_units(summed: DataFrame, units_col: str, k: int) -> DataFrame:
     )
 
 
-def top_pairs(summed: DataFrame, limits: Mapping[str, int], parts: int = 16) -> DataFrame:
-    """The pairs that are among the best of their ``aid_x`` by any of several
-    sums, with a ``<column>_rank`` for each of ``limits`` (column -> k).
-
-    At most ``sum(limits)`` rows an item come out. Neighbours are first cut
-    within ``parts`` hash parts of each item, so an item that goes with very
-    many others is ranked by many tasks; the last ranking sees at most
-    ``parts * sum(limits)`` rows an item.
-    """
-    part = F.pmod(F.xxhash64("aid_y"), F.lit(parts))
-
-    def cut(df: DataFrame, keys: list) -> DataFrame:
-        for c in limits:
-            w = Window.partitionBy(*keys).orderBy(F.col(c).desc(), F.col("aid_y").asc())
-            df = df.withColumn(f"{c}_rank", F.row_number().over(w))
-        inside = [F.col(f"{c}_rank") <= k for c, k in limits.items()]
-        return df.where(reduce(Column.__or__, inside))
+def top_pairs(summed: DataFrame, limits: Mapping[str, int]) -> DataFrame:
+    """The best pairs of each ``aid_x`` by each of several sums: ``limits`` (column -> k), with ``<column>_rank``.
 
-    return cut(cut(summed.withColumn("_part", part), ["aid_x", "_part"]).drop("_part"), ["aid_x"])
+    A row is there for one sum, the ranks by the others being null: at most
+    ``sum(limits)`` rows an item. Every ranking has a partial group limit
+    before its shuffle, so an item that goes with very many others sends k
+    rows a task; all rankings read the same shuffled sums.
+    """
+    tops = []
+    for c, k in limits.items():
+        w = Window.partitionBy("aid_x").orderBy(F.col(c).desc(), F.col("aid_y").asc())
+        top = summed.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+        ranks = [F.when(F.lit(x == c), F.col("_rank")).alias(f"{x}_rank") for x in limits]
+        tops.append(top.select("aid_x", "aid_y", *limits, *ranks))
+    return reduce(DataFrame.unionByName, tops)
 
 
 def matrix_of(pairs: DataFrame, units_col: str, k: int) -> DataFrame:

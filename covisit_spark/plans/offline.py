@@ -33,7 +33,7 @@ from covisit_spark.sources import sinks
 from covisit_spark.sources.feeds import load_feed
 
 # a stage table of another version of this flow is not read
-STAGE_VERSION = 2
+STAGE_VERSION = 3
 # neighbours an item in the clicks and carts matrices
 MATRIX_SIZES = {"clicks_units": 20, "carts_units": 15}
 

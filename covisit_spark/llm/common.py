@@ -40,7 +40,18 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stage_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``stage`` that no later job reads."""
+    for table in tables:
+        spark, path = table.sparkSession, getattr(table, "stage_path", None)
+        if path:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:

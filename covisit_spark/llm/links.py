@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covisit_spark.llm.common import stage
+from covisit_spark.llm.common import discard, stage
 
 
 def ordered_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -43,12 +43,16 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(hooked.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        now, before = stage(small, "edges"), mark
+        before, was = mark, now
+        now = stage(small, "edges")
+        discard(was)
         mark = _mark(now)
         if mark == before:
             break
     ids = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return ids.unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out = ids.unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out.stage_path = now.stage_path
+    return out
 
 
 def linked(
@@ -62,7 +66,7 @@ def linked(
 ) -> DataFrame:
     """Pairs (a, b), verified or implied by verified ones, that connect all that pairs inside the buckets connect.
 
-    ``buckets`` has (bucket, id), both longs. ``content(ids)`` gives what ids are compared by, once for all ids
+    ``buckets`` has (bucket, id), both longs; rows may repeat. ``content(ids)`` gives what ids are compared by, once for all ids
     that share a bucket; ``same(pairs, content)`` keeps the true ones of pairs (a, b). Members are held
     against the leader of their bucket, the one that meets most others over all its buckets: first in one bucket
     of ``first_share``, then in the others where member and leader are not in one group yet. Where a bucket then still holds several
@@ -72,14 +76,18 @@ def linked(
     a bucket is left out unless its two ends are connected already, and a bucket of copies of one text costs
     one pair a member.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(buckets.join(sizes, "bucket"), "shared")
+    # most buckets hold one id, however often: they go before anything else is counted
+    several = buckets.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
+    met = stage(buckets.join(several.select("bucket"), "bucket", "left_semi").distinct(), "met")
+    shared = stage(met.join(met.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"), "shared")
+    discard(met)
     # the text that others are copies of meets more of them than a copy does; ties go to the least id
     weight = shared.groupBy("id").agg(F.sum("n").alias("met"))
     ranked = shared.join(weight, "id")
     most = ranked.groupBy("bucket").agg(F.max("met").alias("met"))
     heads = ranked.join(most, ["bucket", "met"]).groupBy("bucket").agg(F.min("id").alias("leader"))
     members = stage(shared.join(heads, "bucket"), "members")
+    discard(shared)
     held = stage(content(members.select("id").distinct()), "content")
     first = F.pmod(F.xxhash64(F.lit(1), "bucket"), F.lit(first_share)) == 0
     links = stage(same(ordered_pairs(members.where(first), "id", "leader"), held), "links")

@@ -87,13 +87,94 @@ def test_line_dedup_normalises_white_space_and_takes_clashing_columns(spark):
 
 
 def test_simhash_is_the_majority(spark):
+    from pyspark.sql import functions as F
+
     r = np.random.default_rng(1)
-    for n in (1, 3, 255, 1001):
-        h = [int(x) for x in r.integers(-(2**63), 2**63 - 1, n)]
-        bits = [sum(x >> b & 1 for x in h) * 2 >= n for b in range(64)]
-        want = sum(1 << b for b in range(64) if bits[b])
-        got = spark.createDataFrame([(h,)], "h array<bigint>").select(line_dedup.simhash("h" and __import__("pyspark").sql.functions.col("h"))).first()[0]
-        assert got & (2**64 - 1) == want
+    places = [7 * k + j for k in range(8) for j in range(4)]
+    for n in (1, 2, 3, 4, 30, 126, 300):
+        h = [int(x) for x in r.integers(0, 2**62, n)]
+        used = h[:126] if n > 2 else h[:1]
+        want = sum(1 << b for b in places if sum(x >> b & 1 for x in used) * 2 >= len(used))
+        assert spark.createDataFrame([(h,)], "h array<bigint>").select(line_dedup.simhash(F.col("h"))).first()[0] == want
+
+
+def test_words_are_dealt_to_equal_ranges(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(2)
+    for n, blocks in ((0, 3), (1, 4), (50, 7), (400, 64), (900, 150)):
+        h = [int(x) for x in r.integers(0, 2**62, n)]
+        got = spark.createDataFrame([(h,)], "h array<bigint>").select(line_dedup.dealt(F.col("h"), F.lit(blocks))).first()[0]
+        step = int(2**62 / blocks)
+        assert got == [sorted(x for x in h if k * step <= x < (k + 1) * step) for k in range(blocks)]
+
+
+def line_classes(spark, given):
+    """Where each line's group is kept, by the line."""
+    from pyspark.sql import functions as F
+
+    texts = docs(spark, list(enumerate(given)))
+    _, repeated = line_dedup.line_groups(texts, 0.9)
+    keys = spark.createDataFrame([(x,) for x in set(given)], "line string").withColumn("id", F.xxhash64(line_dedup.normalised(F.col("line"))))
+    return {r["line"]: (r["keep_doc"], r["keep_pos"]) for r in keys.join(repeated, "id").collect()}
+
+
+def test_edited_lines_are_joined(spark):
+    r = np.random.default_rng(5)
+    pairs = []
+    for n in (6, 8, 10, 14, 20, 30, 50, 80):
+        for _ in range(8):
+            w = ["".join(r.choice(list("abcdefghij"), int(r.integers(4, 9)))) for _ in range(n)]
+            typo, word = list(w), list(w)
+            typo[int(r.integers(n))] += "x"
+            pairs.append((" ".join(w), " ".join(typo)))
+            if n >= 14:
+                word[int(r.integers(n))] = "other"
+                pairs.append((" ".join(w), " ".join(word)))
+    got = line_classes(spark, [x for p in pairs for x in p])
+    met = sum(a in got and got[a] == got.get(b) for a, b in pairs)
+    assert met >= 0.9 * len(pairs)
+
+
+def test_line_groups_match_brute_force(spark):
+    import duckdb
+
+    texts = duckdb.sql(f"select text from '{SF}/documents.parquet' where text is not null").fetchall()
+    given = sorted({n for (t,) in texts for x in t.split("\n") if (n := re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" "))})
+    given.sort(key=len)
+    size = np.array([len(x) for x in given])
+    # letters that only one of two lines has bound their distance
+    bags = np.array([np.bincount([ord(c) % 64 for c in x], minlength=64) for x in given])
+    near = []
+    for i in range(len(given)):
+        most = 0.1 * size[i + 1 :] + 1e-9
+        close = (size[i + 1 :] - size[i] <= most) & (np.maximum(bags[i + 1 :] - bags[i], 0).sum(1) <= most)
+        near += [(given[i], given[i + 1 + k]) for k in np.flatnonzero(close)]
+    pairs = duckdb.sql(
+        "select p[1], p[2] from (select unnest($g) as p) where levenshtein(p[1], p[2]) <= 0.1 * length(p[2]) + 1e-9",
+        params={"g": [list(x) for x in near]},
+    ).fetchall()
+    got = line_classes(spark, given)
+    assert sum(a in got and got[a] == got.get(b) for a, b in pairs) >= 0.9 * len(pairs)
+    up = {x: x for x in given}
+    find = lambda x: x if up[x] == x else find(up[x])
+    for a, b in pairs:
+        up[find(a)] = find(b)
+    kept = collections.defaultdict(set)
+    for line, at in got.items():
+        kept[at].add(find(line))
+    assert all(len(x) == 1 for x in kept.values())
+
+
+def test_line_dedup_of_empty_tables_text_ids_and_long_lines(spark):
+    from pyspark.sql import functions as F
+
+    assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
+    w = text_of(7, 6000).split()
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:3000], "changed", *w[3001:]])), (3, " ".join(w[::-1]))]
+    given = docs(spark, rows).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(given).collect()}
+    assert got == {"d1": (rows[0][1], 0), "d2": ("", 1), "d3": (rows[2][1], 0)}
 
 
 def test_leaks_are_found_and_others_left(spark):

@@ -126,7 +126,9 @@ def linked(
     pairs = outside.join(others, "bucket").where(
         fits & (F.col("component") != F.col("component2")) & (F.col("in_main") | (F.col("id") < F.col("id2")))
     )
-    return links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held))
+    out = stage(links.unionByName(same(ordered_pairs(pairs, "id", "id2"), held)), "linked")
+    discard(members, held, apart, bounds)
+    return out
 
 
 def _open(members: DataFrame, groups: DataFrame) -> DataFrame:

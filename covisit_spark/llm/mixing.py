@@ -28,15 +28,16 @@ from covisit_spark.llm.common import small_batches, stage, words
 
 TOPICS, LONG_WORD = 8, 6
 DIMENSIONS = ["mix_source", "mix_lang", "mix_topic"]
+ADDED = ["n_tokens", "topic", "probability", "sampled"]
 NONE = "(none)"
 
 
 def annotate(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with n_tokens, the three dimensions, and the draw in [0, 1)."""
+    """The columns ``keep`` of ``docs`` as fields of ``given``, with n_tokens, the three dimensions, and the draw in [0, 1)."""
     small_batches(docs.sparkSession)
     text = F.col("text")
     held = docs.select(
-        *keep,
+        F.struct(*[F.col(c) for c in keep]).alias("given"),
         F.coalesce("source", F.lit(NONE)).alias("mix_source"),
         F.coalesce("lang", F.lit(NONE)).alias("mix_lang"),
         (F.pmod(F.xxhash64(F.lit(4), "doc_id", text), F.lit(1 << 30)) / float(1 << 30)).alias("mix_draw"),
@@ -129,16 +130,16 @@ def mix(
     power: float = 0.7,
     keep_fraction: float = 0.5,
 ) -> DataFrame:
-    """``docs`` with n_tokens, topic, ``probability`` and ``sampled``, over all rows.
+    """The columns ``keep`` of ``docs`` with n_tokens, topic, ``probability`` and ``sampled``, over all rows.
 
-    ``targets`` gives (category, share) per dimension; by default token shares to the power ``power``.
+    Columns of ``keep`` with one of these four names are replaced; other names clash with nothing. ``targets`` gives (category, share) per dimension; by default token shares to the power ``power``.
     """
     held = stage(annotate(docs, keep), "mix-documents")
     cells = stage(held.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     goals = targets or {d: tempered(cells, d, power) for d in DIMENSIONS}
     placed = stage(probabilities(rake(cells, goals), keep_fraction).select(*DIMENSIONS, "probability"), "mix-probabilities")
     out = held.join(placed, DIMENSIONS)
-    kept: list[Column] = [F.col(c) for c in keep]
+    kept: list[Column] = [F.col("given")[c].alias(c) for c in keep if c not in ADDED]
     return out.select(
         *kept, "n_tokens", F.col("mix_topic").alias("topic"), "probability", (F.col("mix_draw") < F.col("probability")).alias("sampled")
     )

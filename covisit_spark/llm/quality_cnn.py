@@ -196,13 +196,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1_200, max_chars: i
     return train(*training_rows(docs, labels, per_class, max_chars))
 
 
-def score(docs: DataFrame, net: Network, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``quality_score``; ``keep`` names the columns to carry along (all by default)."""
+def score(docs: DataFrame, net: Network, keep: list[str] | None = None, name: str = "quality_score") -> DataFrame:
+    """``docs`` with the score as column ``name``, in place of one of that name; ``keep`` names the columns to carry along (all by default)."""
     small_batches(docs.sparkSession)
-    kept = docs.select(*(keep if keep is not None else docs.columns))
+    kept = docs.select(*[c for c in (keep if keep is not None else docs.columns) if c != name])
     if "text" not in kept.columns:
         kept = kept.withColumn("text", docs["text"])
-    schema = T.StructType([*kept.schema.fields, T.StructField("quality_score", T.DoubleType())])
+    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())])
     data = _packed(net)
 
     def run(batches: Iterator) -> Iterator:
@@ -211,7 +211,7 @@ def score(docs: DataFrame, net: Network, keep: list[str] | None = None) -> DataF
         model = _unpacked(data)
         for b in batches:
             s = model.score(b.column(b.schema.get_field_index("text")).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, name])
 
     return kept.mapInArrow(run, schema)
 

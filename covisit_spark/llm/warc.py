@@ -109,12 +109,19 @@ def file_system(uri: str):
 
 
 def inflated(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """The plain bytes of a gzip stream, also if further members follow."""
-    d = zlib.decompressobj(31)
+    """The plain bytes of a gzip stream, also if further members follow; zero bytes between and after members are padding.
+
+    A stream that ends before its trailer, whose checksum was then never held against the bytes, raises.
+    """
+    d, begun = zlib.decompressobj(31), False
     for piece in pieces:
         while piece:
             if d.eof:
+                piece = piece.lstrip(b"\0")
+                if not piece:
+                    break
                 d = zlib.decompressobj(31)
+            begun = True
             plain = d.decompress(piece, PIECE)
             if plain:
                 yield plain
@@ -122,7 +129,7 @@ def inflated(pieces: Iterator[bytes]) -> Iterator[bytes]:
     rest = d.flush()
     if rest:
         yield rest
-    if not d.eof and d.unconsumed_tail:
+    if begun and not d.eof:
         raise ValueError("gzip stream breaks off")
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -375,3 +376,51 @@ def test_near_duplicates_far_from_their_bucket_s_leader(spark):
     # every class of the operator is part of one of brute force; a pair that meets in no bucket can split one
     assert all(group[a] == group[got[a]] for a in got)
     assert sum(got[a] == got[b] for a, b in links) >= 0.97 * len(links)
+
+
+def test_mixing_and_scores_take_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, text_of(i, 40)) for i in range(8)] + [(8, None), (9, ""), (1, text_of(1, 40))]
+    given = docs(spark, rows).withColumns({c: F.lit("x") for c in ("n_tokens", "topic", "mix_draw", "mix_source", "given", "source", "lang")})
+    got = mixing.mix(given, given.columns, keep_fraction=1.0).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in rows)
+    assert all(r["n_tokens"] == len((r["text"] or "").split()) and r["mix_draw"] == r["given"] == "x" for r in got)
+    scored = quality_cnn.score(given.withColumn("quality_score", F.lit("x")), quality_cnn.Network())
+    assert scored.columns.count("quality_score") == 1 and all(0 <= r["quality_score"] <= 1 for r in scored.collect())
+
+
+def test_gzip_streams_that_break_off_raise_and_padding_does_not():
+    import gzip
+
+    plain = os.urandom(3000) + b"a" * 500_000
+    whole = gzip.compress(plain) + gzip.compress(b"next")
+    pieces = lambda data, n: (data[i : i + n] for i in range(0, len(data), n))
+    for n in (7, 4096, 10**6):
+        for data in (whole, whole + bytes(1000), gzip.compress(plain) + bytes(9) + gzip.compress(b"next")):
+            assert b"".join(warc.inflated(pieces(data, n))) == plain + b"next"
+        for lost in (1, 8, 12):
+            with pytest.raises(ValueError):
+                list(warc.inflated(pieces(whole[:-lost], n)))
+    assert list(warc.inflated(iter([]))) == []
+
+
+def test_pipeline_stages_keep_columns_on_odd_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, i % 2) for i, _ in TEXTS if i], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    names = ("quality_score", "n_lines", "n_removed", "class_id", "copy", "n_tokens", "topic")
+    given = docs(spark).withColumns({c: F.lit("x") for c in names})
+    kept = {}
+    for name, step in corpus_pipeline.STAGES:
+        rows = step(spark, given, str(tmp_path))
+        kept[name] = sorted((r["doc_id"] for r in rows.collect()), key=str)
+        own = rows.columns[: len(given.columns)]
+        assert len(set(rows.columns)) == len(rows.columns)
+        assert (sorted(given.columns) if name != "mixing" else sorted({*given.columns, "probability"})) == sorted(rows.columns), own
+    assert kept["benchmark decontamination"] == sorted((i for i, _ in TEXTS), key=str)
+    # 1, 2, 3 and the row without an id alike, 4 twice, 5 to 7 without words, 8 and 9 alike
+    assert kept["near duplicates"] == sorted([1, 4, 5, 8, 10, 11, 12, None], key=str)

@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are words in lower case, hashed into ``DIMS`` terms; idf counts every document. A randomised SVD, run
-as distributed passes over the TF-IDF vectors of the benchmark and of a bounded sample of passages, gives
+as distributed passes over the TF-IDF vectors of the benchmark and of all passages, gives
 latent directions: one for ``ITEMS_A_DIRECTION`` items, between ``RANK`` and ``MOST_RANK``. They are damped by
 the passages' variance along them, so that the words all texts share do not make everything alike. Every passage of every
 document (windows of two blocks of ``BLOCK`` words, each overlapping the next by one block, up to the end of the
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from covisit_spark.llm.common import bounded_sample, small_batches, stage
+from covisit_spark.llm.common import small_batches, stage
 
 DIMS, RANK, BLOCK = 1 << 15, 96, 16
 COSINE, VERBATIM, PARAPHRASE, ANSWER, LEAST = 0.3, 0.7, 0.5, 5, 5
@@ -33,6 +33,8 @@ COSINE, VERBATIM, PARAPHRASE, ANSWER, LEAST = 0.3, 0.7, 0.5, 5, 5
 MOST_RANK, ITEMS_A_DIRECTION, ITEMS_PER_PASS = 256, 4, 4_000
 # Columns of the tables of words around a passage.
 NEAR = 1 << 13
+# Words that one task of a pass adds up before it sends its sums, and terms a row of them.
+PART_WORDS, TERMS_A_ROW = 1 << 24, 256
 
 
 def terms(text: Column) -> Column:
@@ -52,37 +54,36 @@ def dims_of(words: np.ndarray) -> np.ndarray:
     return (words & (DIMS - 1)).astype(np.int64)
 
 
-def document_counts(hashed: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents each term occurs, and the number of documents: DIMS sums reach the driver."""
+def document_counts(hashed: DataFrame) -> tuple[np.ndarray, int, int, int]:
+    """In how many documents each term occurs, and the numbers of documents, blocks and words: DIMS sums reach the driver."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        total, n = np.zeros(DIMS, np.int64), 0
+        total, sizes = np.zeros(DIMS, np.int64), np.zeros(3, np.int64)
         for b in batches:
             words, lengths = _flat(b.column(1))
             own = np.repeat(np.arange(len(lengths)), lengths)
             total += np.bincount(np.unique(own * DIMS + dims_of(words)) % DIMS, minlength=DIMS)
-            n += len(lengths)
+            sizes += len(lengths), np.sum(-(-lengths // BLOCK)), len(words)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(total[some], n), pa.int64())], names=["term", "n"]
+            [pa.array(np.append(some, [-1, -2, -3]), pa.int32()), pa.array(np.append(total[some], sizes), pa.int64())], names=["term", "n"]
         )
 
-    got = hashed.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df, n = np.zeros(DIMS), 0
-    for r in got:
-        if r["term"] < 0:
-            n = r["n"]
-        else:
-            df[r["term"]] = r["n"]
-    return df, n
+    got = hashed.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = got["term"].to_numpy(), got["n"].to_numpy()
+    df, sizes = np.zeros(DIMS), np.zeros(3, np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    sizes[-1 - term[term < 0]] = n[term < 0]
+    return df, *sizes.tolist()
 
 
 def block_sums(words: np.ndarray, lengths: np.ndarray, table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sums over blocks of words of ``table`` rows and of squared weights; (sums, squares, text, block's first word).
 
-    Words are laid out as (block, place); places after a text's end point at a row of zeros.
+    Words are laid out as (block, place); places after a text's end point at a row of zeros, which a ``table`` for
+    many calls has already (:func:`with_zeros`).
     """
     blocks = np.maximum(-(-lengths // BLOCK), 1)
     own = np.repeat(np.arange(len(lengths)), blocks)
@@ -90,13 +91,21 @@ def block_sums(words: np.ndarray, lengths: np.ndarray, table: np.ndarray, weight
     place = (nth * BLOCK)[:, None] + np.arange(BLOCK)
     at = (np.cumsum(lengths) - lengths)[own][:, None] + place
     d = np.where(place < lengths[own][:, None], np.append(dims_of(words), DIMS)[np.minimum(at, len(words))], DIMS)
-    rows, squared = np.vstack([table, np.zeros_like(table[:1])]), np.append(weight.astype(np.float64) ** 2, 0.0)
-    sums = rows.take(d[:, 0], axis=0)
-    for k in range(1, BLOCK):
-        sums += rows.take(d[:, k], axis=0)
+    rows, squared = table if len(table) > DIMS else with_zeros(table), np.append(weight.astype(np.float64) ** 2, 0.0)
+    sums = np.empty((len(d), table.shape[1]), rows.dtype)
+    for a in range(0, len(d), 256):  # few enough for a core's cache
+        part, out = d[a : a + 256].T, sums[a : a + 256]
+        rows.take(part[0], axis=0, out=out, mode="clip")
+        for k in range(1, BLOCK):
+            out += rows.take(part[k], axis=0, mode="clip")
     return sums, squared[d].sum(1), own, nth * BLOCK
 
 
+def with_zeros(table: np.ndarray) -> np.ndarray:
+    """``table`` and a last row of zeros."""
+    return np.vstack([table, np.zeros_like(table[:1])])
+
+
 def passages(sums: np.ndarray, squares: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of two blocks (one where a text has one): (vectors, squared norms, first block)."""
     n = len(own)
@@ -109,21 +118,41 @@ def passages(sums: np.ndarray, squares: np.ndarray, own: np.ndarray) -> tuple[np
     return sums[first] + sums[nxt] * two, squares[first] + squares[nxt] * two[:, 0], first
 
 
-def svd_pass(sample: DataFrame, weight: np.ndarray, q: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray]:
-    """One pass over the sampled passages: (A'AQ, (AQ)'(AQ)), summed in blocks of terms.
-
-    Rows of A are unit vectors; the benchmark's rows weigh as much as all others together. Tasks emit partial
-    sums of 4096 terms at a time, which are added per block of terms and part.
+def sums_by_term(d: np.ndarray, block: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of ``d``, and for each the sum of the rows of ``per`` that ``block`` names for its words."""
+    order = np.argsort(d.astype(np.uint16), kind="stable")
+    ds, rows = d[order], block[order]
+    heads = np.flatnonzero(np.append(True, ds[1:] != ds[:-1]))
+    counts = np.diff(np.append(heads, len(ds)))
+    # most frequent first: those are added up one by one, the others together, their j-th words at a time
+    by = np.argsort(-counts, kind="stable")
+    heads, counts = heads[by], counts[by]
+    sums = per.take(rows[heads], axis=0)
+    single = int((counts > 32).sum())
+    for i in range(single):
+        sums[i] = per.take(rows[heads[i] : heads[i] + counts[i]], axis=0).sum(0)
+    for j in range(1, 32):
+        some = slice(single, int((counts > j).sum()))
+        sums[some] += per.take(rows[heads[some] + j], axis=0)
+    return ds[heads], sums
+
+
+def svd_pass(texts: DataFrame, weight: np.ndarray, q: np.ndarray, back: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """One pass over the passages of ``texts`` (w, f): (A'AQ, zeros unless ``back``; (AQ)'(AQ)).
+
+    Rows of A are unit vectors times ``f``. Tasks emit partial sums of ``TERMS_A_ROW`` terms at a time, which are
+    added one after the other, in a fixed order, per block of terms.
     """
-    spark = sample.sparkSession
+    spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((weight.astype(np.float32), q.astype(np.float32, copy=False)))
-    width = 4096
+    width = TERMS_A_ROW
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark import TaskContext
 
         w, basis = shared.value
-        scaled = basis * w[:, None]
+        scaled = with_zeros(basis * w[:, None])
         out, gram, seen = np.zeros(basis.shape, np.float32), np.zeros((basis.shape[1],) * 2), False
         for b in batches:
             words, lengths = _flat(b.column(0))
@@ -132,35 +161,54 @@ def svd_pass(sample: DataFrame, weight: np.ndarray, q: np.ndarray, items: int) -
             factor = b.column(1).to_numpy(zero_copy_only=False).astype(np.float32)
             sums, squares, own, _ = block_sums(words, lengths, scaled, w)
             y, norms, first = passages(sums, squares, own)
-            y *= (factor[own[first]] / np.sqrt(np.maximum(norms, 1e-12)))[:, None]
-            gram += y.T.astype(np.float64) @ y
+            norm = (factor[own[first]] / np.sqrt(np.maximum(norms, 1e-12)))[:, None].astype(np.float32)
+            y *= norm
+            gram += y.T @ y
+            seen = True
+            if not back:
+                continue
             # back to the words: each block gets the vectors of the passages it is part of
-            z = y * (factor[own[first]] / np.sqrt(np.maximum(norms, 1e-12)))[:, None]
+            y *= norm
             per = np.zeros_like(sums)
-            per[first] += z
+            per[first] += y
             two = np.flatnonzero((first + 1 < len(own)) & (own[np.minimum(first + 1, len(own) - 1)] == own[first]))
-            per[first[two] + 1] += z[two]
+            per[first[two] + 1] += y[two]
             at = np.repeat(np.arange(len(lengths)), lengths)
             place = np.arange(len(words)) - (np.cumsum(lengths) - lengths)[at]
             count = np.maximum(-(-lengths // BLOCK), 1)
             block = (np.cumsum(count) - count)[at] + place // BLOCK
-            d = dims_of(words)
-            order = np.argsort(d, kind="stable")
-            ds = d[order]
-            heads = np.flatnonzero(np.append(True, ds[1:] != ds[:-1]))
-            out[ds[heads]] += np.add.reduceat(per[block[order]], heads, axis=0) * w[ds[heads]][:, None]
-            seen = True
+            term, added = sums_by_term(dims_of(words), block, per)
+            out[term] += added * w[term][:, None]
         if seen:
-            parts = [out[a : a + width].tobytes() for a in range(0, DIMS, width)] + [gram.astype(np.float32).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["part", "data"])
+            some = [a for a in range(0, DIMS, width) if back and out[a : a + width].any()]
+            parts = [out[a : a + width].tobytes() for a in some] + [gram.astype(np.float32).tobytes()]
+            task = pa.array([TaskContext.get().partitionId()] * len(parts), pa.int32())
+            rows = pa.array([a // width for a in some] + [DIMS // width], pa.int32())
+            yield pa.RecordBatch.from_arrays([rows, task, pa.array(parts, pa.binary())], names=["part", "task", "data"])
 
-    def add(key, frame):
-        import pandas as pd
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in frame["data"])
-        return pd.DataFrame({"part": [key[0]], "data": [total.astype(np.float32).tobytes()]})
+        def done(part: int, total: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["part", "data"]
+            )
 
-    sums = sample.mapInArrow(run, "part int, data binary").groupBy("part").applyInPandas(add, "part int, data binary")
+        now, total = None, None
+        for b in batches:
+            for part, data in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                x = np.frombuffer(data.as_buffer(), np.float32)
+                if part == now:
+                    total += x
+                    continue
+                if now is not None:
+                    yield done(now, total)
+                now, total = part, x.astype(np.float64)
+        if now is not None:
+            yield done(now, total)
+
+    partial = texts.mapInArrow(run, "part int, task int, data binary")
+    sums = partial.repartition("part").sortWithinPartitions("part", "task").mapInArrow(add, "part int, data binary")
     y, gram = np.zeros(q.shape, np.float32), np.zeros((q.shape[1],) * 2, np.float32)
     for r in sums.collect():
         at = r["part"] * width
@@ -172,35 +220,56 @@ def svd_pass(sample: DataFrame, weight: np.ndarray, q: np.ndarray, items: int) -
     return y, gram
 
 
-def fit_directions(hashed: DataFrame, bench: DataFrame, weight: np.ndarray, max_docs: int, rank: int | None = None, rounds: int = 2) -> np.ndarray:
+def turned(y: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """``y @ by`` in place of ``y``, some rows at a time: the driver holds no second array of that size."""
+    for a in range(0, len(y), 4096):
+        y[a : a + 4096] = y[a : a + 4096] @ by
+    return y
+
+
+def orthonormal(y: np.ndarray) -> np.ndarray:
+    """Orthonormal columns with the span of those of ``y``, in its place; zeros for what they have too many.
+
+    By the columns' inner products, in double precision and twice: once leaves those nearly dependent askew.
+    """
+    for _ in range(2):
+        inner = np.zeros((y.shape[1],) * 2)
+        for a in range(0, len(y), 4096):
+            part = y[a : a + 4096].astype(np.float64)
+            inner += part.T @ part
+        values, turn = np.linalg.eigh(inner)
+        real = values > 1e-11 * max(values[-1], 1e-30)
+        turned(y, np.where(real, turn / np.sqrt(np.where(real, values, 1.0)), 0.0))
+    return y
+
+
+def fit_directions(
+    hashed: DataFrame, bench: DataFrame, weight: np.ndarray, blocks: int, words: int, rank: int | None = None, rounds: int = 2
+) -> np.ndarray:
     """Right singular vectors (DIMS x rank) by randomised subspace iteration, damped by the variance of passages.
 
     Each axis is divided by the root of the documents' sum of squares along it plus their mean: what all
     passages share weighs no more than the rest, weak axes are not blown up. The benchmark does not damp.
 
-    The passes read the benchmark and at most about ``max_docs`` documents, in eight parts, so what is
-    added per block of terms does not grow.
+    The passes read the benchmark and every document (``blocks`` blocks, ``words`` words in all), in parts of
+    about ``PART_WORDS`` words, one for each core at least: what is added per block of terms is a small share of them.
     """
     items = max(1, bench.count())
     rank = min(MOST_RANK, max(RANK, items // ITEMS_A_DIRECTION)) if rank is None else rank
-    some = bounded_sample(hashed, max_docs, seed=2).select("w", F.lit(1.0).alias("f"), F.lit(True).alias("doc"))
-    blocks = F.ceil(F.size("w") / BLOCK)
-    n = some.agg(F.sum(blocks)).first()[0] or 1
-    both = bench.select("w", F.lit(float(np.sqrt(n / items))).alias("f"), F.lit(False).alias("doc")).unionByName(some)
-    sample = both.repartition(8).persist()
-    # single precision: the driver's largest arrays
-    q = np.linalg.qr(np.random.default_rng(0).standard_normal((DIMS, rank), np.float32))[0]
+    parts = max(hashed.sparkSession.sparkContext.defaultParallelism, -(-words // PART_WORDS))
+    docs = hashed.select("w", F.lit(1.0).alias("f")).coalesce(parts)
+    # the benchmark's rows weigh as much as all others together
+    own = bench.select("w", F.lit(float(np.sqrt(max(blocks, 1) / items))).alias("f")).coalesce(1).persist()
+    # single precision, each changed in place: the driver's largest arrays
+    q = orthonormal(np.random.default_rng(0).standard_normal((DIMS, rank), np.float32))
+    both = docs.unionByName(own)
     for _ in range(rounds):
-        y, _ = svd_pass(sample, weight, q, items)
-        y += np.float32(1e-9) * q
-        q = np.linalg.qr(y)[0]
-        del y
-    gram = svd_pass(sample.where("doc"), weight, q, items)[1]
-    sample.unpersist()
-    values, turn = np.linalg.eigh(gram.astype(np.float64))
+        q = orthonormal(svd_pass(both, weight, q)[0])
+    own.unpersist()
+    values, turn = np.linalg.eigh(svd_pass(docs, weight, q, back=False)[1].astype(np.float64))
     values = np.maximum(values, 0)
     damped = turn / np.sqrt(values + max(values.mean(), 1e-12))
-    return q @ damped[:, np.argsort(-values)].astype(np.float32)
+    return turned(q, damped[:, np.argsort(-values)])
 
 
 def common_words(item: dict[int, int], n: int, words: list[int]) -> int:
@@ -316,13 +385,11 @@ def find_leaks(
     cosine: float = COSINE,
     verbatim: float = VERBATIM,
     paraphrase: float = PARAPHRASE,
-    max_fit_docs: int = 2_000,
 ) -> DataFrame:
     """(doc_id, item_id, word, cosine, lcs_share, has_answer): the benchmark items that each document holds.
 
-    ``max_fit_docs`` bounds the documents that the directions are fitted on; idf, projection and search
-    cover all of them. Items are searched in blocks of ``ITEMS_PER_PASS``, each with directions of its own and a
-    pass over the documents.
+    Idf, directions, projection and search cover all documents. Items are searched in blocks of ``ITEMS_PER_PASS``,
+    each with directions of its own, fitted by three passes over the documents, and a pass that searches them.
     """
     spark = docs.sparkSession
     small_batches(spark, 256)
@@ -336,13 +403,14 @@ def find_leaks(
     bench = bench.where(F.size("w") >= LEAST)
     tail = F.slice("w", F.greatest(F.size("w") - ANSWER + 1, F.lit(1)), F.lit(ANSWER))
     bench = bench.withColumn("answer", F.when(F.size("last") >= 3, F.col("last")).otherwise(tail)).drop("last")
-    df, n = document_counts(hashed)
+    df, n, blocks, words = document_counts(hashed)
     weight = (np.log((1 + n) / (1 + df)) + 0.05).astype(np.float32)
     passes = max(1, -(-bench.count() // ITEMS_PER_PASS))
     out = None
     for k in range(passes):
         some = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        scaled = fit_directions(hashed, some, weight, max_fit_docs) * weight[:, None]
+        scaled = fit_directions(hashed, some, weight, blocks, words)
+        scaled *= weight[:, None]
         rows = some.orderBy("item_id", "w").collect()
         items = [r["item_id"] for r in rows], [list(r["w"]) for r in rows], [list(r["answer"]) for r in rows]
         hits = _search(hashed, items, bench.schema["item_id"].dataType, weight, scaled, (cosine, verbatim, paraphrase))
@@ -356,14 +424,14 @@ def find_leaks(
 
 
 def _search(hashed: DataFrame, items: tuple, id_type: DataType, weight: np.ndarray, scaled: np.ndarray, limits: tuple) -> DataFrame:
-    shared = hashed.sparkSession.sparkContext.broadcast((weight, scaled.astype(np.float32), items))
+    shared = hashed.sparkSession.sparkContext.broadcast((weight, scaled.astype(np.float32, copy=False), items))
     kinds = {f.name: f.dataType.simpleString() for f in hashed.schema.fields}
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         w, table, given = shared.value
-        own = Items(*given, table)
+        own, table = Items(*given, table), with_zeros(table)
         for b in batches:
             words, lengths = _flat(b.column(1))
             found = hits_in(words, lengths, own, w, table, limits) if len(words) and own.ids else []

@@ -1,14 +1,14 @@
 """Secret scan: fixed patterns, and character Markov models for secrets without a keyword.
 
 Two bigram models over one alphabet, one of random strings and one of ordinary identifiers, are
-counted from labelled samples: the values that the patterns find in a bounded sample of documents
-are random strings; of the other tokens there, those made up like words, identifiers and numbers are ordinary,
+counted from labelled tokens: the values that the patterns find in all documents are random strings; of the
+other tokens, those made up like words, identifiers and numbers are ordinary,
 and the rest, which may be secrets, have no label. A token of 16 or more characters in any text whose mean
 log-likelihood ratio passes a threshold is a further span. The models are counted from one half of the tokens
 and the threshold, above nearly all ordinary ones, from the other. All of it is built-in column expressions.
 
 Defined results: a null text is read as empty and has no spans; repeated rows are scanned each; with an
-empty table, or samples without secrets, the random model is the uniform one.
+empty table, or texts without secrets, the random model is the uniform one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covisit_spark.llm.common import bounded_sample, stage
+from covisit_spark.llm.common import stage
 
 # The patterns of the base kinds, in their order.
 ASSIGN = "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -93,21 +93,20 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def sample_tokens(docs: DataFrame, max_docs: int) -> DataFrame:
-    """(token, random, half): distinct labelled tokens of a sample of at most about ``max_docs`` documents.
+def labelled_tokens(docs: DataFrame) -> DataFrame:
+    """(token, random, half): the distinct labelled tokens of all documents.
 
     Tokens that no pattern finds and that are not made up like ``ORDINARY`` ones are left out: secrets
     without a keyword are among them, and as ordinary tokens they would teach the models to pass them.
     """
     text = F.col("text")
-    some = bounded_sample(docs.where(text.isNotNull()).select("doc_id", "text"), max_docs, seed=10)
     hits = F.concat(
         F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_MIN),
         F.regexp_extract_all(text, F.lit(ACCESS_LONG), F.lit(0)),
         F.regexp_extract_all(text, F.lit(HEX_LONG), F.lit(0)),
     )
     rest = F.regexp_extract_all(text, F.lit(f"[{ALPHABET[:-1]}-]{{4,}}"), F.lit(0))
-    both = some.select(
+    both = docs.where(text.isNotNull()).select(
         F.explode(
             F.concat(
                 F.transform(hits, lambda t: F.struct(t.alias("token"), F.lit(1).alias("random"))),
@@ -127,7 +126,7 @@ def _place(c: Column) -> Column:
 def fit_models(tokens: DataFrame, uniform_share: float = 0.5) -> list[float]:
     """Log-likelihood ratio of each pair of characters, row by row: the two models' add-one estimates.
 
-    The random model is mixed with the uniform one, so that it knows alphabets that the sample lacks.
+    The random model is mixed with the uniform one, so that it knows alphabets that the tokens lack.
     The driver gets one count per pair of characters and label.
     """
     n = len(ALPHABET)
@@ -181,20 +180,19 @@ def literal_table(table: list[float]) -> Column:
 
 
 def fit_threshold(tokens: DataFrame, table: list[float], share: float = 0.99, least: float = 0.5) -> float:
-    """The ratio that ``share`` of the ordinary tokens of the sample stay under, ``least`` at least."""
+    """The ratio that ``share`` of the ordinary tokens stay under, ``least`` at least."""
     ordinary = tokens.where((F.col("random") == 0) & (F.length("token") >= TOKEN_MIN))
     r = ordinary.agg(F.percentile_approx(mean_ratio(F.col("token"), literal_table(table)), share, 100_000).alias("q"))
     q = r.first()["q"]
     return max(least, q if q is not None else least)
 
 
-def scan(docs: DataFrame, max_sample_docs: int = 5_000) -> DataFrame:
-    """Spans of secrets in every whole text.
+def scan(docs: DataFrame) -> DataFrame:
+    """Spans of secrets in every whole text, by models and a threshold counted from the tokens of all documents.
 
-    ``max_sample_docs`` bounds the documents that the two models are counted from. Returns doc_id,
-    ``base`` and ``extra`` (arrays of spans; extra ones overlap no base span).
+    Returns doc_id, ``base`` and ``extra`` (arrays of spans; extra ones overlap no base span).
     """
-    tokens = stage(sample_tokens(docs, max_sample_docs), "secret-tokens")
+    tokens = stage(labelled_tokens(docs), "secret-tokens")
     table = fit_models(tokens.where("half = 0"))
     limit = fit_threshold(tokens.where("half = 1"), table)
     text = F.col("text")

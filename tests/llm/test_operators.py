@@ -221,6 +221,47 @@ def test_leaks_of_a_large_benchmark_are_recalled(spark):
     assert all(len(got & x) >= 0.9 * len(x) for x in want.values())
 
 
+def test_directions_are_fitted_on_all_documents(spark, monkeypatch):
+    seen, real = [], decontaminate.svd_pass
+    monkeypatch.setattr(decontaminate, "svd_pass", lambda texts, *a, **k: seen.append(texts.count()) or real(texts, *a, **k))
+    rows = [(k, text_of(k, 40)) for k in range(2500)]
+    item = text_of(9000, 30)
+    rows.append((2500, text_of(9001, 50) + " " + item + " " + text_of(9002, 50)))
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs(spark, rows), bench).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(2500, 7)]
+    assert seen == [2502, 2502, 2501]  # with the item, which does not damp
+
+
+def test_pass_over_passages_matches_dense_products(spark):
+    r = np.random.default_rng(5)
+    rows = [(r.integers(0, 1 << 40, n).tolist(), f) for n, f in ((50, 1.0), (7, 2.0), (0, 1.0), (33, 1.0), (16, 3.0), (200, 1.0))] * 3
+    weight = r.random(decontaminate.DIMS).astype(np.float32)
+    q = decontaminate.orthonormal(r.standard_normal((decontaminate.DIMS, 5), np.float32))
+    a = []
+    for w, f in rows:
+        blocks = [w[k : k + decontaminate.BLOCK] for k in range(0, len(w), decontaminate.BLOCK)]
+        for x in [p + n for p, n in zip(blocks, blocks[1:], strict=False)] or blocks:
+            d = decontaminate.dims_of(np.array(x))
+            v = np.bincount(d, weight[d], decontaminate.DIMS)
+            a.append(v * f / np.sqrt((weight[d].astype(float) ** 2).sum()))
+    a = np.array(a)
+    texts = spark.createDataFrame(rows, "w array<long>, f double").repartition(3)
+    y, gram = decontaminate.svd_pass(texts, weight, q)
+    assert np.allclose(gram, (a @ q).T @ (a @ q), atol=1e-5) and np.allclose(y, a.T @ (a @ q), atol=1e-5)
+    assert np.allclose(decontaminate.svd_pass(texts, weight, q, back=False)[1], gram)
+
+
+def test_orthonormal_columns_keep_the_span():
+    r = np.random.default_rng(6)
+    y = r.standard_normal((9000, 6)).astype(np.float32) * 10.0 ** -np.arange(6)
+    y = np.column_stack([y, y[:, 0] + y[:, 1]]).astype(np.float32)
+    q = decontaminate.orthonormal(y.copy())
+    own = np.round(q.T @ q, 3)
+    assert np.allclose(own, np.diag(np.diag(own)), atol=1e-3) and np.diag(own).sum() == pytest.approx(6, abs=1e-2)
+    assert np.allclose(q @ (q.T @ y), y, rtol=1e-3, atol=1e-4)
+
+
 def test_candidates_are_bounded_by_shared_words():
     r = np.random.default_rng(4)
     texts = [r.integers(0, 60, n) for n in (40, 200, 3)]
@@ -264,6 +305,16 @@ def test_secret_spans_match_brute_force(spark):
         assert got[i] == sorted(want)
 
 
+def test_secret_models_count_the_tokens_of_all_documents(spark, monkeypatch):
+    seen, models, threshold = set(), secret_scan.fit_models, secret_scan.fit_threshold
+    note = lambda t: seen.update(r["token"] for r in t.collect())
+    monkeypatch.setattr(secret_scan, "fit_models", lambda t: note(t) or models(t))
+    monkeypatch.setattr(secret_scan, "fit_threshold", lambda t, table: note(t) or threshold(t, table))
+    rows = [(k, f"number-{k}") for k in range(6000)]
+    assert secret_scan.scan(docs(spark, rows)).count() == 6000
+    assert seen == {t for _, t in rows}
+
+
 def test_secrets_without_a_keyword_are_found(spark):
     r = np.random.default_rng(6)
     random = lambda: "".join(r.choice(list(secret_scan.ALPHABET[:62]), 28))

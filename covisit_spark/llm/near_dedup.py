@@ -17,16 +17,18 @@ document's class.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covisit_spark.llm.common import small_batches, stage, word_hashes
 from covisit_spark.llm.links import components, linked
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 26, 5, 0.8
+# Longs of a text's sketch: the parity of its number of shingles in each of 64 times as many classes.
+SKETCH = 16
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -187,8 +189,34 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     )
 
 
+def parities(h: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    """(n, SKETCH) longs: a bit for each class of elements, set if a text has an odd number of it.
+
+    An element that only one of two texts has changes one bit, so they have at least as many of these as bits that differ.
+    """
+    classes = SKETCH * 64
+    slot = own.astype(np.int64) * classes + (mix(h.astype(np.uint64) + GOLDEN) % np.uint64(classes)).astype(np.int64)
+    odd = np.zeros(n * classes, np.uint8)
+    slots, times = np.unique(slot, return_counts=True)
+    odd[slots] = times & 1
+    return np.packbits(odd).view(np.int64).reshape(n, SKETCH)
+
+
+def may_be_similar(threshold: float) -> Callable[[str, str], Column]:
+    """False of two texts of (size, sketch) whose similarity is under ``threshold`` for certain."""
+
+    def may(x: str, y: str) -> Column:
+        bits = [F.get(f"sketch{x}", F.lit(k)).bitwiseXOR(F.get(f"sketch{y}", F.lit(k))) for k in range(SKETCH)]
+        differ = sum((F.bit_count(b) for b in bits), F.lit(0))
+        # of n in both lists, at most i = (n - differ) / 2 are shared; the similarity is i / (n - i)
+        n = F.col(f"size{x}") + F.col(f"size{y}")
+        return n - differ >= threshold * (n + differ) - 1e-9
+
+    return may
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(id, s): the multiset of shingles as a set, the j-th copy of a shingle being an element of its own."""
+    """(id, s, sketch): the multiset of shingles as a set, the j-th copy of a shingle being an element of its own."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
@@ -203,10 +231,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             h = mix(element[at] + j.astype(np.uint64) * GOLDEN).astype(np.int64)
             sizes = np.bincount(own[at], minlength=len(lengths))
             s = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(h))
-            yield pa.RecordBatch.from_arrays([b.column(0), s], names=["id", "s"])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(lengths) + 1) * SKETCH, pa.int32()), pa.array(parities(h, own[at], len(lengths)).ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), s, bits], names=["id", "s", "sketch"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", word_hashes(F.col("text")).alias("w")).mapInArrow(run, f"id {id_type}, s array<bigint>")
+    return docs.select("doc_id", word_hashes(F.col("text")).alias("w")).mapInArrow(run, f"id {id_type}, s array<bigint>, sketch array<bigint>")
 
 
 def candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -216,7 +245,7 @@ def candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def common_parts(ids: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, size, common): the number of shingles, and of those that another one of ``ids`` has too."""
+    """(id, size, common, sketch): the number of shingles, and of those that another one of ``ids`` has too."""
     own = sets.join(ids, "id", "left_semi")
     alone = (
         own.select("id", F.explode("s").alias("x"))
@@ -228,7 +257,7 @@ def common_parts(ids: DataFrame, sets: DataFrame) -> DataFrame:
     )
     size = F.size("s")
     return own.join(alone, "id", "left").select(
-        "id", size.alias("size"), (size - F.coalesce("alone", F.lit(0))).alias("common")
+        "id", size.alias("size"), (size - F.coalesce("alone", F.lit(0))).alias("common"), "sketch"
     )
 
 
@@ -250,7 +279,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts = stage(known.groupBy("copy").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "copies")
     buckets = texts.select("id", F.explode("bands").alias("bucket")).distinct()
     links = linked(
-        buckets, lambda ids: candidate_sets(given, ids), lambda pairs, sets: similar(pairs, sets, threshold), common_parts, threshold
+        buckets,
+        lambda ids: candidate_sets(given, ids),
+        lambda pairs, sets: similar(pairs, sets, threshold),
+        common_parts,
+        threshold,
+        may_be_similar(threshold),
     )
     groups = components(links)
     classes = texts.select("copy", "id").join(groups, "id", "left").select("copy", F.coalesce("component", "id").alias("class_id"))

@@ -475,3 +475,65 @@ def test_pipeline_stages_keep_columns_on_odd_rows(spark, tmp_path):
     assert kept["benchmark decontamination"] == sorted((i for i, _ in TEXTS), key=str)
     # 1 and 2 alike (3 shares 49 of 63 shingles with them: under 0.8), 4 twice, 5 to 7 without words, 8 and 9 alike
     assert kept["near duplicates"] == sorted([1, 3, 4, 5, 8, 10, 11, 12, None], key=str)
+
+
+def test_sketches_rule_out_no_similar_texts(spark):
+    r = np.random.default_rng(9)
+    base = [f"w{k}" for k in r.integers(0, 400, 150)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for k in r.choice(len(w), i % 12, replace=False):
+            w[k] = f"x{r.integers(30)}"
+        rows.append((i, " ".join(w[: len(w) - i % 5])))
+    sets = {x["id"]: x for x in near_dedup.shingle_sets(docs(spark, rows)).collect()}
+    two = [(len(a["s"]), a["sketch"], len(b["s"]), b["sketch"], len(set(a["s"]) & set(b["s"]))) for a in sets.values() for b in sets.values()]
+    given = spark.createDataFrame(two, "size int, sketch array<bigint>, size2 int, sketch2 array<bigint>, i int")
+    told = given.select("size", "size2", "i", near_dedup.may_be_similar(0.8)("", "2").alias("may")).collect()
+    same = [x["may"] for x in told if x["i"] >= 0.8 * (x["size"] + x["size2"] - x["i"])]
+    other = [x["may"] for x in told if x["i"] < 0.6 * (x["size"] + x["size2"] - x["i"])]
+    assert len(same) > 60 and all(same)
+    assert len(other) > 60 and not any(other)
+
+
+def test_far_members_of_a_near_copy_group_are_not_all_compared(spark, monkeypatch):
+    r = np.random.default_rng(10)
+    base = text_of(51, 120).split()
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for k in r.choice(len(w), 2, replace=False):
+            w[k] = f"x{r.integers(12)}"
+        rows.append((i, " ".join(w)))
+    compared, similar = [], near_dedup.similar
+
+    def counted(pairs, sets, threshold):
+        compared.append(pairs.count())
+        return similar(pairs, sets, threshold)
+
+    monkeypatch.setattr(near_dedup, "similar", counted)
+    assert near_dedup.near_duplicates(docs(spark, rows)).count() == len(rows)
+    # the last comparison is of members with members, the others with leaders
+    assert compared[-1] < len(rows)
+
+
+def test_buckets_of_two_are_pairs_and_have_no_leader(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from covisit_spark.llm import links
+
+    opened, whole = [], links._open
+    monkeypatch.setattr(links, "_open", lambda members, groups: opened.append(members.count()) or whole(members, groups))
+    compared = []
+
+    def same(pairs, held):
+        compared.extend((x["a"], x["b"]) for x in pairs.collect())
+        return pairs.where("a % 2 = b % 2")
+
+    common = lambda ids, held: ids.select("id", F.lit(1).alias("size"), F.lit(1).alias("common"), F.lit(1).alias("sketch"))
+    rows = [(100 + k, x) for k in range(9) for x in (1, 3)] + [(200, 3), (200, 4), (201, 6), (201, 6), (202, 6), (202, 8)]
+    rows += [(300, x) for x in (11, 12, 13)]
+    buckets = spark.createDataFrame(rows, "bucket long, id long")
+    found = links.linked(buckets, lambda ids: ids, same, common, 0.5, lambda x, y: F.lit(True)).collect()
+    assert {(min(x["a"], x["b"]), max(x["a"], x["b"])) for x in found} == {(1, 3), (6, 8), (11, 13)}
+    assert max(opened) == 3 and compared.count((1, 3)) == 1

@@ -33,6 +33,10 @@ COSINE, VERBATIM, PARAPHRASE, ANSWER, LEAST = 0.3, 0.7, 0.5, 5, 5
 MOST_RANK, ITEMS_A_DIRECTION, ITEMS_PER_PASS = 256, 4, 4_000
 # Columns of the tables of words around a passage.
 NEAR = 1 << 13
+# Bits that tell which words a block or an item has; wider windows around a passage would set most of them.
+BITS = 1024
+# Texts whose terms are told apart at a time, in a table that a core's cache holds.
+TOGETHER = 16
 # Words that one task of a pass adds up before it sends its sums, and terms a row of them.
 PART_WORDS, TERMS_A_ROW = 1 << 24, 256
 
@@ -54,17 +58,29 @@ def dims_of(words: np.ndarray) -> np.ndarray:
     return (words & (DIMS - 1)).astype(np.int64)
 
 
+def distinct_terms(words: np.ndarray, lengths: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The terms of texts laid end to end, each once a text; ``last`` has ``TOGETHER * DIMS`` places of any content."""
+    d, ends, out = dims_of(words), np.append(0, np.cumsum(lengths)), []
+    for a in range(0, len(lengths), TOGETHER):
+        some = lengths[a : a + TOGETHER]
+        part = d[ends[a] : ends[a + len(some)]]
+        # of the words of one term in one text, the one that is written last finds itself again
+        at, nth = np.repeat(np.arange(len(some)) * DIMS, some) + part, np.arange(len(part))
+        last[at] = nth
+        out.append(part[last[at] == nth])
+    return np.concatenate(out) if out else d
+
+
 def document_counts(hashed: DataFrame) -> tuple[np.ndarray, int, int, int]:
     """In how many documents each term occurs, and the numbers of documents, blocks and words: DIMS sums reach the driver."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        total, sizes = np.zeros(DIMS, np.int64), np.zeros(3, np.int64)
+        total, sizes, last = np.zeros(DIMS, np.int64), np.zeros(3, np.int64), np.zeros(TOGETHER * DIMS, np.int64)
         for b in batches:
             words, lengths = _flat(b.column(1))
-            own = np.repeat(np.arange(len(lengths)), lengths)
-            total += np.bincount(np.unique(own * DIMS + dims_of(words)) % DIMS, minlength=DIMS)
+            total += np.bincount(distinct_terms(words, lengths, last), minlength=DIMS)
             sizes += len(lengths), np.sum(-(-lengths // BLOCK)), len(words)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -291,6 +307,18 @@ def places(words: list[int]) -> dict[int, int]:
     return out
 
 
+def word_bits(words: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``BITS`` classes of words each of ``n`` blocks has, 64 to a number; ``block`` ascends."""
+    out, kind = np.zeros((n, BITS // 64), np.uint64), (words & (BITS - 1)).astype(np.int64)
+    for a in range(0, n, 4096):
+        b = min(n, a + 4096)
+        low, high = np.searchsorted(block, (a, b))
+        seen = np.zeros((b - a, BITS), bool)
+        seen[block[low:high] - a, kind[low:high]] = True
+        out[a:b] = np.packbits(seen, axis=1).view(np.uint64)
+    return out
+
+
 class Items:
     """A block of benchmark items: their words, answers and latent vectors."""
 
@@ -305,6 +333,8 @@ class Items:
         self.places = [places(w) for w in self.words]
         self.answer_places = [places(w) for w in self.answers]
         self.lengths = np.array([len(w) for w in words], np.int64)
+        flat = np.array([x for w in words for x in w], np.int64)
+        self.bits = word_bits(flat, np.repeat(np.arange(len(words)), self.lengths), len(words))
         # classes of length, each with the words of its items, filled up with a column that is never set
         self.size = np.ceil(np.log2(np.maximum(self.lengths, 1))).astype(np.int64)
         self.row, self.tables = np.zeros(len(words), np.int64), {}
@@ -317,6 +347,30 @@ class Items:
             self.tables[int(z)] = table
 
 
+def may_have(bits: np.ndarray, own: np.ndarray, block: np.ndarray, item: np.ndarray, items: Items, share: float) -> np.ndarray:
+    """Which candidates (passage at ``block``, item) the bits of the blocks around the passage allow ``share`` of the item's words.
+
+    A class of words that the item has and none of these blocks is a word of it at least that the text lacks there, so
+    none that :func:`may_share` lets pass is left out. ``own`` names the text of each block.
+    """
+    out = np.ones(len(item), bool)
+    for z, table in items.tables.items():
+        reach, some = table.shape[1], np.flatnonzero(items.size[item] == z)
+        if 2 * (reach + BLOCK) > BITS or not len(some):
+            continue
+        place, row = np.unique(block[some], return_inverse=True)
+        low, high = np.searchsorted(own, own[place]), np.searchsorted(own, own[place], side="right") - 1
+        near, away = bits[place], -(-reach // BLOCK)
+        for k in range(-away, away + 2):
+            near |= bits[np.clip(place + k, low, high)]
+        for a in range(0, len(some), 1 << 13):
+            part = some[a : a + (1 << 13)]
+            lacks = np.bitwise_count(items.bits[item[part]] & ~near[row[a : a + (1 << 13)]]).sum(1, dtype=np.int64)
+            n = items.lengths[item[part]]
+            out[part] = n - lacks >= share * n
+    return out
+
+
 def may_share(words: np.ndarray, low: np.ndarray, high: np.ndarray, at: np.ndarray, item: np.ndarray, items: Items, share: float) -> np.ndarray:
     """Which candidates may share ``share`` of the item's words with the text around the passage; none that does is left out.
 
@@ -355,10 +409,15 @@ def hits_in(words: np.ndarray, lengths: np.ndarray, items: Items, weight: np.nda
     best: dict[tuple[int, int], tuple] = {}
     x, _, first = passages(sums, squares, own)
     starts = np.cumsum(lengths) - lengths
+    # as many words as each block has
+    sizes = np.minimum(lengths[own] - word, BLOCK)
+    bits = word_bits(words, np.repeat(np.arange(len(own)), sizes), len(own))
     for a in range(0, len(first), 4096):
         part = x[a : a + 4096] / np.maximum(np.linalg.norm(x[a : a + 4096], axis=1), 1e-9)[:, None]
         c = part @ items.vectors.T
         of, item = np.nonzero(c >= cosine)
+        may = may_have(bits, own, first[a + of], item, items, paraphrase)
+        of, item = of[may], item[may]
         f, t = first[a + of], own[first[a + of]]
         may = may_share(words, starts[t], starts[t] + lengths[t], starts[t] + word[f], item, items, paraphrase)
         for p, i in zip(of[may].tolist(), item[may].tolist(), strict=True):

@@ -278,6 +278,41 @@ def test_candidates_are_bounded_by_shared_words():
     assert not may.all() and may.any()
 
 
+def test_few_candidates_are_compared_word_by_word(monkeypatch):
+    r = np.random.default_rng(8)
+    texts = [r.integers(0, 1 << 40, n) for n in (300, 0, 900, 7)]
+    # items that no text holds, one that a text holds with half its words changed, one of more words than bits tell apart
+    bench = [r.integers(0, 1 << 40, n).tolist() for n in (30, 40, 9)] + [[], r.integers(0, 1 << 40, 2 * decontaminate.BITS).tolist()]
+    bench[3] = [w if k % 2 else -k for k, w in enumerate(texts[2][400:440].tolist())]
+    items = decontaminate.Items(list(range(5)), bench, bench, np.ones((decontaminate.DIMS, 2), np.float32))
+    seen, real = [], decontaminate.may_share
+    monkeypatch.setattr(decontaminate, "may_share", lambda *a: seen.append((a[3], a[4])) or real(*a))
+    lengths = np.array([len(t) for t in texts])
+    # all passages and items are candidates: every cosine is 1
+    weight, scaled = np.ones(decontaminate.DIMS, np.float32), np.ones((decontaminate.DIMS, 2), np.float32)
+    decontaminate.hits_in(np.concatenate(texts), lengths, items, weight, scaled, (0.3, 0.7, 0.5))
+    at, item = np.concatenate([x[0] for x in seen]), np.concatenate([x[1] for x in seen])
+    words, ends = np.concatenate(texts), np.cumsum(lengths)
+    passed = set(zip(at.tolist(), item.tolist(), strict=True))
+    for end, n in zip(ends, lengths, strict=True):
+        for a in range(end - n, end, 16):
+            for i, own in enumerate(bench[:4]):
+                near = set(words[max(end - n, a - len(own)) : min(end, a + 32 + len(own))].tolist())
+                last = a + 16 >= end and n > 16  # no passage starts at the last block of several
+                assert last or (a, i) in passed or sum(w in near for w in own) < 0.5 * len(own)
+    assert any(i == 3 for _, i in passed) and not any(i < 3 for _, i in passed)
+
+
+def test_terms_of_a_text_count_once():
+    r = np.random.default_rng(9)
+    lengths = np.array([0, 500, 3, 1, *[40] * 30, 0])
+    words = r.integers(-200, 200, lengths.sum())
+    last = r.integers(0, 50, decontaminate.TOGETHER * decontaminate.DIMS)
+    want = sorted(t for x in np.split(decontaminate.dims_of(words), np.cumsum(lengths)[:-1]) for t in set(x.tolist()))
+    assert sorted(decontaminate.distinct_terms(words, lengths, last).tolist()) == want
+    assert len(decontaminate.distinct_terms(words[:0], np.zeros(2, np.int64), last)) == 0
+
+
 def test_rule_statistics_match_brute_force(spark):
     for r in quality_rules.text_statistics(docs(spark)).where("doc_id is not null").collect():
         t = dict((i, t) for i, t in TEXTS)[r["doc_id"]] or ""

@@ -35,6 +35,8 @@ MOST_RANK, ITEMS_A_DIRECTION, ITEMS_PER_PASS = 256, 4, 4_000
 NEAR = 1 << 13
 # Bits that tell which words a block or an item has; wider windows around a passage would set most of them.
 BITS = 1024
+# Rows of vectors that are worked on at a time, few enough for a core's cache.
+CACHED = 256
 # Texts whose terms are told apart at a time, in a table that a core's cache holds.
 TOGETHER = 16
 # Words that one task of a pass adds up before it sends its sums, and terms a row of them.
@@ -109,8 +111,8 @@ def block_sums(words: np.ndarray, lengths: np.ndarray, table: np.ndarray, weight
     d = np.where(place < lengths[own][:, None], np.append(dims_of(words), DIMS)[np.minimum(at, len(words))], DIMS)
     rows, squared = table if len(table) > DIMS else with_zeros(table), np.append(weight.astype(np.float64) ** 2, 0.0)
     sums = np.empty((len(d), table.shape[1]), rows.dtype)
-    for a in range(0, len(d), 256):  # few enough for a core's cache
-        part, out = d[a : a + 256].T, sums[a : a + 256]
+    for a in range(0, len(d), CACHED):
+        part, out = d[a : a + CACHED].T, sums[a : a + CACHED]
         rows.take(part[0], axis=0, out=out, mode="clip")
         for k in range(1, BLOCK):
             out += rows.take(part[k], axis=0, mode="clip")
@@ -131,7 +133,11 @@ def passages(sums: np.ndarray, squares: np.ndarray, own: np.ndarray) -> tuple[np
     first = np.flatnonzero(np.append(own[1:] == own[:-1], False) | alone) if n else np.zeros(0, np.int64)
     nxt = np.minimum(first + 1, max(n - 1, 0))
     two = (~alone[first])[:, None]
-    return sums[first] + sums[nxt] * two, squares[first] + squares[nxt] * two[:, 0], first
+    vectors = sums.take(first, axis=0)
+    for a in range(0, len(first), CACHED):
+        some = slice(a, a + CACHED)
+        vectors[some] += sums.take(nxt[some], axis=0) * two[some]
+    return vectors, squares[first] + squares[nxt] * two[:, 0], first
 
 
 def sums_by_term(d: np.ndarray, block: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +192,7 @@ def svd_pass(texts: DataFrame, weight: np.ndarray, q: np.ndarray, back: bool = T
             # back to the words: each block gets the vectors of the passages it is part of
             y *= norm
             per = np.zeros_like(sums)
-            per[first] += y
+            per[first] = y
             two = np.flatnonzero((first + 1 < len(own)) & (own[np.minimum(first + 1, len(own) - 1)] == own[first]))
             per[first[two] + 1] += y[two]
             at = np.repeat(np.arange(len(lengths)), lengths)
@@ -194,7 +200,9 @@ def svd_pass(texts: DataFrame, weight: np.ndarray, q: np.ndarray, back: bool = T
             count = np.maximum(-(-lengths // BLOCK), 1)
             block = (np.cumsum(count) - count)[at] + place // BLOCK
             term, added = sums_by_term(dims_of(words), block, per)
-            out[term] += added * w[term][:, None]
+            for a in range(0, len(term), CACHED):
+                t = term[a : a + CACHED]
+                out[t] += added[a : a + CACHED] * w[t][:, None]
         if seen:
             some = [a for a in range(0, DIMS, width) if back and out[a : a + width].any()]
             parts = [out[a : a + width].tobytes() for a in some] + [gram.astype(np.float32).tobytes()]
@@ -415,7 +423,7 @@ def hits_in(words: np.ndarray, lengths: np.ndarray, items: Items, weight: np.nda
     for a in range(0, len(first), 4096):
         part = x[a : a + 4096] / np.maximum(np.linalg.norm(x[a : a + 4096], axis=1), 1e-9)[:, None]
         c = part @ items.vectors.T
-        of, item = np.nonzero(c >= cosine)
+        of, item = np.divmod(np.flatnonzero(c.ravel() >= cosine), c.shape[1])
         may = may_have(bits, own, first[a + of], item, items, paraphrase)
         of, item = of[may], item[may]
         f, t = first[a + of], own[first[a + of]]

@@ -110,6 +110,41 @@ def test_words_are_dealt_to_equal_ranges(spark):
         assert got == [sorted(x for x in h if k * step <= x < (k + 1) * step) for k in range(blocks)]
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_sketches_and_words_in_place_bound_the_edit_distance(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(6)
+    pairs = [("e" * 40, "e" * 39), ("e" * 32, "e" * 31), ("e" * 16 + "t", "o" * 17), ("", "tea"), ("one two", "one too")]
+    for _ in range(200):
+        a = "".join(r.choice(list("aet y\u00e9\U0001f600"), int(r.integers(1, 90))))
+        b = list(a)
+        for _ in range(int(r.integers(0, 9))):
+            k = int(r.integers(0, len(b) + 1))
+            b[k : k + int(r.integers(0, 2))] = list(r.choice(list("aetx "), int(r.integers(0, 2))))
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", *[line_dedup.sketch(F.col(c)).alias(f"s{c}") for c in "ab"], line_dedup.words_in_place(F.col("a"), F.col("b")).alias("most")
+    )
+    differ = {}
+    for x in df.collect():
+        d = edit_distance(x["a"], x["b"])
+        differ[x["a"], x["b"]] = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x["sa"], x["sb"]))
+        assert differ[x["a"], x["b"]] <= 2 * d
+        assert (x["most"] is None) == (x["a"].count(" ") != x["b"].count(" ")) and (x["most"] is None or x["most"] >= d)
+    # counts go round: one letter more is one bit at any number
+    assert [differ[p] for p in pairs[:4]] == [1, 1, 16 + 1 + 15, 3]
+
+
 def line_classes(spark, given):
     """Where each line's group is kept, by the line."""
     from pyspark.sql import functions as F
@@ -552,6 +587,17 @@ def test_far_members_of_a_near_copy_group_are_not_all_compared(spark, monkeypatc
     assert compared[-1] < len(rows)
 
 
+def test_links_lead_to_the_least_of_a_group_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from covisit_spark.llm import links
+
+    buckets = spark.createDataFrame([(10 * k, x) for k in range(1, 9) for x in (k, k + 1)], "bucket long, id long")
+    common = lambda ids, held: ids.select("id", F.lit(1).alias("size"), F.lit(1).alias("common"), F.lit(1).alias("sketch"))
+    found = links.linked(buckets, lambda ids: ids, lambda pairs, held: pairs, common, 0.5, lambda x, y: F.lit(True)).collect()
+    assert sorted((x["a"], x["b"]) for x in found) == [(1, k) for k in range(2, 10)]
+
+
 def test_buckets_of_two_are_pairs_and_have_no_leader(spark, monkeypatch):
     from pyspark.sql import functions as F
 

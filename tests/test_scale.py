@@ -1,11 +1,14 @@
 """Parts of a join that multiplies its rows follow the input's size, and give the same rows."""
 
+import time
+
 import pytest
 from conftest import events_df, matrix_df
 
 import __spark_entry__ as E
 from covisit_spark.operators import candidates as cand
 from covisit_spark.operators import lambdarank as lr
+from covisit_spark.session import FILE_CLEANUP
 from covisit_spark.sources import sinks
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +57,44 @@ def test_users_without_a_positive_take_no_part_in_training(spark):
     frame = spark.createDataFrame(rows, "user long, fold int, item int, origOrder int, x double, carts int")
     got = {r["user"]: len(r["c"]) for r in lr.grouped(frame, "carts", {"x": [1.5]}).collect()}
     assert got == {1: 2, None: 1}
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(k).getName() for k in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_stage_tables_leave_no_shuffle_files(spark, tmp_path):
+    from covisit_spark.llm.common import stage
+
+    rows = spark.range(2000).selectExpr("id % 70 as k", "id")
+    for write in (
+        lambda df: sinks.build_if_absent(spark, str(tmp_path / "t"), lambda: df),
+        lambda df: sinks.write_table(df, f"test-{tmp_path.name}"),
+        lambda df: stage(df, "test"),
+    ):
+        before, plain = _shuffle_files(spark), spark.conf.get(FILE_CLEANUP)
+        df = rows.groupBy("k").count()
+        assert write(df).count() == 70
+        for _ in range(20):  # they are removed in the background
+            left = _shuffle_files(spark) - before
+            if len(left) <= 1:  # that of the count just above
+                break
+            time.sleep(0.5)
+        assert len(left) <= 1 and spark.conf.get(FILE_CLEANUP) == plain
+
+
+def test_lists_are_tables_and_sums_of_pairs_are_dropped(spark, tmp_path):
+    import shutil
+
+    from covisit_spark.plans.offline import Offline
+
+    shutil.copy(f"{SF}/events.parquet", tmp_path / "events.parquet")
+    o = Offline(spark, str(tmp_path))
+    want = Offline(spark, str(tmp_path), materialize=False)
+    for got, plain in ((o.clicks(), want.clicks()), (o.carts(), want.carts()), (o.stored_predictions(), want.predictions())):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    fs, folder = sinks._fs(spark, sinks.table_path(spark, o._prefix))
+    names = {s.getPath().getName() for s in fs.listStatus(folder)}
+    assert {"clicks_20", "carts_short_20", "carts_20", "top_pairs_1d"} <= names and not any(n.startswith("pair_sums") for n in names)

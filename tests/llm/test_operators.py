@@ -145,6 +145,50 @@ def test_sketches_and_words_in_place_bound_the_edit_distance(spark):
     assert [differ[p] for p in pairs[:4]] == [1, 1, 16 + 1 + 15, 3]
 
 
+def test_starts_rule_out_no_similar_line(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(8)
+    pairs, texts = [], []
+    for k in range(160):
+        a = [str(w) for w in r.choice(["the", "of", "sel\u00e9", "tion", "\U0001f600", "wh"], int(r.integers(1, 24)))]
+        if k % 2:  # the same letters in another order: the counts tell nothing
+            b = [a[i] for i in r.permutation(len(a))]
+        else:
+            b = list(a)
+            for _ in range(int(r.integers(0, 3))):
+                b[int(r.integers(len(b)))] = "x" * int(r.integers(0, 3))
+        pairs.append((2 * k, " ".join(a), 2 * k + 1, " ".join(b)))
+        texts += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    held = spark.createDataFrame(texts, "id long, norm string").select(
+        "id", "norm", F.length("norm").alias("size"), line_dedup.sketch(F.col("norm")).alias("sketch")
+    )
+    sizes = line_dedup.line_sizes(held.select("id"), held)
+    two = spark.createDataFrame([(x, y) for x, _, y, _ in pairs], "id long, id2 long").join(sizes, "id")
+    two = two.join(sizes.select(*[F.col(c).alias(f"{c}2") for c in sizes.columns]), "id2")
+    may = {x["id"]: x["may"] for x in two.select("id", line_dedup.may_be_similar(0.9)("", "2").alias("may")).collect()}
+    close = {x: edit_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9) for x, a, _, b in pairs}
+    assert all(may[x] for x in close if close[x]) and 20 <= sum(close.values())
+    shuffled = [x for x, a, _, b in pairs if x // 2 % 2 and len(a) > 60 and not close[x]]
+    assert len(shuffled) > 20 and sum(may[x] for x in shuffled) < len(shuffled) / 4
+    found = line_dedup.similar_lines(spark.createDataFrame([(x, y) for x, _, y, _ in pairs], "a long, b long"), held, 0.9).collect()
+    assert {x["a"] for x in found} == {x for x in close if close[x]}
+
+
+def test_buckets_are_found_by_one_exchange(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from covisit_spark.llm import links
+
+    plans, whole = {}, links.stage
+    monkeypatch.setattr(links, "stage", lambda df, name, by=None: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and whole(df, name, by))
+    buckets = spark.createDataFrame([(k // 3, x) for k in range(30) for x in (k, k, k + 1)], "bucket long, id long")
+    common = lambda ids, held: ids.select("id", F.lit(1).alias("size"), F.lit(1).alias("common"), F.lit(1).alias("sketch"))
+    found = links.linked(buckets, lambda ids: ids, lambda pairs, held: pairs, common, 0.5, lambda x, y: F.lit(True)).collect()
+    assert {x["b"] for x in found} == set(range(1, 31)) and {x["a"] for x in found} == {0}
+    assert plans["met"].split("== Initial")[0].count("Exchange") == 1
+
+
 def line_classes(spark, given):
     """Where each line's group is kept, by the line."""
     from pyspark.sql import functions as F
